@@ -48,6 +48,19 @@ SELECT p_partkey % 50 AS doc_id, s.step AS step_no, y.yr AS yr, make_date(CAST(y
 FROM {part} CROSS JOIN (VALUES (1),(2),(3)) AS s(step) CROSS JOIN (VALUES (2020),(2021),(2022)) AS y(yr)
 """
 
+# v_increase with sector columns; a blank or own-site unknown counterparty occurs too
+V_SECTOR = f"""
+SELECT *, CASE row_id % 4 WHEN 0 THEN 'BSRB' WHEN 1 THEN 'ASÍ' WHEN 2 THEN NULL ELSE 'Sérfélög' END AS umbrella,
+       CASE row_id % 3 WHEN 0 THEN 'opinber' WHEN 1 THEN 'almennur' END AS market,
+       CASE WHEN row_id % 13 = 0 THEN '' ELSE counterparty END AS named_counterparty,
+       CASE WHEN row_id % 17 = 0 THEN 1 ELSE 0 END AS own_site,
+       concat('Félag ', union_key, CASE row_id % 3 WHEN 0 THEN ' stéttarfélag' ELSE '' END) AS union_name,
+       concat(counterparty, CASE row_id % 5 WHEN 0 THEN ' hf.' ELSE ' samtök' END) AS counterparty_label,
+       CASE row_id % 3 WHEN 0 THEN 'vefskjal' ELSE 'ríkissáttasemjari' END AS origin,
+       concat('skjal-', CAST(row_id AS string)) AS doc
+FROM ({V_INCREASE}) i
+"""
+
 V_MONTH_INDEX = """
 SELECT m AS month, 100e0 + 0.6e0 * (row_number() OVER (ORDER BY m) - 1) AS value
 FROM (SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS date) AS m FROM {lineitem}) t
@@ -55,6 +68,7 @@ FROM (SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS date) AS m FROM {l
 
 VIEWS = {
     "v_increase": (V_INCREASE, "orders"),
+    "v_sector": (V_SECTOR, "orders"),
     "v_text": (V_TEXT, "orders"),
     "v_contract": (V_CONTRACT, "orders"),
     "v_rate": (V_RATE, "part"),

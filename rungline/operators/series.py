@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed as X
 from ..functions.text import counterparty_name, month_gap, round_places
+from ..session import cut_lineage
 from .consensus import DATE, LINE, general_increases
 
 
@@ -71,7 +72,7 @@ def _same(reach: int):
     return condition
 
 
-def fold_company_lines(points: DataFrame, main: DataFrame, general: DataFrame | None = None,
+def fold_company_lines(points: DataFrame, main: DataFrame,
                        foldable: Column | None = None, key: str = "union_key",
                        counterparty: str = "counterparty",
                        name: str | None = None) -> DataFrame:
@@ -90,15 +91,15 @@ def fold_company_lines(points: DataFrame, main: DataFrame, general: DataFrame |
     if foldable is None:
         foldable = F.col(counterparty).startswith(X.COMPANY_PREFIX) | (
             F.col(counterparty) == X.UNKNOWN_COUNTERPARTY)
-    general = general_increases(points, key=key, counterparty=counterparty) if general is None else general
     label = name or counterparty
-    line_order = points.groupBy(key, counterparty).agg(F.min("first_row").alias("line_row"))
-    tagged = (
-        points.join(line_order, [key, counterparty]).join(main, key)
+    extra = points.columns
+    line = Window.partitionBy(key, counterparty)
+    tagged = cut_lineage(  # every branch below reads it
+        points.withColumn("line_row", F.min("first_row").over(line)).join(main, key)
         .withColumn("is_main", F.col(counterparty) == F.col("main_counterparty"))
         .withColumn("order", F.struct("line_row", "first_row"))
     )
-    extra = points.columns
+    general = general_increases(tagged, key=key, counterparty=counterparty, excluded=foldable)
     main_rows = tagged.where("is_main").select(*extra, "main_counterparty", "order")
     loose = tagged.where(~F.col("is_main") & foldable).select(*extra, "main_counterparty", "order")
     other = tagged.where(~F.col("is_main") & ~foldable).select(*extra)
@@ -108,7 +109,7 @@ def fold_company_lines(points: DataFrame, main: DataFrame, general: DataFrame |
                       _same(X.CONFIRM_DAYS))
     candidates = near(candidates, main_rows.select(key, DATE), [key], DATE, X.YIELD_DAYS, "left_anti")
     one_per_day = candidates.groupBy(key, DATE).agg(F.min("order").alias("order"))
-    fills = _greedy_fills(one_per_day, key)
+    fills = cut_lineage(_greedy_fills(one_per_day, key))
 
     filled = (
         loose.join(fills, [key, DATE, "order"], "left_semi")
@@ -130,7 +131,7 @@ def fold_company_lines(points: DataFrame, main: DataFrame, general: DataFrame |
 
     ident = [key, counterparty, DATE, "order"]
     slim = targets.select(key, DATE, "pct", "amount", "order", "is_fill")
-    matched = (
+    matched = cut_lineage(
         near(unfilled, slim, [key], DATE, X.CONFIRM_DAYS, "inner", confirms)
         .groupBy(*ident)
         .agg(F.min(F.struct("_r_is_fill", "_r_order", "_r_" + DATE)).alias("target"),

@@ -5,7 +5,6 @@ for local runs and tests, ``shared_folder`` for jobs that cut lineage.
 """
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,19 +36,20 @@ def shared_folder(spark: SparkSession) -> str:
     tests) is a folder made; on a cluster a missing setting is an error,
     because a machine-local folder is lost together with its machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="rungline-checkpoint-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so a lost executor costs no rerun."""
     spark = df.sparkSession
+    folder = shared_folder(spark)
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(os.path.join(shared_folder(spark), "rungline"))
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
