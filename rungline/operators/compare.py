@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import month_key, round_places
+from ..session import cut_lineage
 from .consensus import DATE
 
 
@@ -84,19 +85,23 @@ def rebase_at(df: DataFrame, keys: Sequence[str], date: str, value: str, at: Col
     Series without a value by then, or with a base that is not positive, drop
     out; see ``dropped_at``.
     """
-    keys = list(keys)
-    base = as_of_date(df, keys, date, value, at, "_base").where("_base > 0")
-    after = (
-        df.where((F.col(date) > at) & F.col(value).isNotNull()).join(base, keys)
-        .select(*keys, date, (F.col(value) / F.col("_base") * 100).alias("rebased"))
+    line = Window.partitionBy(*keys)
+    before = F.col(date) <= at
+    return (
+        df.where(F.col(value).isNotNull())
+        .withColumn("_base_date", F.max(F.when(before, F.col(date))).over(line))
+        .withColumn("_base", F.max(F.when(F.col(date) == F.col("_base_date"), F.col(value))).over(line))
+        .where((F.col("_base") > 0) & (F.col(date) >= F.col("_base_date")))
+        .select(*keys, F.greatest(F.col(date), at).alias(date),
+                F.when(before, 100.0).otherwise(F.col(value) / F.col("_base") * 100).alias("rebased"))
     )
-    anchors = base.select(*keys, at.alias(date), F.lit(100.0).alias("rebased"))
-    return anchors.unionByName(after)
 
 
 def dropped_at(df: DataFrame, keys: Sequence[str], date: str, value: str, at: Column) -> DataFrame:
-    base = as_of_date(df, keys, date, value, at, "_base").where("_base > 0")
-    return df.select(*keys).distinct().join(base, list(keys), "left_anti")
+    usable = (F.col(date) <= at) & F.col(value).isNotNull()
+    base = F.max_by(F.when(usable, F.col(value)), F.when(usable, F.col(date)))
+    return (df.groupBy(*keys).agg(base.alias("_base"))
+            .where("_base is null or _base <= 0").drop("_base"))
 
 
 def benchmark_rebased(df: DataFrame, start: Column, end: Column, at: Column | None = None,
@@ -122,16 +127,17 @@ def compare(series: DataFrame, ids: DataFrame, benchmarks: dict[str, DataFrame],
     With a common base date all lines are rebased there. Without one every
     union keeps its own base, and benchmarks are only shown for a single union.
     """
-    points = until_year_end(
-        select_ids(series, ids, key).where(F.col(value).isNotNull()), today, date).select(key, date, value)
-    per_union = points.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
-    points = points.join(per_union, key, "left_semi")
+    def with_two(rows):
+        return (rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
+                .where("_n > 1").drop("_n"))
+
+    points = with_two(until_year_end(
+        select_ids(series, ids, key).where(F.col(value).isNotNull()), today, date).select(key, date, value))
     if at is not None:
-        points = rebase_at(points, [key], date, value, at)
-        enough = points.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
-        points = points.join(enough, key, "left_semi")
+        points = with_two(rebase_at(points, [key], date, value, at))
     else:
         points = points.withColumnRenamed(value, "rebased")
+    points = cut_lineage(points)  # shown, and read again for the span of each benchmark
     lines = points.select(F.col(key).alias("name"), F.lit("union").alias("kind"),
                           F.col(date).alias("date"), "rebased")
     span = points.agg(F.struct(
@@ -154,15 +160,16 @@ def benchmark_summary(main_series: DataFrame, index: DataFrame, today: Column,
     """Per union with two or more continuous points: own change, benchmark change
     over the same span, and the change including what is agreed for later."""
     points = until_year_end(main_series.where(F.col(value).isNotNull()), today, date)
-    spans = (
-        points.groupBy(key).agg(
+    measured_to = index.agg(F.max("month")).scalar()
+    measured_part = F.when(F.col(date) <= F.col("_last"), F.col(date))
+    spans = cut_lineage(
+        points.withColumn("_last", measured_to).groupBy(key).agg(
             F.count(F.lit(1)).alias("points"), F.min(date).alias("span_from"), F.max(date).alias("last_date"),
-            F.min_by(value, date).alias("_first"), F.max_by(value, date).alias("_final"))
+            F.min_by(value, date).alias("_first"), F.max_by(value, date).alias("_final"),
+            F.max_by(value, measured_part).alias("_own"), F.first("_last").alias("_last"))
         .where("points >= 2")
-        .withColumn("_last", index.agg(F.max("month")).scalar())
         .withColumn("span_to", F.least("last_date", "_last"))
     )
-    own = as_of(points, spans, [key], date, value, "span_to", "_own")
     # one benchmark: its months and the distinct probe dates are bounded by the calendar
     monthly = index.select(F.lit(0).alias("_k"), "month", "value")
     asked = spans.select(F.lit(0).alias("_k"), F.col("span_from").alias("_d")).unionByName(
@@ -172,7 +179,7 @@ def benchmark_summary(main_series: DataFrame, index: DataFrame, today: Column,
     end = measured.select(F.col("_d").alias("span_to"), F.col("_m").alias("_m1"))
     change = F.col("_own") / F.col("_first") * 100 - 100
     return (
-        spans.join(own, [key, "span_to"], "left").join(start, "span_from", "left").join(end, "span_to", "left")
+        spans.join(start, "span_from", "left").join(end, "span_to", "left")
         .select(
             key, "span_from", "span_to", "points",
             round_places(change, 4).alias("own_change"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed as X
 from ..functions.text import month_key, not_blank
-from .compare import as_of
+from .compare import as_of_date
 from .consensus import DATE, LINE
 from .ranking import upper_median
 
@@ -93,11 +93,11 @@ def over_ceiling(main_series: DataFrame, unions: DataFrame, benchmark: DataFrame
     months = benchmark.select(month_key(F.col("month")).alias("_m"), F.col("value").alias("_v"))
     start = months.select(F.col("_m").alias("_m1"), F.col("_v").alias("_v1"))
     end = months.select(F.col("_m").alias("_m2"), F.col("_v").alias("_v2"))
-    own = as_of(main_series.where(F.col("stretch_index").isNotNull()), spans.select(key, "span_to"),
-                [key], date, "stretch_index", "span_to", "own_index")
+    # a union's spans end at the cap or at its last row, so the cap alone bounds the look-up
+    own = as_of_date(main_series, [key], date, "stretch_index", cap, "own_index")
     return (
         spans.withColumn("_m1", month_key(F.col("span_from"))).withColumn("_m2", month_key(F.col("span_to")))
-        .join(start, "_m1").join(end, "_m2").join(own, [key, "span_to"])
+        .join(start, "_m1").join(end, "_m2").join(own, key)
         .where(F.col("own_index").isNotNull())
         .withColumn("benchmark_index", F.col("_v2") / F.col("_v1") * 100)
         .withColumn("over", F.col("own_index") > F.col("benchmark_index") * factor)
