@@ -341,15 +341,13 @@ def extract_validity(text: Column, name: Column) -> Column:
 
 def parse_form(body: Column) -> Column:
     """Sections of a ``### Heading`` form as a map from field to value."""
-    sections = F.slice(F.split(F.concat(F.lit("\n"), F.coalesce(body, F.lit(""))), r"\n###\s+"),
-                       2, 1_000_000)
-    entries = F.transform(sections, lambda s: F.struct(
-        lookup(F.trim(F.regexp_extract(s, r"^([^\n]*)", 1)), X.FORM_HEADINGS).alias("key"),
-        F.regexp_replace(F.regexp_extract(s, r"(?s)^[^\n]*\n(.*)$", 1),
-                         r"(?U)^\s+|\s+$", "").alias("value"),
-    ))
-    known = F.filter(entries, lambda e: e["key"].isNotNull())
-    last_wins = F.filter(known, lambda e, i: ~F.exists(
-        F.slice(known, i + 2, F.size(known)), lambda later: later["key"] == e["key"]))
-    return F.map_from_entries(F.transform(last_wins, lambda e: F.struct(
-        e["key"], F.when(e["value"] == X.FORM_NO_RESPONSE, "").otherwise(e["value"]))))
+    sections = F.split(F.concat(F.lit("\n"), F.coalesce(body, F.lit(""))), r"\n###\s+")
+    entries = []
+    for heading, field in X.FORM_HEADINGS.items():
+        last = F.try_element_at(F.filter(
+            sections, lambda s, i: (i > 0) & (F.trim(F.substring_index(s, "\n", 1)) == heading)), F.lit(-1))
+        value = F.regexp_replace(F.regexp_replace(last, r"^[^\n]*\n?", ""), r"(?U)^\s+|\s+$", "")
+        entries.append(F.when(last.isNotNull(), F.struct(
+            F.lit(field).alias("key"),
+            F.when(value == X.FORM_NO_RESPONSE, "").otherwise(value).alias("value"))))
+    return F.map_from_entries(F.array_compact(F.array(*entries)))
