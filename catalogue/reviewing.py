@@ -9,7 +9,7 @@ from rungline.operators import review as V
 from . import comparison as K
 from . import lines as L
 from . import series as Q
-from .views import cte, iso, table, view
+from .views import cte, iso, spread, table, view
 
 RECENT, ENDING = "DATE '1998-01-01'", "DATE '1992-01-01'"
 NAME = """CASE WHEN CAST(substr(union_key, 2) AS INT) % 2 = 0 THEN union_key ELSE concat('félag ', union_key) END"""
@@ -154,9 +154,9 @@ def form_sql(engine):
 
 
 def forms(spark, sf):
-    bodies = spark.sql(form_sql("spark").replace("FROM orders", "FROM {orders}"), orders=table(spark, sf, "orders"))
+    bodies = spark.sql(form_sql("spark").replace("FROM orders", "FROM {orders}"), orders=spread(table(spark, sf, "orders"), "o_orderkey"))
     fields = T.parse_form(F.col("body"))
-    parsed = bodies.select("id", fields.alias("f"))
+    parsed = T.with_values(bodies.select("id", "body"), f=fields)
     names = ["felag", "eyda", "tegund", "dagsetning", "prosenta", "kronur", "a_vid"]
     return parsed.select("id", *[F.try_element_at("f", F.lit(n)).alias(n) for n in names])
 

@@ -85,6 +85,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores. The given tables are single small files, which one
+    task reads; large data arrives in many files and is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text, base = VIEWS[name]
     return spark.sql(text, **{base: table(spark, sf_dir, base)})

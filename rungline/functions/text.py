@@ -7,7 +7,7 @@ from __future__ import annotations
 import unicodedata
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed as X
@@ -31,6 +31,20 @@ def group_or_null(col: Column, pattern: str, group: int) -> Column:
     return F.nullif(F.regexp_extract(col, pattern, group), F.lit(""))
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def with_values(df: DataFrame, **values: Column) -> DataFrame:
+    """Add columns worked out exactly once per row.
+
+    Going through a generator keeps the optimizer from copying costly
+    expressions (patterns over long texts) into every later filter and use.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[v.alias(n) for n, v in values.items()]))))
+
+
 def lookup(col: Column, table: dict) -> Column:
     """A literal lookup table of fixed size as a map expression."""
     pairs = [F.lit(part) for entry in table.items() for part in entry]
@@ -341,13 +355,15 @@ def extract_validity(text: Column, name: Column) -> Column:
 
 def parse_form(body: Column) -> Column:
     """Sections of a ``### Heading`` form as a map from field to value."""
-    sections = F.split(F.concat(F.lit("\n"), F.coalesce(body, F.lit(""))), r"\n###\s+")
-    entries = []
-    for heading, field in X.FORM_HEADINGS.items():
-        last = F.try_element_at(F.filter(
-            sections, lambda s, i: (i > 0) & (F.trim(F.substring_index(s, "\n", 1)) == heading)), F.lit(-1))
-        value = F.regexp_replace(F.regexp_replace(last, r"^[^\n]*\n?", ""), r"(?U)^\s+|\s+$", "")
-        entries.append(F.when(last.isNotNull(), F.struct(
-            F.lit(field).alias("key"),
-            F.when(value == X.FORM_NO_RESPONSE, "").otherwise(value).alias("value"))))
-    return F.map_from_entries(F.array_compact(F.array(*entries)))
+    def fields(sections: Column) -> Column:
+        entries = []
+        for heading, field in X.FORM_HEADINGS.items():
+            last = F.try_element_at(F.filter(sections, lambda s, i: (i > 0) & F.startswith(s, F.lit(heading))
+                                             & (F.trim(F.substring_index(s, "\n", 1)) == heading)), F.lit(-1))
+            value = F.regexp_replace(F.regexp_replace(last, r"^[^\n]*\n?", ""), r"(?U)^\s+|\s+$", "")
+            entries.append(F.when(last.isNotNull(), F.struct(
+                F.lit(field).alias("key"),
+                F.when(value == X.FORM_NO_RESPONSE, "").otherwise(value).alias("value"))))
+        return F.map_from_entries(F.array_compact(F.array(*entries)))
+
+    return once(F.split(F.concat(F.lit("\n"), F.coalesce(body, F.lit(""))), r"\n###\s+"), fields)

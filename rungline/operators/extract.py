@@ -48,39 +48,43 @@ def _pieces(text: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), count - 1), part)
 
 
-def _anchors(part: Column, own_from: Column, own_size: Column) -> Column:
-    """Per date of a part: the date, what stands around it, and its two reaches."""
-    dates = F.regexp_extract_all(part, F.lit(X.DATE_IN_TEXT), F.lit(0))
-    gaps = F.split(part, X.DATE_IN_TEXT, -1)
-    # end of date i = lengths of gaps and dates up to it
-    steps = F.transform(dates, lambda d, i: F.length(d) + F.length(F.get(gaps, i)))
+def matches(df: DataFrame, part: str, pattern: str) -> DataFrame:
+    """Adds ``_found``, ``_gaps`` and ``_ends``: the matches of a pattern in a text,
+    the text between them, and where each match ends."""
+    df = T.with_values(df, _found=F.regexp_extract_all(F.col(part), F.lit(pattern), F.lit(0)),
+                       _gaps=F.split(F.col(part), pattern, -1))
+    steps = F.zip_with(F.slice("_gaps", F.lit(1), F.size("_found")), "_found",
+                       lambda g, m: F.length(g) + F.length(m))
+    df = T.with_values(df, _steps=steps)
+    return T.with_values(df, _ends=F.transform("_steps", lambda _, i: F.aggregate(
+        F.slice("_steps", F.lit(1), i + 1), F.lit(0), lambda a, x: a + x))).drop("_steps")
+
+
+def date_anchors(docs: DataFrame, keep: Sequence[str], text: str = "text") -> DataFrame:
+    """One row per date found in a text, in order, with its surroundings."""
+    worth = F.contains(F.col(text), F.lit("%")) | F.col(text).rlike("(?iu)kr")
+    parts = docs.where(worth).select(*keep, F.posexplode(_pieces(F.col(text))).alias("_piece", "_p"))
+    parts = matches(parts.select(*keep, "_piece", "_p.own_from", "_p.own_size", "_p.part"), "part", X.DATE_IN_TEXT)
 
     def anchor(date, i):
-        end = F.aggregate(F.slice(steps, 1, i + 1), F.lit(0), lambda a, x: a + x)
+        end = F.get("_ends", i)
         start = end - F.length(date)
         before = F.least(start, F.lit(BEFORE))
         return F.struct(
             i.alias("nr"), date.alias("date"), start.alias("start"),
-            F.substring(part, start - before + 1, before).alias("before"),
-            F.substring(part, end + 1, F.lit(AFTER)).alias("after"),
-            F.least(F.length(F.get(gaps, i)), F.lit(REACH)).alias("back"),
-            F.least(F.length(F.get(gaps, i + 1)), F.lit(REACH)).alias("forward"))
-
-    return F.filter(F.transform(dates, anchor),
-                    lambda a: (a["start"] >= own_from) & (a["start"] < own_from + own_size))
-
+            F.substring(F.col("part"), start - before + 1, before).alias("before"),
+            F.substring(F.col("part"), end + 1, F.lit(AFTER)).alias("after"),
+            F.least(F.length(F.get("_gaps", i)), F.lit(REACH)).alias("back"),
+            F.least(F.length(F.get("_gaps", i + 1)), F.lit(REACH)).alias("forward"))
 
-def date_anchors(docs: DataFrame, keep: Sequence[str], text: str = "text") -> DataFrame:
-    """One row per date found in a text, in order, with its surroundings."""
-    worth = F.contains(F.col(text), F.lit("%")) | F.col(text).rlike("(?iu)kr")
-    parts = docs.where(worth).select(*keep, F.posexplode(_pieces(F.col(text))).alias("_piece", "_p"))
-    anchors = _anchors(F.col("_p.part"), F.col("_p.own_from"), F.col("_p.own_size"))
-    return parts.select(*keep, "_piece", F.explode(anchors).alias("_a"))
+    own = F.filter(F.transform("_found", anchor), lambda a: (a["start"] >= F.col("own_from"))
+                   & (a["start"] < F.col("own_from") + F.col("own_size")))
+    return parts.select(*keep, "_piece", F.inline(own))
 
 
 def _amount(window: Column) -> Column:
-    return T.parse_amount(F.coalesce(T.group_or_null(window, X.AMOUNT_IN_TEXT, 1),
-                                     T.group_or_null(window, X.AMOUNT_IN_TEXT, 2)))
+    return F.nullif(F.regexp_replace(F.regexp_extract(window, X.AMOUNT_IN_TEXT, 0), "[^0-9]", ""),
+                    F.lit("")).try_cast("bigint")
 
 
 def _percent(window: Column) -> Column:
@@ -96,47 +100,46 @@ def extract_increases(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text:
     """
     keep = list(keep)
     carried = list(dict.fromkeys([*keep, start, end]))
-    found = (
-        date_anchors(docs, carried, text)
-        .where(~T.squeeze(F.right("_a.before", F.lit(60))).rlike(X.CONDITION_BEFORE_DATE))
-        .withColumn("_fwd", F.left("_a.after", F.col("_a.forward")))
-        .withColumn("_bck", F.right("_a.before", F.col("_a.back")))
-        .withColumn("_ahead", F.col("_fwd").rlike(X.PERCENT_IN_TEXT) | F.col("_fwd").rlike(X.AMOUNT_IN_TEXT))
-        .withColumn("_value", F.when(F.col("_ahead"), F.col("_fwd")).otherwise(F.col("_bck")))
-        .withColumn("pct", _percent(F.col("_value")))
-        .withColumn("amount", _amount(F.col("_value")))
-        .where("pct is not null or amount is not null")
-    )
-    # the span runs from the date to the end of the value's reach, or from the
-    # start of the backward reach to the end of the date
-    back = F.when(F.col("_ahead"), 0).otherwise(F.col("_a.back"))
-    ahead = F.when(F.col("_ahead"), F.col("_a.forward")).otherwise(0)
+    dated = date_anchors(docs, carried, text)
+    forward, backward = F.left("after", F.col("forward")), F.right("before", F.col("back"))
+    found = T.with_values(
+        dated, _condition=T.squeeze(F.right("before", F.lit(60))).rlike(X.CONDITION_BEFORE_DATE),
+        _pct=_percent(forward), _amount=_amount(forward))
+    ahead = F.col("_pct").isNotNull() | F.col("_amount").isNotNull()
+    valued = T.with_values(
+        found.where("not _condition").drop("_condition"),
+        pct=F.when(ahead, F.col("_pct")).otherwise(_percent(backward)),
+        amount=F.when(ahead, F.col("_amount")).otherwise(_amount(backward)),
+        # the span runs from the date over the forward reach, or from the
+        # start of the backward reach to the end of the date
+        _span_back=F.when(ahead, 0).otherwise(F.col("back")),
+        _span_ahead=F.when(ahead, F.col("forward")).otherwise(0),
+    ).where("pct is not null or amount is not null")
 
     def around(before: int, after: int) -> Column:
-        return T.squeeze(F.concat(F.right("_a.before", back + before), F.col("_a.date"),
-                                  F.left("_a.after", ahead + after)))
-
-    preceding = F.expr("left(right(_a.before, _back + 150), greatest(least(length(_a.before), _back + 150) - _back, 0))")
-    judged = (
-        found.withColumn("_context", around(200, 120))
-        .where(~F.col("_context").rlike(X.EXCLUDED_PAYMENT)
-               & F.col("_context").rlike(X.WAGE_WORD) & F.col("_context").rlike(X.CHANGE_WORD))
-        .withColumn("_near", around(0, 40))
-        .where(~F.col("_near").rlike(X.WAGE_LEVEL) & ~F.col("_near").rlike(X.FUND_FEE))
-        .where(~around(120, 40).rlike(X.ENTITLEMENT_SHARE))
-        .withColumn("_back", back)
-        .where(~T.squeeze(preceding).rlike(X.PRECEDING_SURCHARGE))
-    )
+        return T.squeeze(F.concat(F.right("before", F.col("_span_back") + before), F.col("date"),
+                                  F.left("after", F.col("_span_ahead") + after)))
+
+    reach = F.least(F.length("before"), F.col("_span_back") + 150)
+    preceding = T.squeeze(F.left(F.right("before", reach), reach - F.col("_span_back")))
+    in_context = T.with_values(valued, _context=around(200, 120))
+    in_context = in_context.where(
+        F.col("_context").rlike(X.WAGE_WORD) & F.col("_context").rlike(X.CHANGE_WORD)
+        & ~F.col("_context").rlike(X.EXCLUDED_PAYMENT))
+    judged = T.with_values(in_context, _near=around(0, 40), _wide=around(120, 40), _preceding=preceding).where(
+        ~F.col("_near").rlike(X.WAGE_LEVEL) & ~F.col("_near").rlike(X.FUND_FEE)
+        & ~F.col("_wide").rlike(X.ENTITLEMENT_SHARE) & ~F.col("_preceding").rlike(X.PRECEDING_SURCHARGE))
     return _finish(judged, keep, start, end)
 
 
 def _finish(judged: DataFrame, keep: list[str], start: str, end: str) -> DataFrame:
-    part = [F.regexp_extract("_a.date", X.DATE_IN_TEXT, g) for g in (1, 2, 3)]
+    part = [F.regexp_extract("date", X.DATE_IN_TEXT, g) for g in (1, 2, 3)]
     low, high = X.EXTRACT_PERCENT
+    dated = T.with_values(judged, _day=part[0].cast("int"), _month=T.month_number(part[1]),
+                          _year=F.nullif(part[2], F.lit("")).cast("int"))
     rows = (
-        judged.withColumn("_when", resolve_year(
-            part[0].cast("int"), T.month_number(part[1]),
-            F.nullif(part[2], F.lit("")).cast("int"), F.col(start), F.col(end)))
+        T.with_values(dated, _when=resolve_year(F.col("_day"), F.col("_month"), F.col("_year"),
+                                                F.col(start), F.col(end)))
         .where(F.col("_when.date").isNotNull())
         .withColumn("pct", F.when((F.col("pct") > low) & (F.col("pct") <= high), F.col("pct")))
         .withColumn("amount", F.when(F.col("amount").between(*X.EXTRACT_AMOUNT), F.col("amount")))
@@ -147,7 +150,7 @@ def _finish(judged: DataFrame, keep: list[str], start: str, end: str) -> DataFra
             T.increase_type(F.col("pct"), F.col("amount"), F.col("_context")).alias("type"),
             T.classify_basis(F.col("_context")).alias("basis"),
             F.left("_context", F.lit(400)).alias("quotation"),
-            F.struct(F.col("_piece"), F.col("_a.nr")).alias("_place"))
+            F.struct("_piece", "nr").alias("_place"))
     )
     first = keep_first(rows, [*keep, "valid_from", "pct", "amount"], [F.col("_place")])
     return first.drop("_place")
@@ -170,19 +173,16 @@ def profile_hits(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str =
     either order with a word for an increase nearby; distinct per document."""
     hits = None
     for pattern, groups in ((X.PROFILE_DATE_FIRST, (1, 2, 3, 4)), (X.PROFILE_PERCENT_FIRST, (2, 3, 4, 1))):
-        found = F.regexp_extract_all(F.col("_text"), F.lit(pattern), F.lit(0))
-        gaps = F.split(F.col("_text"), pattern, -1)
-        steps = F.transform(found, lambda m, i: F.length(m) + F.length(F.get(gaps, i)))
-
         def hit(match, i):
-            end = F.aggregate(F.slice(steps, 1, i + 1), F.lit(0), lambda a, x: a + x)
+            end = F.get("_ends", i)
             start = F.greatest(end - F.length(match) - 160, F.lit(0))
             return F.struct(match.alias("match"),
                             F.substring(F.col("_text"), start + 1, end + 60 - start).alias("around"))
 
+        texts = docs.where(F.contains(F.col(text), F.lit("%"))).select(*keep, F.col(text).alias("_text"))
         rows = (
-            docs.where(F.contains(F.col(text), F.lit("%"))).withColumn("_text", F.col(text))
-            .select(*keep, F.explode(F.transform(found, hit)).alias("_h"))
+            matches(texts, "_text", pattern)
+            .select(*keep, F.explode(F.transform("_found", hit)).alias("_h"))
             .where(F.col("_h.around").rlike(X.PROFILE_WORD))
         )
         day, month, year, pct = [F.regexp_extract("_h.match", pattern, g) for g in groups]

@@ -119,7 +119,7 @@ def find_company(texts: DataFrame, stems: DataFrame, text: str = "text") -> Data
         .select(text, F.explode(_prefixes(F.col("_w"))).alias("stem"))
     )
     longest = F.max_by(F.struct("company_id", "company_name"),
-                       F.struct(F.length("stem"), F.translate("stem", "0123456789", "          ")))
+                       F.struct(F.length("stem"), F.col("stem")))
     return begins.join(stems, "stem").groupBy(text).agg(longest.alias("_found")).select(
         text, "_found.company_id", "_found.company_name")
 
