@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rungline.functions import fixed as X
 from rungline.functions import text as T
 from rungline.functions.years import resolve_year
 from rungline.operators import extract as E
@@ -32,11 +33,11 @@ SELECT o_orderkey AS doc_id, o_custkey, CAST(o_orderdate AS date) AS signed, CAS
     WHEN 5 THEN concat('Laun skulu vera kr. 45.000 frá 1. ', {MONTH_TEXT}, ' ', {YEAR}, ' og hækka síðar.')
     WHEN 6 THEN concat('Laun starfsmanna sem hófu störf fyrir 1. ', {MONTH_TEXT}, ' ', {YEAR}, ' hækka um ', {PCT}, ',25%.')
     WHEN 7 THEN concat('Laun hækka um ', {PCT}, ',25% þann 1. ', {MONTH_TEXT}, '.')
-    WHEN 8 THEN concat('Laun hækka um 33,25% eða 900 kr. þann 1. ', {MONTH_TEXT}, ' ', {YEAR}, '.')
+    WHEN 8 THEN concat('Laun hækka um 33,25% eða 9.900 kr. þann 1. ', {MONTH_TEXT}, ' ', {YEAR}, '.')
     WHEN 9 THEN concat('Laun hækka um 33,25% þann 1. ', {MONTH_TEXT}, ' ', {YEAR}, '.')
     ELSE concat('Lágmarkslaun hækka um ', {PCT}, ',25% þann 30. febrúar ', {YEAR}, ', og almenn laun hækka um 2,75% hinn 1. ', {MONTH_TEXT}, ' ', {YEAR}, '.') END,
     CASE WHEN o_orderkey % 2 = 0 THEN concat(' ', 'Aðrar greinar samningsins standa óbreyttar út gildistíma hans og skulu endurskoðaðar. ',
-         'Þá hafa aðilar sammælst um að skipa nefnd um framhaldið sem skilar áliti. Að auki var rætt um vinnutíma og fleira. ',
+         'Þá hafa aðilar sammælst um að skipa nefnd um framhaldið sem skilar áliti. Hún fundar eftir þörfum og kallar til gesti þegar svo ber undir og birtir fundargögn sín jafnóðum. Að auki var rætt um vinnutíma og fleira. ',
          'Áfangahækkanir: laun hækka um ', {PCT}, ',25% 1. ', {MONTH_TEXT}, ' ', {YEAR}) ELSE '' END) AS text
 FROM orders
 """
@@ -210,23 +211,38 @@ def q_register(spark, sf):
 
 
 C = "WITH c AS (" + CLAUSE + ")"
-TRUE_DATE = "make_date(yr, mon, 1)"
 # what each kind of clause yields, and what the closing sentence of even keys adds
-HITS = f"""
+HITS = """
 hit AS (
   SELECT doc_id, CASE WHEN kind = 10 THEN 2.75e0 WHEN kind IN (3, 8) THEN NULL ELSE p END AS pct,
-         CASE kind WHEN 1 THEN 23750 WHEN 2 THEN 18000 WHEN 3 THEN 15000 WHEN 8 THEN 900 END AS amount,
-         kind, yr, mon, validity_from, validity_to FROM c WHERE kind IN (0, 1, 2, 3, 7, 8, 10)
-  UNION ALL
-  SELECT doc_id, p, NULL, 99, yr, mon, validity_from, validity_to FROM c WHERE doc_id % 2 = 0)
+         CASE kind WHEN 1 THEN 23750 WHEN 2 THEN 18000 WHEN 3 THEN 15000 WHEN 8 THEN 9900 END AS amount,
+         CASE WHEN kind <> 7 THEN make_date(yr, mon, 1) WHEN mon = 12 THEN make_date(yr - 2, 12, 1) ELSE make_date(yr - 1, mon, 1) END AS d,
+         CASE WHEN kind = 7 THEN 'ályktað (óvisst)' ELSE 'úr texta' END AS year_status,
+         CASE kind WHEN 1 THEN 'prósenta eða krónutala' WHEN 2 THEN 'prósenta með krónutölulágmarki' WHEN 3 THEN 'krónutala'
+              WHEN 8 THEN 'krónutala' ELSE 'prósenta' END AS type,
+         CASE kind WHEN 1 THEN 'kauptaxtar' WHEN 3 THEN 'launatafla' WHEN 10 THEN 'lágmarkstekjur' ELSE 'almenn laun' END AS basis
+  FROM c WHERE kind IN (0, 1, 2, 3, 7, 8, 10)
+  UNION
+  SELECT doc_id, p, NULL, make_date(yr, mon, 1), 'úr texta', 'prósenta', 'almenn laun' FROM c WHERE doc_id % 2 = 0)
+"""
+PROFILE = """
+hits AS (
+  SELECT doc_id, strftime(make_date(yr, mon, 1), '%Y-%m-%d') AS date, CASE kind WHEN 9 THEN 33.25e0 WHEN 10 THEN 2.75e0 ELSE p END AS pct
+  FROM c WHERE kind IN (0, 1, 2, 4, 6, 9, 10)
+  UNION SELECT doc_id, concat(yr, '-02-30'), p FROM c WHERE kind = 10
+  UNION SELECT doc_id, strftime(make_date(yr, mon, 1), '%Y-%m-%d'), p FROM c WHERE doc_id % 2 = 0)
 """
 
 ENTRIES = {
-    "extract_from_documents": (q_prefilter, None),
-    "extract_increases": (q_extract, None),
+    "extract_from_documents": (q_prefilter, """
+WITH found AS (SELECT unnest(regexp_extract_all(text, '(?i)\\d{1,2}\\s*\\.\\s*(?:dag[i]?\\s+)?(?:""" + "|".join(
+        sorted(X.MONTHS, key=len, reverse=True)) + """)')) AS m FROM documents WHERE contains(text, '%') OR text ILIKE '%kr%')
+SELECT 'dates' AS what, count(*) AS n FROM found UNION ALL SELECT 'increases', 0"""),
+    "extract_increases": (q_extract, C + "," + HITS + """
+SELECT doc_id, CAST(d AS VARCHAR) AS valid_from, year_status, pct, CAST(amount AS BIGINT) AS amount, type, basis FROM hit"""),
     "extract_true_values": (q_extract_single, cte("v_text") + """
 SELECT doc_id, CAST(true_date AS VARCHAR) AS valid_from, true_pct AS pct, 'úr texta' AS year_status FROM v_text WHERE doc_id % 4 <> 2"""),
-    "extract_types": (q_quotation, None),
+    "extract_types": (q_quotation, C + "," + HITS + "SELECT type, basis, count(*) AS n, count(*) AS quoted FROM hit GROUP BY type, basis"),
     "clamped_values": (q_clamp, cte("v_increase") + """,
 r AS (SELECT row_id, CASE WHEN row_id % 500 = 0 THEN 99 ELSE pct END AS pct, CASE WHEN row_id % 300 = 0 THEN 200 ELSE amount END AS amount FROM v_increase),
 k AS (SELECT row_id, CASE WHEN pct > 0 AND pct <= 15 THEN pct END AS pct, CASE WHEN amount BETWEEN 500 AND 100000 THEN amount END AS amount FROM r)
@@ -269,8 +285,11 @@ SELECT o_orderkey, CASE k WHEN 0 THEN 'kauptaxtar' WHEN 1 THEN 'launatafla' WHEN
          WHEN 4 THEN 'almenn laun' WHEN 5 THEN 'óskilgreint' ELSE 'almenn laun' END AS basis,
   CASE WHEN p AND a THEN CASE WHEN k = 6 THEN 'prósenta eða krónutala' ELSE 'prósenta og krónutala' END WHEN p THEN 'prósenta' ELSE 'krónutala' END AS type,
   CASE WHEN p AND NOT a THEN 'prósenta' WHEN a AND NOT p THEN 'krónutala' ELSE 'prósenta og krónutala' END AS manual_type FROM x"""),
-    "coverage_hits": (q_profile, None),
-    "coverage_by_decade": (q_coverage, None),
-    "coverage_top_unions": (q_top_unions, None),
+    "coverage_hits": (q_profile, C + "," + PROFILE + "SELECT * FROM hits"),
+    "coverage_by_decade": (q_coverage, C + "," + PROFILE + """
+SELECT concat(CAST(year(signed) // 10 * 10 AS VARCHAR), 's') AS decade, count(*) AS documents, count(n) AS with_hit, CAST(coalesce(sum(n), 0) AS BIGINT) AS hits
+FROM c LEFT JOIN (SELECT doc_id, count(*) AS n FROM hits GROUP BY doc_id) USING (doc_id) GROUP BY ALL"""),
+    "coverage_top_unions": (q_top_unions, C + "," + PROFILE + """
+SELECT concat('u', o_custkey % 40) AS union_key, count(*) AS hits FROM hits JOIN c USING (doc_id) GROUP BY ALL ORDER BY hits DESC, union_key LIMIT 15"""),
     "register_summary": (q_register, "SELECT doc_id, source, lang, CAST(length(text) AS INTEGER) AS text_length FROM documents"),
 }

@@ -123,13 +123,16 @@ def first_path_part(path: Column) -> Column:
 def classify_counterparty(col: Column) -> Column:
     """Id of the known counterparty a text names, else NULL. Rules are ordered."""
     plain = squeeze(F.regexp_replace(F.lower(F.coalesce(col, F.lit(""))), "[_-]", " "))
-    folded = ascii_fold(plain)
-    result = None
-    for ident, _, _, patterns in X.COUNTERPARTIES:
-        pattern = "(?U)" + "|".join(f"(?:{p})" for p in patterns)
-        hit = plain.rlike(pattern) | folded.rlike(pattern)
-        result = F.when(hit, ident) if result is None else result.when(hit, ident)
-    return F.when(plain != "", result)
+
+    def first_rule(text: Column, folded: Column) -> Column:
+        result = None
+        for ident, _, _, patterns in X.COUNTERPARTIES:
+            pattern = "(?U)" + "|".join(f"(?:{p})" for p in patterns)
+            hit = text.rlike(pattern) | folded.rlike(pattern)
+            result = F.when(hit, ident) if result is None else result.when(hit, ident)
+        return result
+
+    return once(plain, lambda text: once(ascii_fold(text), lambda folded: first_rule(text, folded)))
 
 
 def company_id(col: Column) -> Column:
@@ -163,17 +166,20 @@ def counterparty_from_register(col: Column, placeholders: tuple[str, ...] = ())
     name = F.coalesce(col, F.lit(""))
     if placeholders:
         name = F.when(F.lower(F.trim(name)).isin(*placeholders), "").otherwise(name)
-    known = classify_counterparty(name)
     short = F.trim(F.split(F.regexp_replace(name, X.LEGAL_FORM, ""), ",").getItem(0))
     unknown = F.trim(name) == ""
-    return F.struct(
-        F.when(known.isNotNull(), known)
-        .when(unknown, F.lit(X.UNKNOWN_COUNTERPARTY))
-        .otherwise(company_id(name)).alias("id"),
-        F.when(known.isNotNull(), counterparty_name(known))
-        .when(unknown, F.lit(X.UNKNOWN_COUNTERPARTY_NAME))
-        .otherwise(F.when(short != "", short).otherwise(F.trim(name))).alias("name"),
-    )
+
+    def answer(known: Column) -> Column:
+        return F.struct(
+            F.when(known.isNotNull(), known)
+            .when(unknown, F.lit(X.UNKNOWN_COUNTERPARTY))
+            .otherwise(company_id(name)).alias("id"),
+            F.when(known.isNotNull(), counterparty_name(known))
+            .when(unknown, F.lit(X.UNKNOWN_COUNTERPARTY_NAME))
+            .otherwise(F.when(short != "", short).otherwise(F.trim(name))).alias("name"),
+        )
+
+    return once(classify_counterparty(name), answer)
 
 
 def company_stem(col: Column) -> Column:

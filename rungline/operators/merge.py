@@ -13,11 +13,11 @@ SCHEMA = ["origin", "tracing", "union_name", "union_id", "employer", "market", "
 
 
 def from_register(register: DataFrame) -> DataFrame:
-    who = T.counterparty_from_register(F.col("employer"))
+    named = T.with_values(register, _who=T.counterparty_from_register(F.col("employer")))
     return (
-        register.withColumn("origin", F.lit(X.ORIGIN_REGISTER)).withColumn("tracing", F.lit(X.TRACE_METADATA))
-        .withColumn("counterparty", who["id"]).withColumn("counterparty_name", who["name"])
-        .withColumn("own_site", F.lit(0))
+        named.withColumn("origin", F.lit(X.ORIGIN_REGISTER)).withColumn("tracing", F.lit(X.TRACE_METADATA))
+        .withColumn("counterparty", F.col("_who.id")).withColumn("counterparty_name", F.col("_who.name"))
+        .withColumn("own_site", F.lit(0)).drop("_who")
     )
 
 

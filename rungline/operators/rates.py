@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions import fixed as X
 from ..functions import text as T
@@ -89,7 +90,7 @@ def scan_wage_tables(docs: DataFrame, ident: str = "doc_id", text: str = "text")
         .select(ident, "line_no", "_date_now", "_unit_now", "_labels_now", "_is_header", "_grade", "_wages", "_changes")
     )
     ordered = state.repartition(ident).sortWithinPartitions(ident, "line_no")
-    schema = ordered.schema.add("_repeats", "int")
+    schema = StructType([*ordered.schema.fields, StructField("_repeats", IntegerType())])
     numbered = ordered.mapInPandas(_number_repeats(ident), schema)
     first = T.parse_wage(F.get(F.col("_wages"), F.lit(0)))
     unit = F.coalesce("_unit_now", F.when(first >= X.MONTHLY_FROM, X.UNIT_MONTHLY).otherwise(X.UNIT_HOURLY))

@@ -86,11 +86,10 @@ def _prefixes(col: Column) -> Column:
 def company_stems(companies: DataFrame, unions: DataFrame, company: str = "company",
                   union: str = "union_name") -> DataFrame:
     """(stem, id, name) of companies that are neither known counterparties nor unions."""
+    distinct = companies.select(F.col(company).alias("_c")).where(T.not_blank(F.col("_c"))).distinct()
     names = (
-        companies.select(F.col(company).alias("_c")).distinct()
-        .where(T.not_blank(F.col("_c")) & T.classify_counterparty(F.col("_c")).isNull())
-        .withColumn("stem", T.company_stem(F.col("_c")))
-        .where(F.length("stem") >= X.STEM_CHARS)
+        T.with_values(distinct, _known=T.classify_counterparty(F.col("_c")), stem=T.company_stem(F.col("_c")))
+        .where(F.col("_known").isNull() & (F.length("stem") >= X.STEM_CHARS)).drop("_known")
     )
     union_stems = (
         unions.select(T.company_stem(F.col(union)).alias("_u")).distinct().where(F.length("_u") >= X.STEM_CHARS))
@@ -101,10 +100,9 @@ def company_stems(companies: DataFrame, unions: DataFrame, company: str = "compa
         clear.select("stem", F.explode(_prefixes(F.col("stem"))).alias("_u")).distinct()
         .join(union_stems, "_u").select("stem").distinct()
     )
-    resolved = T.counterparty_from_register(F.col("_c"))
+    named = T.with_values(clear.join(hit, "stem", "left_anti"), _who=T.counterparty_from_register(F.col("_c")))
     return (
-        clear.join(hit, "stem", "left_anti")
-        .select("stem", resolved["id"].alias("company_id"), resolved["name"].alias("company_name"))
+        named.select("stem", F.col("_who.id").alias("company_id"), F.col("_who.name").alias("company_name"))
         .groupBy("stem").agg(F.min(F.struct("company_id", "company_name")).alias("_best"))
         .select("stem", "_best.company_id", "_best.company_name")
     )
@@ -131,8 +129,7 @@ def counterparty_from_document(df: DataFrame, stems: DataFrame | None = None,
     then companies by stem in the same order, then the site's owner, else unknown."""
     named = df.withColumn("_file", T.file_name(F.col(document)))
     tried = [*fields, "_file"]
-    known = F.coalesce(*[T.classify_counterparty(F.col(c)) for c in tried])
-    result = named.withColumn("_known", known)
+    result = T.with_values(named, _known=F.coalesce(*[T.classify_counterparty(F.col(c)) for c in tried]))
     company = F.lit(None).cast("string")
     company_name = company
     if stems is not None:
