@@ -8,7 +8,7 @@ from rungline.operators import compare as K
 
 from . import lines as L
 from . import series as Q
-from .views import cte, iso, view
+from .views import cte, iso, table, view
 
 AT = "DATE '1998-06-15'"
 LATE = "DATE '2001-03-10'"
@@ -28,10 +28,14 @@ def prices(spark, sf):
     return index(spark, sf).select("month", (100 + (F.col("value") - 100) * 0.5).alias("value"))
 
 
-def ids(df, low=10, high=20):
-    """Unions with a number in a range, the ids a reader asks for."""
-    return df.select("union_key").distinct().where(
-        F.substring("union_key", 2, 10).cast("int").between(low, high))
+def ids(df):
+    """Every union; a reader may ask for fewer."""
+    return df.select("union_key").distinct()
+
+
+def asked(spark, sf):
+    """The ids of a request: one per supplier, not all of which exist."""
+    return table(spark, sf, "supplier").select(F.concat(F.lit("u"), (F.col("s_suppkey") * 13).cast("string")).alias("union_key"))
 
 
 def q_as_of(spark, sf):
@@ -59,9 +63,9 @@ def q_year_end(spark, sf):
 
 def q_selected(spark, sf):
     points = Q.points(spark, sf)
-    asked = ids(points).unionByName(points.select(F.lit("u-none").alias("union_key")).distinct())
-    found = K.select_ids(points, asked).groupBy("union_key").agg(F.count(F.lit(1)).alias("n"))
-    missing = K.unknown_ids(points, asked).select("union_key", F.lit(None).cast("bigint").alias("n"))
+    wanted = asked(spark, sf)
+    found = K.select_ids(points, wanted).groupBy("union_key").agg(F.count(F.lit(1)).alias("n"))
+    missing = K.unknown_ids(points, wanted).select("union_key", F.lit(None).cast("bigint").alias("n"))
     return found.unionByName(missing)
 
 
@@ -104,7 +108,7 @@ def q_compare(spark, sf):
 
 def q_compare_single(spark, sf):
     rows = main_series(spark, sf)
-    out = K.compare(rows, ids(rows, 12, 12), {"index": index(spark, sf)}, F.expr(NOW))
+    out = K.compare(rows, rows.where("union_key = 'u12'").select("union_key"), {"index": index(spark, sf)}, F.expr(NOW))
     return iso(out.withColumn("rebased", F.round("rebased", 6)))
 
 
@@ -128,8 +132,8 @@ SELECT DISTINCT union_key, counterparty FROM series EXCEPT SELECT union_key, cou
     "until_year_end": (q_year_end, cte("v_increase") + "," + Q.POINTS + """
 SELECT union_key, count(*) AS n, CAST(max(valid_from) AS VARCHAR) AS last FROM points WHERE valid_from <= DATE '2000-12-31' GROUP BY union_key"""),
     "selected_unions": (q_selected, cte("v_increase") + "," + Q.POINTS + """
-SELECT union_key, count(*) AS n FROM points WHERE CAST(substr(union_key, 2) AS INT) BETWEEN 10 AND 20 GROUP BY union_key
-UNION ALL SELECT 'u-none', NULL"""),
+SELECT concat('u', s_suppkey * 13) AS union_key, nullif(count(points.union_key), 0) AS n
+FROM supplier LEFT JOIN points ON points.union_key = concat('u', s_suppkey * 13) GROUP BY ALL"""),
     "default_unions": (q_default, L.SERIES_MAIN + """
 SELECT union_key, n_increases FROM unions WHERE grade = 'samfelld' ORDER BY n_increases DESC, union_key LIMIT 4"""),
     "benchmark_member": (q_benchmark_member, cte("v_month_index") + "SELECT CAST(month AS VARCHAR) AS month, round(value, 6) AS value FROM v_month_index"),
@@ -165,8 +169,7 @@ SELECT union_key, CAST(round(CAST((v1 / v0 - 1) * 100 AS DECIMAL(28,8)), 4) AS D
        CAST(round(CAST((v1 / v0 / (p1 / p0) - 1) * 100 AS DECIMAL(28,8)), 4) AS DOUBLE) AS real_change
 FROM a JOIN z USING (union_key), p WHERE v0 > 0 AND p0 IS NOT NULL AND p1 IS NOT NULL"""),
     "compare_on_base_date": (q_compare, SM + "," + PRICES + f""",
-pts AS (SELECT union_key, valid_from, stretch_index FROM ms WHERE stretch_index IS NOT NULL AND valid_from <= DATE '2000-12-31'
-        AND CAST(substr(union_key, 2) AS INT) BETWEEN 10 AND 20),
+pts AS (SELECT union_key, valid_from, stretch_index FROM ms WHERE stretch_index IS NOT NULL AND valid_from <= DATE '2000-12-31'),
 ok AS (SELECT union_key, arg_max(stretch_index, valid_from) FILTER (valid_from <= {AT}) AS b FROM pts GROUP BY union_key HAVING count(*) > 1),
 reb AS (SELECT union_key, {AT} AS d, 100e0 AS rebased FROM ok WHERE b > 0
         UNION ALL SELECT union_key, valid_from, {R6.format('stretch_index / b * 100')} FROM pts JOIN ok USING (union_key) WHERE b > 0 AND valid_from > {AT}),

@@ -119,7 +119,7 @@ def folded(spark, sf):
 
 def members(df):
     number = F.substring("union_key", 2, 10).cast("int")
-    return (df.select("union_key").distinct().where(number.between(3, 29))
+    return (df.select("union_key").distinct().where(number >= 3)
             .select(F.col("union_key").alias("member"),
                     F.concat(F.lit("u"), (number % 3).cast("string")).alias("federation"),
                     F.lit("1-URGENT").alias("counterparty")))
@@ -222,7 +222,7 @@ FROM s LEFT JOIN main USING (union_key)"""),
 SELECT union_key, counterparty, CAST(valid_from AS VARCHAR) AS valid_from, pct, amount, sources, filled_from FROM folded"""),
     "federation_inheritance": (q_inherit, P + """,
 mem AS (SELECT DISTINCT union_key AS member, concat('u', CAST(CAST(substr(union_key, 2) AS INT) % 3 AS VARCHAR)) AS federation
-        FROM points WHERE CAST(substr(union_key, 2) AS INT) BETWEEN 3 AND 29),
+        FROM points WHERE CAST(substr(union_key, 2) AS INT) >= 3),
 taken AS (SELECT member AS union_key, counterparty, valid_from, pct, amount, sources, federation AS inherited_from
           FROM mem JOIN points p ON p.union_key = federation AND counterparty = '1-URGENT'),
 own AS (SELECT union_key, counterparty, valid_from, pct, amount, sources, CAST(NULL AS VARCHAR) AS inherited_from FROM points p

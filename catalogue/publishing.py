@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rungline import session
@@ -96,9 +97,12 @@ def q_manifest(spark, sf):
 
 
 def q_order(spark, sf):
-    """Output order of the series: union, main line first, counterparty, date."""
-    rows = sinks.order_output(L.with_main(spark, sf), ["union_key", F.desc("is_main"), "counterparty", "valid_from"])
-    return iso(rows.select("union_key", "is_main", "counterparty", "valid_from").limit(100))
+    """Output order of the series (main line first, then counterparty, then date),
+    as each row's place within its union."""
+    rows = L.with_main(spark, sf)
+    order = Window.partitionBy("union_key").orderBy(F.desc("is_main"), "counterparty", "valid_from")
+    placed = sinks.order_output(rows.withColumn("place", F.row_number().over(order)), ["union_key", "place"])
+    return iso(placed.select("union_key", "is_main", "counterparty", "valid_from", "place"))
 
 
 def q_upper_median(spark, sf):
@@ -213,9 +217,10 @@ SELECT (SELECT count(*) FROM v_increase) AS haekkanir, (SELECT CAST(min(year(val
   (SELECT CAST(max(year(valid_from)) AS INTEGER) FROM v_increase) AS sidasta_ar, (SELECT count(DISTINCT union_key) FROM series) AS felog,
   (SELECT count(*) FROM series) AS maelipunktar, (SELECT count(DISTINCT (union_key, counterparty)) FROM series) AS samningslinur,
   (SELECT count(*) FROM (SELECT 1 FROM ch WHERE change BETWEEN -2 AND 25 GROUP BY doc_id, from_date, to_date HAVING count(*) >= 3)) AS taxtahaekkanir"""),
-    "series_order_top": (q_order, L.SERIES_MAIN + """
-SELECT union_key, CASE WHEN counterparty = main_counterparty THEN 1 ELSE 0 END AS is_main, counterparty, CAST(valid_from AS VARCHAR) AS valid_from
-FROM series LEFT JOIN main USING (union_key) ORDER BY union_key, is_main DESC, counterparty, series.valid_from LIMIT 100"""),
+    "series_order": (q_order, L.SERIES_MAIN + """,
+o AS (SELECT union_key, CASE WHEN counterparty = main_counterparty THEN 1 ELSE 0 END AS is_main, counterparty, valid_from FROM series LEFT JOIN main USING (union_key))
+SELECT union_key, is_main, counterparty, CAST(valid_from AS VARCHAR) AS valid_from,
+       CAST(row_number() OVER (PARTITION BY union_key ORDER BY is_main DESC, counterparty, o.valid_from) AS INTEGER) AS place FROM o"""),
     "upper_median": (q_upper_median, cte("v_increase") + """
 SELECT list_sort(list(pct) FILTER (pct IS NOT NULL))[count(pct) // 2 + 1] AS median FROM v_increase"""),
     "ceiling_comparison": (q_ceiling, SM + "," + CEILING + """
