@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from rungline.functions import text as T
 from rungline.operators import review as V
+from rungline.session import cut_lineage
 
 from . import comparison as K
 from . import lines as L
@@ -15,8 +16,12 @@ RECENT, ENDING = "DATE '1998-01-01'", "DATE '1992-01-01'"
 NAME = """CASE WHEN CAST(substr(union_key, 2) AS INT) % 2 = 0 THEN union_key ELSE concat('félag ', union_key) END"""
 
 
-def gaps(spark, sf):
-    main = K.main_series(spark, sf)
+def main_rows(spark, sf):
+    """Main-line series, kept for the several passes of a gap query."""
+    return cut_lineage(K.main_series(spark, sf))
+
+
+def gaps(main):
     last = main.groupBy("union_key").agg(F.max("valid_from").alias("last_date"))
     day = F.unix_date("gap_to")
     all_gaps = V.find_gaps(main, last, F.expr(RECENT), F.expr(ENDING))
@@ -25,19 +30,24 @@ def gaps(spark, sf):
 
 
 def q_gaps(spark, sf):
-    return iso(gaps(spark, sf).drop("own_pct"))
+    return iso(gaps(main_rows(spark, sf)).drop("own_pct"))
 
 
 def q_gap_counts(spark, sf):
-    return V.gap_counts(gaps(spark, sf))
+    return V.gap_counts(gaps(main_rows(spark, sf)))
+
+
+def common(spark, sf):
+    main = main_rows(spark, sf)
+    return V.common_in_gap(cut_lineage(gaps(main)), main)
 
 
 def q_common(spark, sf):
-    return iso(V.common_in_gap(gaps(spark, sf), K.main_series(spark, sf)))
+    return iso(common(spark, sf))
 
 
 def q_common_text(spark, sf):
-    return iso(V.describe_common(V.common_in_gap(gaps(spark, sf), K.main_series(spark, sf))))
+    return iso(V.describe_common(common(spark, sf)))
 
 
 def q_contracts(spark, sf):
@@ -49,8 +59,9 @@ def q_contracts(spark, sf):
                 T.normalize_union(F.concat("_name", F.lit(" stéttarfélag"))).alias("holder_norm"),
                 F.lower(F.concat(F.lit("Stéttarfélagið "), "_name", F.lit(" ; "), "_name")).alias("holder_raw"))
     )
-    asked = (gaps(spark, sf).join(L.main_lines(spark, sf), "union_key")
-             .withColumn("union_norm", T.normalize_union(F.expr(NAME))))
+    main = main_rows(spark, sf)
+    asked = cut_lineage(gaps(main).join(main.select("union_key", "main_counterparty").distinct(), "union_key")
+                        .withColumn("union_norm", T.normalize_union(F.expr(NAME))))
     return iso(V.contracts_in_gap(asked, contracts).select("union_key", "gap_from", "gap_to", "rank", "contract_id"))
 
 

@@ -5,11 +5,13 @@ for results to agree: enumerations, word lists, lookup tables, thresholds and
 text patterns. Nothing here is logic. All literals are Icelandic data and are
 compared as they stand.
 
-Patterns start with the flags ``UNICODE``: case-insensitive, Unicode letters
-and word boundaries, and newline as the only line end.
+Patterns start with flags: ``UNICODE`` is case-insensitive, with Unicode
+letters and word boundaries, and newline as the only line end; ``LOWER`` is the
+same for text that was put into lower case before, which matches far faster.
 """
 
 UNICODE = "(?iuUd)"
+LOWER = "(?Ud)"
 
 # --- fixed values: enumerations ---------------------------------------------
 
@@ -120,17 +122,17 @@ DATE_IN_TEXT = (
 )
 PERCENT_IN_TEXT = r"(?U)(?<![\d.,])(\d{1,2}(?:[.,]\d{1,2})?)\s*%"
 AMOUNT_IN_TEXT = (
-    UNICODE + r"(?:kr\.?\s*(?<![\d.,])(\d{1,3}(?:\.\d{3})+|\d{4,7})"
+    LOWER + r"(?:kr\.?\s*(?<![\d.,])(\d{1,3}(?:\.\d{3})+|\d{4,7})"
     r"|(?<![\d.,])(\d{1,3}(?:\.\d{3})+|\d{4,7})\s*(?:kr\.?|krón\w*))"
 )
 
 # --- fixed values: context words around an increase ---------------------------
 
-WAGE_WORD = UNICODE + (
+WAGE_WORD = LOWER + (
     r"\blaun|\bkaup|taxt|mánaðarlaun|grunnlaun|byrjunarlaun|launaflokk|"
     r"launatafl|launali[ðd]|kjarataxt|tímakaup|dagvinn"
 )
-EXCLUDED_PAYMENT = UNICODE + (
+EXCLUDED_PAYMENT = LOWER + (
     r"iðgjald|lífeyri|mótframlag|séreign|sjúkrasjó[ðd]|starfsmennta|"
     r"orlofsheimil|félagsgjald|tryggingagjald|vaxta|verðbólg|"
     r"framlag í|sjóðfélag|endurmenntun|vísitala neysluverðs|"
@@ -140,44 +142,44 @@ EXCLUDED_PAYMENT = UNICODE + (
     r"bifreiðastyrk|fatapening|akstursgjald|námskeiðaálag|"
     r"vátryggingarfjárhæð|slysatrygg|starfsaldursálag"
 )
-FUND_FEE = UNICODE + (
+FUND_FEE = LOWER + (
     r"(?<!ríkis)sjóð|virk-?starfsendurhæf|\bvirk\b|starfsendurhæfing|"
     r"iðgjald|mótframlag|\bframlag\s+(?:í|til)\b|gjald\s+(?:í|til)\b|"
     r"greið\w*\s+\d[\d.,]*\s*%\s*(?:af|í|til)\b"
 )
-PRECEDING_SURCHARGE = UNICODE + r"persónuálag|starfsaldursálag"
-ENTITLEMENT_SHARE = UNICODE + (
+PRECEDING_SURCHARGE = LOWER + r"persónuálag|starfsaldursálag"
+ENTITLEMENT_SHARE = LOWER + (
     r"orlofs(?:laun|prósent|ávinnsl|rétt\w*|fé)[^.]{0,30}?\d[\d.,]*\s*%|"
     r"(?:skal\s+(?:hann|hún|starfsma\w+)\s+fá|á\s+rétt\s+á|fá\s+þó)"
     r"[^.]{0,20}?\d[\d.,]*\s*%|"
     r"starfsaldri?\s+eða\s+\d+\s*ára\s+aldur"
 )
-WAGE_LEVEL = UNICODE + (
+WAGE_LEVEL = LOWER + (
     r"í\s*(?:kr\.?\s*)?\d|skal vera|skulu vera|verða\s*(?:kr\.?\s*)?\d|"
     r"reiknast|nemur\s*\d|% hærri|hærri en"
 )
-CHANGE_WORD = UNICODE + (
+CHANGE_WORD = LOWER + (
     r"hækk|lækk|breyt(?:ast|ist|ing)|taka? hlutfallsh|"
     r"kemur til framkvæmda|áfangahækkun"
 )
-CONDITION_BEFORE_DATE = UNICODE + (
+CONDITION_BEFORE_DATE = LOWER + (
     r"(?:hófu|hóf|hafið|hefja|hefur hafið)\s+(?:þá\s+)?störf[^.]{0,30}$|"
     r"ráðni[rn][^.]{0,25}$|starfað[^.]{0,25}$|"
     r"til og með\s*$|gildir til\s*$|rann út\s*$"
 )
 BASIS_PATTERNS = [
-    ("kauptaxtar", UNICODE + r"kauptaxt|launataxt|taxtakaup|taxtalaun|kauptöxt"),
-    ("launatafla", UNICODE + r"launatafl|launaflokk|launaþrep|launatöfl"),
-    ("lágmarkstekjur", UNICODE + r"lágmarkstekj|lágmarkslaun|tekjutrygg"),
-    ("byrjunarlaun", UNICODE + r"byrjunarlaun|upphafslaun"),
-    ("almenn laun", UNICODE + r"öll laun|almenn\w* (?:launa)?hækk|mánaðarlaun|"
-                              r"grunnlaun|laun hækka|hækka laun|dagvinnulaun"),
+    ("kauptaxtar", LOWER + r"kauptaxt|launataxt|taxtakaup|taxtalaun|kauptöxt"),
+    ("launatafla", LOWER + r"launatafl|launaflokk|launaþrep|launatöfl"),
+    ("lágmarkstekjur", LOWER + r"lágmarkstekj|lágmarkslaun|tekjutrygg"),
+    ("byrjunarlaun", LOWER + r"byrjunarlaun|upphafslaun"),
+    ("almenn laun", LOWER + r"öll laun|almenn\w* (?:launa)?hækk|mánaðarlaun|"
+                            r"grunnlaun|laun hækka|hækka laun|dagvinnulaun"),
 ]
-FLOOR_WORD = UNICODE + (
+FLOOR_WORD = LOWER + (
     r"að lágmarki|þó (?:eigi|ekki) (?:um )?lægri|hi[ðd] minnsta|"
     r"lágmarkshækkun|krónutöluhækkun að lágmarki"
 )
-OR_WORD = UNICODE + r"\beða\b"
+OR_WORD = LOWER + r"\beða\b"
 
 # --- fixed values: contract documents ----------------------------------------
 
@@ -253,7 +255,7 @@ PROFILE_DATE_FIRST = UNICODE + (
 PROFILE_PERCENT_FIRST = UNICODE + (
     rf"{_PROFILE_PERCENT}\s*(?:hækkun\s*)?(?:frá|þann|hinn|fr\.o\.m\.?|1\.)?\s*{_PROFILE_DATE}"
 )
-PROFILE_WORD = UNICODE + r"hækk|launabreyting|launaþróun|kauptaxt|taxtahækk|launahækk"
+PROFILE_WORD = LOWER + r"hækk|launabreyting|launaþróun|kauptaxt|taxtahækk|launahækk"
 PROFILE_YEARS = (1940, 2035)
 PROFILE_PERCENT = (0.0, 40.0)
 UNKNOWN = "óþekkt"

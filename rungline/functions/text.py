@@ -265,18 +265,22 @@ def month_gap(earlier: Column, later: Column) -> Column:
 # ------------------------------------------------------- increase wording
 
 def classify_basis(context: Column) -> Column:
-    first, *rest = X.BASIS_PATTERNS
-    chain = F.when(context.rlike(first[1]), first[0])
-    for name, pattern in rest:
-        chain = chain.when(context.rlike(pattern), name)
-    return chain.otherwise(X.BASIS_UNSPECIFIED)
+    def first_pattern(low: Column) -> Column:
+        chain = None
+        for name, pattern in X.BASIS_PATTERNS:
+            hit = low.rlike(pattern)
+            chain = F.when(hit, name) if chain is None else chain.when(hit, name)
+        return chain.otherwise(X.BASIS_UNSPECIFIED)
+
+    return once(F.lower(context), first_pattern)
 
 
 def increase_type(pct: Column, amount: Column, context: Column) -> Column:
     both = pct.isNotNull() & amount.isNotNull()
+    low = F.lower(context)
     return (
-        F.when(both & context.rlike(X.OR_WORD), X.TYPE_EITHER)
-        .when(both & context.rlike(X.FLOOR_WORD), X.TYPE_FLOOR)
+        F.when(both & low.rlike(X.OR_WORD), X.TYPE_EITHER)
+        .when(both & low.rlike(X.FLOOR_WORD), X.TYPE_FLOOR)
         .when(both, X.TYPE_BOTH)
         .when(pct.isNotNull(), X.TYPE_PERCENT)
         .otherwise(X.TYPE_AMOUNT)

@@ -83,7 +83,7 @@ def date_anchors(docs: DataFrame, keep: Sequence[str], text: str = "text") -> Da
 
 
 def _amount(window: Column) -> Column:
-    return F.nullif(F.regexp_replace(F.regexp_extract(window, X.AMOUNT_IN_TEXT, 0), "[^0-9]", ""),
+    return F.nullif(F.regexp_replace(F.regexp_extract(F.lower(window), X.AMOUNT_IN_TEXT, 0), "[^0-9]", ""),
                     F.lit("")).try_cast("bigint")
 
 
@@ -103,7 +103,7 @@ def extract_increases(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text:
     dated = date_anchors(docs, carried, text)
     forward, backward = F.left("after", F.col("forward")), F.right("before", F.col("back"))
     found = T.with_values(
-        dated, _condition=T.squeeze(F.right("before", F.lit(60))).rlike(X.CONDITION_BEFORE_DATE),
+        dated, _condition=F.lower(T.squeeze(F.right("before", F.lit(60)))).rlike(X.CONDITION_BEFORE_DATE),
         _pct=_percent(forward), _amount=_amount(forward))
     ahead = F.col("_pct").isNotNull() | F.col("_amount").isNotNull()
     valued = T.with_values(
@@ -123,10 +123,11 @@ def extract_increases(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text:
     reach = F.least(F.length("before"), F.col("_span_back") + 150)
     preceding = T.squeeze(F.left(F.right("before", reach), reach - F.col("_span_back")))
     in_context = T.with_values(valued, _context=around(200, 120))
-    in_context = in_context.where(
-        F.col("_context").rlike(X.WAGE_WORD) & F.col("_context").rlike(X.CHANGE_WORD)
-        & ~F.col("_context").rlike(X.EXCLUDED_PAYMENT))
-    judged = T.with_values(in_context, _near=around(0, 40), _wide=around(120, 40), _preceding=preceding).where(
+    in_context = T.with_values(in_context, _low=F.lower("_context")).where(
+        F.col("_low").rlike(X.WAGE_WORD) & F.col("_low").rlike(X.CHANGE_WORD)
+        & ~F.col("_low").rlike(X.EXCLUDED_PAYMENT))
+    judged = T.with_values(
+        in_context, _near=F.lower(around(0, 40)), _wide=F.lower(around(120, 40)), _preceding=F.lower(preceding)).where(
         ~F.col("_near").rlike(X.WAGE_LEVEL) & ~F.col("_near").rlike(X.FUND_FEE)
         & ~F.col("_wide").rlike(X.ENTITLEMENT_SHARE) & ~F.col("_preceding").rlike(X.PRECEDING_SURCHARGE))
     return _finish(judged, keep, start, end)
@@ -183,7 +184,7 @@ def profile_hits(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str =
         rows = (
             matches(texts, "_text", pattern)
             .select(*keep, F.explode(F.transform("_found", hit)).alias("_h"))
-            .where(F.col("_h.around").rlike(X.PROFILE_WORD))
+            .where(F.lower("_h.around").rlike(X.PROFILE_WORD))
         )
         day, month, year, pct = [F.regexp_extract("_h.match", pattern, g) for g in groups]
         rows = rows.select(

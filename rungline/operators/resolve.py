@@ -126,27 +126,31 @@ def counterparty_from_document(df: DataFrame, stems: DataFrame | None = None,
                                fields: Sequence[str] = ("party_1", "party_2"), document: str = "document",
                                site: str = "site", row: str = "row_id") -> DataFrame:
     """Adds ``counterparty`` and its name: rules on the parties and the file name,
-    then companies by stem in the same order, then the site's owner, else unknown."""
+    then companies by stem in the same order, then the site's owner, else unknown.
+
+    Decided once per distinct set of texts.
+    """
     named = df.withColumn("_file", T.file_name(F.col(document)))
+    for f in fields:
+        named = named.withColumn(f, F.coalesce(f, F.lit("")))
     tried = [*fields, "_file"]
-    result = T.with_values(named, _known=F.coalesce(*[T.classify_counterparty(F.col(c)) for c in tried]))
-    company = F.lit(None).cast("string")
-    company_name = company
+    texts = named.groupBy(*tried).agg(F.count(F.lit(1)).alias("_rows"))
+    known = T.with_values(texts, _id=F.coalesce(*[T.classify_counterparty(F.col(c)) for c in tried]))
     if stems is not None:
-        texts = named.select(*tried).select(F.explode(F.array(*tried)).alias("_text"))
-        found = find_company(texts, stems, "_text")
-        asked = result.where("_known is null").select(row, F.posexplode(F.array(*tried)).alias("_pos", "_text"))
-        per_row = (
-            asked.join(found, "_text").groupBy(row)
-            .agg(F.min(F.struct("_pos", "company_id", "company_name")).alias("_company"))
-        )
-        result = result.join(per_row, row, "left")
-        company, company_name = F.col("_company.company_id"), F.col("_company.company_name")
+        asked = known.where("_id is null").select(*tried, F.posexplode(F.array(*tried)).alias("_pos", "_text"))
+        found = asked.join(find_company(asked, stems, "_text"), "_text").groupBy(*tried).agg(
+            F.min(F.struct("_pos", "company_id", "company_name")).alias("_company"))
+        known = known.join(found, tried, "left").select(
+            *tried, "_rows", F.coalesce("_id", "_company.company_id").alias("_id"), F.col("_company.company_name").alias("_name"))
+    else:
+        known = known.withColumn("_name", F.lit(None).cast("string"))
+    answered = join_lookup(named, known, tried, "_rows", [row]).drop("_rows")
     owner = T.lookup(F.col(site), X.COUNTERPARTY_SITES)
-    ident = F.coalesce("_known", company, owner, F.lit(X.UNKNOWN_COUNTERPARTY))
-    out = result.withColumn("counterparty", ident).withColumn(
-        "counterparty_name", F.coalesce(T.counterparty_name(F.col("counterparty")), company_name))
-    return out.drop("_file", "_known", "_company")
+    return (
+        answered.withColumn("counterparty", F.coalesce("_id", owner, F.lit(X.UNKNOWN_COUNTERPARTY)))
+        .withColumn("counterparty_name", F.coalesce(T.counterparty_name(F.col("counterparty")), "_name"))
+        .drop("_file", "_id", "_name")
+    )
 
 
 # ---------------------------------------------------------------- documents

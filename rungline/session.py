@@ -18,6 +18,8 @@ def build(app: str = "rungline", master: str | None = None, partitions: int | No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # text rules are heavy on little data: keep small shuffles on several cores
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.ui.enabled", "false")
     )
     if master:
