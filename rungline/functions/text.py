@@ -229,8 +229,9 @@ def unreadable(raw: Column, parsed: Column) -> Column:
 
 def make_date(year: Column, month: Column, day: Column) -> Column:
     """A date, or NULL where the calendar has none (31 February)."""
-    text = F.format_string("%04d-%02d-%02d", year.cast("int"), month.cast("int"), day.cast("int"))
-    return F.when(year.isNotNull() & month.isNotNull() & day.isNotNull(), text.try_cast("date"))
+    first = F.make_date(year.cast("int"), month.cast("int"), F.lit(1))
+    exists = year.between(1, 9999) & month.between(1, 12) & day.between(F.lit(1), F.dayofmonth(F.last_day(first)))
+    return F.when(exists, F.date_add(first, day.cast("int") - 1))
 
 
 def month_number(word: Column) -> Column:

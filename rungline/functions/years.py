@@ -5,7 +5,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed as X
-from .text import make_date
+from .text import make_date, once
 
 
 def plausible_window(start: Column, end: Column) -> tuple[Column, Column]:
@@ -33,22 +33,31 @@ def resolve_year(day: Column, month: Column, year: Column,
                  start: Column, end: Column) -> Column:
     """struct(date, status); ``date`` is NULL when the increase must be dropped."""
     low, high = plausible_window(start, end)
+    return once(F.struct(low.alias("low"), high.alias("high")),
+                lambda w: _resolve(day, month, year, w["low"], w["high"]))
+
+
+def _resolve(day: Column, month: Column, year: Column, low: Column, high: Column) -> Column:
     bounded = low.isNotNull() & high.isNotNull()
-    years = F.when(bounded & (low <= high), F.sequence(F.year(low), F.year(high))).otherwise(
-        F.array().cast("array<int>"))
-    fits = F.filter(F.transform(years, lambda y: make_date(y, month, day)),
-                    lambda d: d.between(low, high))
-    one_digit_off = F.filter(fits, lambda d: _digits_that_differ(F.year(d), year) == 1)
     written = make_date(year, month, day)
-    dated = year.isNotNull() & written.isNotNull()
-    corrected = dated & ~F.coalesce(written.between(low, high), ~bounded) & (F.size(one_digit_off) == 1)
-    return F.struct(
-        F.when(corrected, F.try_element_at(one_digit_off, F.lit(1)))
-        .when(year.isNotNull(), written)
-        .otherwise(F.try_element_at(fits, F.lit(1))).alias("date"),
-        F.when(dated & F.coalesce(written.between(low, high), ~bounded), X.YEAR_FROM_TEXT)
-        .when(corrected, X.YEAR_CORRECTED)
-        .when(dated, X.YEAR_SUSPICIOUS)
-        .when(year.isNull() & (F.size(fits) == 1), X.YEAR_INFERRED)
-        .when(year.isNull() & (F.size(fits) > 1), X.YEAR_INFERRED_UNSURE).alias("status"),
+    in_window = written.isNotNull() & F.coalesce(written.between(low, high), ~bounded)
+    years = F.when(bounded & (low <= high) & ~in_window, F.sequence(F.year(low), F.year(high))).otherwise(
+        F.array().cast("array<int>"))
+    candidates = F.filter(F.transform(years, lambda y: make_date(y, month, day)),
+                          lambda d: d.between(low, high))
+
+    def outside(fits: Column) -> Column:
+        one_digit_off = F.filter(fits, lambda d: _digits_that_differ(F.year(d), year) == 1)
+        return F.when(year.isNull(), F.struct(
+            F.get(fits, F.lit(0)).alias("date"),
+            F.when(F.size(fits) == 1, X.YEAR_INFERRED).when(F.size(fits) > 1, X.YEAR_INFERRED_UNSURE).alias("status"),
+        )).otherwise(once(one_digit_off, lambda off: F.when(
+            F.size(off) == 1, F.struct(F.get(off, F.lit(0)).alias("date"), F.lit(X.YEAR_CORRECTED).alias("status"))
+        ).otherwise(F.struct(written.alias("date"), F.lit(X.YEAR_SUSPICIOUS).alias("status")))))
+
+    return (
+        F.when(in_window, F.struct(written.alias("date"), F.lit(X.YEAR_FROM_TEXT).alias("status")))
+        .when(year.isNotNull() & written.isNull(), F.struct(
+            F.lit(None).cast("date").alias("date"), F.lit(None).cast("string").alias("status")))
+        .otherwise(once(candidates, outside))
     )
