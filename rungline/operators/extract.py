@@ -124,12 +124,12 @@ def extract_increases(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text:
     preceding = T.squeeze(F.left(F.right("before", reach), reach - F.col("_span_back")))
     in_context = T.with_values(valued, _context=around(200, 120))
     in_context = T.with_values(in_context, _low=F.lower("_context")).where(
-        F.col("_low").rlike(X.WAGE_WORD) & F.col("_low").rlike(X.CHANGE_WORD)
-        & ~F.col("_low").rlike(X.EXCLUDED_PAYMENT))
+        T.mentions(F.col("_low"), X.WAGE_WORD) & T.mentions(F.col("_low"), X.CHANGE_WORD)
+        & ~T.mentions(F.col("_low"), X.EXCLUDED_PAYMENT))
     judged = T.with_values(
         in_context, _near=F.lower(around(0, 40)), _wide=F.lower(around(120, 40)), _preceding=F.lower(preceding)).where(
-        ~F.col("_near").rlike(X.WAGE_LEVEL) & ~F.col("_near").rlike(X.FUND_FEE)
-        & ~F.col("_wide").rlike(X.ENTITLEMENT_SHARE) & ~F.col("_preceding").rlike(X.PRECEDING_SURCHARGE))
+        ~T.mentions(F.col("_near"), X.WAGE_LEVEL) & ~T.mentions(F.col("_near"), X.FUND_FEE)
+        & ~T.mentions(F.col("_wide"), X.ENTITLEMENT_SHARE) & ~T.mentions(F.col("_preceding"), X.PRECEDING_SURCHARGE))
     return _finish(judged, keep, start, end)
 
 
@@ -184,7 +184,7 @@ def profile_hits(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str =
         rows = (
             matches(texts, "_text", pattern)
             .select(*keep, F.explode(F.transform("_found", hit)).alias("_h"))
-            .where(F.lower("_h.around").rlike(X.PROFILE_WORD))
+            .where(T.mentions(F.lower("_h.around"), X.PROFILE_WORD))
         )
         day, month, year, pct = [F.regexp_extract("_h.match", pattern, g) for g in groups]
         rows = rows.select(
