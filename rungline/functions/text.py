@@ -35,7 +35,9 @@ def mentions(low: Column, pattern: str) -> Column:
         if c == "|" and depth == 0:
             word, start = body[start:i], i + 1
             (patterns if set(word) & set("\\[](){}?*+.^$|") else words).append(word)
-    tests = [F.contains(low, F.lit(w)) for w in words]
+    # one small loop over a literal list: spelled out, the generated code of a
+    # stage grows past what the JVM compiles
+    tests = [F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low, w))] if words else []
     if patterns:
         tests.append(low.rlike(X.LOWER + "|".join(patterns)))
     return reduce(lambda a, b: a | b, tests)
