@@ -66,6 +66,12 @@ SELECT m AS month, 100e0 + 0.6e0 * (row_number() OVER (ORDER BY m) - 1) AS value
 FROM (SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS date) AS m FROM {lineitem}) t
 """
 
+# the literal steps and years of v_rate, which Spark generates per row
+LITERAL_ROWS = {
+    "CROSS JOIN (VALUES (1),(2),(3)) AS s(step)": "LATERAL VIEW explode(array(1, 2, 3)) s AS step",
+    "CROSS JOIN (VALUES (2020),(2021),(2022)) AS y(yr)": "LATERAL VIEW explode(array(2020, 2021, 2022)) y AS yr",
+}
+
 VIEWS = {
     "v_increase": (V_INCREASE, "orders"),
     "v_sector": (V_SECTOR, "orders"),
@@ -94,6 +100,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text, base = VIEWS[name]
+    for fixed_rows, exploded in LITERAL_ROWS.items():
+        text = text.replace(fixed_rows, exploded)
     return spark.sql(text, **{base: table(spark, sf_dir, base)})
 
 
