@@ -41,27 +41,26 @@ def most_frequent(df: DataFrame, keys: Sequence[str], value: str, row: str,
 
 
 def join_lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], rows: str,
-                spread_by: Sequence[str], how: str = "left",
-                hot_rows: int = HOT_ROWS, spread: int = SPREAD) -> DataFrame:
-    """Join a large side to a table with one row per key, safe for hot keys.
+                spread_by: Sequence[str], hot_rows: int = HOT_ROWS, spread: int = SPREAD) -> DataFrame:
+    """Left join of a large side to a table with one row per key, safe for hot keys.
 
     ``table`` carries in ``rows`` how many rows of ``df`` share the key. Keys
-    with ``hot_rows`` or more are copied ``spread`` times and their rows are
-    spread over the copies by a hash of ``spread_by``. The hot keys are
-    broadcast; there can be at most (rows of df / hot_rows) of them.
+    with ``hot_rows`` or more are answered from a broadcast, which can have at
+    most (rows of df / hot_rows) entries; their rows are then spread over many
+    partitions by a hash of ``spread_by``. All other keys meet by a shuffle.
+    Both halves read the same aggregate, so Spark computes the table once.
     """
     keys = list(keys)
-    hot = table.where(F.col(rows) >= hot_rows).select(*keys, F.lit(True).alias("_hot"))
-    left = (
-        df.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(spread)))
-                    .otherwise(F.lit(0)).cast("int"))
-        .drop("_hot")
-    )
-    copies = F.when(F.col(rows) >= hot_rows, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(
-        F.array(F.lit(0)))
-    right = table.withColumn("_salt", F.explode(copies))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    values = [c for c in table.columns if c not in keys]
+    packed = table.select(*keys, F.struct(*values).alias("_v"))
+    hot = packed.where(F.col("_v")[rows] >= hot_rows).withColumnRenamed("_v", "_hot")
+    cold = packed.where(F.col("_v")[rows] < hot_rows).withColumn("_salt", F.lit(0))
+    place = F.pmod(F.xxhash64(*spread_by), F.lit(spread)).cast("int") + 1
+    left = df.join(F.broadcast(hot), keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot").isNotNull(), place).otherwise(F.lit(0)))
+    answer = F.coalesce("_hot", "_v")
+    return left.join(cold, [*keys, "_salt"], "left").select(
+        *df.columns, *[answer[c].alias(c) for c in values])
 
 
 def number_within(df: DataFrame, keys: Sequence[str], order: str, block: int,
