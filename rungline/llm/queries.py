@@ -3,8 +3,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rungline.llm import common, packing
+from rungline.llm import chat, common, mixing, packing, simhash
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -14,6 +15,43 @@ def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(common.documents(spark, sf_dir)).select(
+        "doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(common.table(spark, sf_dir, "documents"))
+
+
+def q_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                 F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.read_back(common.written(chat.format_conversations(rows.unionByName(hard)), "formatted"))
+
+
+CHAT_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), counted AS (
+  SELECT *, len(regexp_extract_all(text, '</?s>|\[/?INST\]|\[/?ROLE\]|\[SAYS\]')) AS n_text,
+         len(regexp_extract_all(role, '</?s>|\[/?INST\]|\[/?ROLE\]|\[SAYS\]')) AS n_role FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(text) + n_text + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9
+                ELSE 23 + length(role) + n_role END) AS BIGINT) AS formatted_chars
+FROM counted GROUP BY conv_id
+"""
+
 ENTRIES = {
     "op1_packing": (q_packing, None),
+    "op3_simhash": (q_simhash, None),
+    "op6_mixing": (q_mixing, None),
+    "op9_chat": (q_chat, CHAT_SQL),
 }
