@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rungline.llm import chat, common, mixing, packing, simhash
+from rungline.llm import chat, common, mixing, packing, quality, simhash, toxicity
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -32,6 +32,16 @@ def q_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(common.written(chat.format_conversations(rows.unionByName(hard)), "formatted"))
 
 
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    return toxicity.scored(docs, toxicity.learn(docs, common.table(spark, sf_dir, "labels")))
+
+
+def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(common.documents(spark, sf_dir), common.table(spark, sf_dir, "labels")).select(
+        "doc_id", *quality.BASE, "base_failed", "kept", "quality")
+
+
 CHAT_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -51,7 +61,9 @@ FROM counted GROUP BY conv_id
 
 ENTRIES = {
     "op1_packing": (q_packing, None),
+    "op2_toxicity": (q_toxicity, None),
     "op3_simhash": (q_simhash, None),
+    "op5_quality": (q_quality, None),
     "op6_mixing": (q_mixing, None),
     "op9_chat": (q_chat, CHAT_SQL),
 }
