@@ -5,9 +5,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rungline.llm import chat, common, mixing, packing, quality, simhash, toxicity
+from rungline.llm import chat, common, grammar, mixing, packing, quality, simhash, toxicity
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+WORD_VOCABULARY, WORD_IDS = public_tokenizers.path("word_bpe_49k.json"), 49_408
 
 
 def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +43,12 @@ def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *quality.BASE, "base_failed", "kept", "quality")
 
 
+def q_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = common.new_folder(spark, "shards")
+    grammar.write(common.documents(spark, sf_dir), WORD_VOCABULARY, path, WORD_IDS)
+    return grammar.read(spark, path, WORD_IDS)
+
+
 CHAT_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -66,4 +73,5 @@ ENTRIES = {
     "op5_quality": (q_quality, None),
     "op6_mixing": (q_mixing, None),
     "op9_chat": (q_chat, CHAT_SQL),
+    "op10_token_ids": (q_grammar, None),
 }
