@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rungline.llm import chat, common, grammar, mixing, packing, quality, simhash, toxicity
+from rungline.llm import chat, common, grammar, mixing, packing, quality, simhash, toxicity, vectors
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY, WORD_IDS = public_tokenizers.path("word_bpe_49k.json"), 49_408
@@ -49,6 +49,23 @@ def q_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.read(spark, path, WORD_IDS)
 
 
+def q_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(common.table(spark, sf_dir, "embeddings"))
+
+
+VECTORS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a
+), found AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT a AS vec_id, (SELECT count(*) FROM l WHERE l.a = found.a) AS n_links, component_id, a = component_id AS kept FROM found
+"""
+
+
 CHAT_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -72,6 +89,7 @@ ENTRIES = {
     "op3_simhash": (q_simhash, None),
     "op5_quality": (q_quality, None),
     "op6_mixing": (q_mixing, None),
+    "op7_vectors": (q_vectors, VECTORS_SQL),
     "op9_chat": (q_chat, CHAT_SQL),
     "op10_token_ids": (q_grammar, None),
 }
