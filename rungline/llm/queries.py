@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rungline.llm import chat, common, grammar, mixing, packing, quality, simhash, toxicity, vectors
+from rungline.llm import chat, common, grammar, mixing, packing, quality, simhash, suffixes, toxicity, vectors
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY, WORD_IDS = public_tokenizers.path("word_bpe_49k.json"), 49_408
@@ -53,6 +53,10 @@ def q_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(common.table(spark, sf_dir, "embeddings"))
 
 
+def q_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(common.documents(spark, sf_dir))
+
+
 VECTORS_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
@@ -90,6 +94,7 @@ ENTRIES = {
     "op5_quality": (q_quality, None),
     "op6_mixing": (q_mixing, None),
     "op7_vectors": (q_vectors, VECTORS_SQL),
+    "op8_suffixes": (q_suffixes, None),
     "op9_chat": (q_chat, CHAT_SQL),
     "op10_token_ids": (q_grammar, None),
 }
