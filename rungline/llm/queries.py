@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rungline.llm import chat, common, grammar, mixing, packing, quality, simhash, suffixes, toxicity, vectors
+from rungline.llm import chat, common, grammar, licenses, mixing, packing, quality, simhash, suffixes, toxicity, vectors
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY, WORD_IDS = public_tokenizers.path("word_bpe_49k.json"), 49_408
@@ -38,6 +38,10 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.learn(docs, common.table(spark, sf_dir, "labels")))
 
 
+def q_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(common.documents(spark, sf_dir))
+
+
 def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(common.documents(spark, sf_dir), common.table(spark, sf_dir, "labels")).select(
         "doc_id", *quality.BASE, "base_failed", "kept", "quality")
@@ -91,6 +95,7 @@ ENTRIES = {
     "op1_packing": (q_packing, None),
     "op2_toxicity": (q_toxicity, None),
     "op3_simhash": (q_simhash, None),
+    "op4_licenses": (q_licenses, None),
     "op5_quality": (q_quality, None),
     "op6_mixing": (q_mixing, None),
     "op7_vectors": (q_vectors, VECTORS_SQL),
