@@ -139,12 +139,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: int = 3) -
 
 def copied(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: int = 3) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, all columns as they are."""
-    key = ["doc_id", "source", "__text", "__n"]
-    again = Window.partitionBy("doc_id", "source", "__text").orderBy(F.lit(1))
-    marked = docs.withColumn("__text", F.xxhash64("text")).withColumn("__n", F.row_number().over(again))
-    sizes = common.written(docs.select("doc_id", "source", F.xxhash64("text").alias("__text"), words(F.col("text")).alias("size")), "sizes")
-    often = rated(sizes, weights, limit).withColumn("__n", F.row_number().over(again)).select(
-        *[F.col(k).alias(f"__r{i}") for i, k in enumerate(key)], "copies").where("copies > 0")
-    met = [F.col(k).eqNullSafe(F.col(f"__r{i}")) for i, k in enumerate(key)]
-    return (marked.join(often, met[0] & met[1] & met[2] & met[3])
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns))
+    key = ["doc_id", "source", "t"]
+    again = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1)))
+    code = F.xxhash64("text").alias("t")
+    sizes = common.written(docs.select("doc_id", "source", code, words(F.col("text")).alias("size")), "sizes")
+    rows = docs.select("doc_id", "source", code, F.struct(*[docs[c] for c in docs.columns]).alias("row")).withColumn("n", again)
+    often = rated(sizes, weights, limit).withColumn("n", again).where("copies > 0")
+    often = often.select(F.col("doc_id").alias("i"), F.col("source").alias("s"), F.col("t").alias("c"), F.col("n").alias("k"), "copies")
+    met = rows["doc_id"].eqNullSafe(often["i"]) & rows["source"].eqNullSafe(often["s"]) & (rows["t"] == often["c"]) & (rows["n"] == often["k"])
+    return (rows.join(often, met).select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+            .select("row.*"))

@@ -92,13 +92,12 @@ def keep_first(docs: DataFrame, radius: int = 3) -> DataFrame:
     Where only null ids exist in a component one of its rows stays.
     """
     common.text_batches(docs.sparkSession)
-    columns = docs.columns
-    marked = common.written(docs.withColumn("__fp", fingerprint("text")), "marked")
-    ids = marked.select("doc_id", F.col("__fp").alias("fp"))
-    first = common.written(classes(ids, radius), "classes").withColumnRenamed("fp", "__fp")
-    kept = marked.join(first, "__fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    repeated = (ids.join(first, F.col("fp") == F.col("__fp")).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                .groupBy("component_id").count().where("count > 1").select(F.col("component_id").alias("__again")))
-    if not repeated.isEmpty():
+    rows = docs.select("doc_id", fingerprint("text").alias("fp"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rows = common.written(rows, "marked")
+    ids = rows.select("doc_id", "fp")
+    first = common.written(classes(ids, radius), "classes")
+    its_own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    kept = rows.join(first, "fp").where(its_own)
+    if not ids.join(first, "fp").where(its_own).groupBy("component_id").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["component_id"])
-    return kept.select(*columns)
+    return kept.select("row.*")

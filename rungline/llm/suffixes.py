@@ -315,11 +315,11 @@ def _kept(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with the text packed in ``__z`` and its repeated windows in ``spans`` (null: none)."""
-    found = common.written(repeated(docs.select("doc_id", "text")), "spans")
-    rows = docs.withColumn("t", F.xxhash64("text")).withColumn("__z", packed("text")).drop("text")
-    named = _named(found)
-    return rows.join(named, _same(rows, named), "left").drop("__id", "__t", "t")
+    """``row`` (all columns but the text), ``z`` (the text, packed) and ``spans`` (its repeated windows; null: none) of every row."""
+    found = _named(common.written(repeated(docs.select("doc_id", "text")), "spans"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), packed("text").alias("z"),
+                       F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row"))
+    return rows.join(found, _same(rows, found), "left").select("row", "z", "spans")
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -334,7 +334,7 @@ def digests(docs: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
-                raw = unpack(row["__z"])
+                raw = unpack(row["z"])
                 runs = removed_runs(row["spans"], len(raw))
                 kept = _kept(raw, runs)
                 rows.append((row["doc_id"], len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()))
@@ -342,7 +342,7 @@ def digests(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.string())],
                                              names=[c.split()[0] for c in schema.split(", ")])
 
-    return with_spans(docs.select("doc_id", "text")).select("doc_id", "__z", "spans").mapInArrow(digest, schema)
+    return with_spans(docs.select("doc_id", "text")).select("row.doc_id", "z", "spans").mapInArrow(digest, schema)
 
 
 @F.pandas_udf(T.StringType())
@@ -366,7 +366,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     All rows and columns stay, also where no text is left; null texts become empty.
     """
-    cut = with_spans(docs).withColumn("text", _cut("__z", "spans"))
-    if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast("long"))
-    return cut.select(*docs.columns)
+    cut = with_spans(docs).select("row", _cut("z", "spans").alias("text"))
+    made = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return cut.select(*[made.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
