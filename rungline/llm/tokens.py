@@ -38,6 +38,10 @@ class Encoder:
         self.chunks: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        if len(self.chunks) > CACHE:
+            self.chunks.clear()
+        if len(self.words) > CACHE:
+            self.words.clear()
         texts = [t or "" for t in texts]
         out: list[bytes | None] = [None] * len(texts)
         parts: list[list[str]] = []
@@ -59,10 +63,6 @@ class Encoder:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, chunks: set[str]) -> None:
-        if len(self.chunks) > CACHE:
-            self.chunks = _Refilled(self)
-        if len(self.words) > CACHE:
-            self.words = {}
         words, model = self.words, self.whole.model
         for chunk in chunks:
             if self.lower:
@@ -76,18 +76,6 @@ class Encoder:
             self.chunks[chunk] = b"".join([words[w] for w in found])
 
 
-class _Refilled(dict):
-    """An emptied cache that learns again what a batch still needs."""
-
-    def __init__(self, encoder: Encoder):
-        super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, chunk: str) -> bytes:
-        self.encoder._learn({chunk})
-        return self[chunk]
-
-
 _ENCODERS: dict[str, Encoder] = {}
 
 
