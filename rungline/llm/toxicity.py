@@ -132,11 +132,11 @@ def _counted(texts: DataFrame, only: frozenset[str] | None, flush: int = 300_000
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = labelled.SAMPLE, share: float = 0.01, ratio: float = 20.0,
-          exceptions: list[str] | None = None) -> Lexicon:
+          least_odds: float = 2.0, exceptions: list[str] | None = None) -> Lexicon:
     """The lexicon from at most ``rows`` labelled documents that are not held out.
 
     Entries are stems in at least ``share`` of the toxic documents (which bounds their number whatever the size of the corpus)
-    and ``ratio`` times as common there as in clean ones; of nested stems the shortest stays unless it is much weaker. A pair of words
+    and ``ratio`` times as common there as in clean ones, with log odds that stay over ``least_odds`` less 1.5 standard errors; of nested stems the shortest stays unless it is much weaker. A pair of words
     that holds an entry and is met in clean documents but hardly in toxic ones becomes an exception, like ``exceptions`` (given phrases).
     Without toxic or clean documents the lexicon is empty and every score is the share of toxic labels.
     """
@@ -152,8 +152,9 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = labelled.SAMPLE, share
     odds = {}
     for stem, t in common_stems.items():
         c = in_clean.get(stem, 0)
-        if t / toxic >= ratio * (c / clean):
-            odds[stem] = math.log((t + 0.5) / (toxic - t + 0.5)) - math.log((c + 0.5) / (clean - c + 0.5))
+        weight = math.log((t + 0.5) / (toxic - t + 0.5)) - math.log((c + 0.5) / (clean - c + 0.5))
+        if t / toxic >= ratio * (c / clean) and weight - 1.5 * math.sqrt(1 / (t + 0.5) + 1 / (c + 0.5)) >= least_odds:
+            odds[stem] = weight
     chosen: dict[str, float] = {}
     for stem in sorted(odds, key=lambda s: (len(s.rstrip()), s)):
         held = [stem[:k] for k in range(2, len(stem)) if stem[:k] in chosen]
