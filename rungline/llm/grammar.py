@@ -26,25 +26,26 @@ from rungline.llm import common, tokens
 SHARD = 1 << 21
 SCHEMA = ("part int, shard int, doc_ids array<long>, n_tokens array<long>, first_symbol array<long>, total long, "
           "rules binary, expansions binary, symbols binary")
-_MIX = np.uint64(0x9E3779B97F4A7C15)  # spreads pair codes over the look-up table
+_MIX = np.uint32(0x9E3779B1)  # spreads pair codes over the look-up table
 _BITS = 18
+_NONE = np.uint32(0xFFFFFFFF)  # no pair: symbol 65535 is never used
 
 
 def _slots(codes: np.ndarray) -> np.ndarray:
-    return ((codes.astype(np.uint64) * _MIX) >> np.uint64(64 - _BITS)).astype(np.int64)
+    return (codes * _MIX) >> np.uint32(32 - _BITS)
 
 
 def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int, rounds: int = 16, per_round: int = 4096,
-             least: int = 16, gain: float = 0.01) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+             least: int = 16, gain: float = 0.05) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``rules, symbols, first symbol of each document``.
 
     A round replaces up to ``per_round`` of the most frequent pairs at once (pairs met ``least`` times or more; of overlapping
-    occurrences the left one), until a round shortens the shard by less than ``gain``, after ``rounds`` at most.
+    occurrences the left one). The round that shortens the shard by less than ``gain`` is the last, or the ``rounds``-th.
     """
-    room = 65536 - terminals
+    room = 65535 - terminals
     if room < 0 or len(ids) and ids.max() >= terminals:
         raise ValueError("symbols are 16-bit numbers; the ids need more")
-    symbols = ids.astype(np.int64)
+    symbols = ids.astype(np.uint32)
     last = np.zeros(len(symbols), dtype=bool)
     ends = np.cumsum(lengths)
     last[ends[lengths > 0] - 1] = True
@@ -53,19 +54,19 @@ def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int, rounds: int =
     for _ in range(rounds):
         if made >= room or len(symbols) < 2:
             break
-        codes = (symbols[:-1] << 16) | symbols[1:]
+        codes = (symbols[:-1] << np.uint32(16)) | symbols[1:]
         ordered = np.sort(codes[~last[:-1]])
         first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.array([], int)
         counts = np.diff(np.append(first, len(ordered)))
         often = np.flatnonzero(counts >= least)
-        often = often[np.lexsort((ordered[first[often]], -counts[often]))][:min(per_round, room - made)]
+        often = often[np.argsort(-counts[often], kind="stable")][:min(per_round, room - made)]
         if not len(often):
             break
         pairs = ordered[first[often]]
         slots = _slots(pairs)
         pairs = pairs[np.sort(np.unique(slots, return_index=True)[1])]  # of pairs that share a slot the most frequent
         slots = _slots(pairs)
-        known, names = np.full(1 << _BITS, -1, dtype=np.int64), np.zeros(1 << _BITS, dtype=np.int64)
+        known, names = np.full(1 << _BITS, _NONE), np.zeros(1 << _BITS, dtype=np.uint32)
         known[slots], names[slots] = pairs, terminals + made + np.arange(len(pairs))
         at = _slots(codes)
         hit = (known[at] == codes) & ~last[:-1]
@@ -73,8 +74,7 @@ def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int, rounds: int =
         run = np.concatenate([[True], where[1:] != where[:-1] + 1]) if len(where) else np.array([], bool)
         begin = np.maximum.accumulate(np.where(run, np.arange(len(where)), 0))
         where = where[(np.arange(len(where)) - begin) % 2 == 0]
-        if len(where) < gain * len(symbols):
-            break
+        small = len(where) < gain * len(symbols)
         symbols[where] = names[at[where]]
         last[where] = last[where + 1]
         keep = np.ones(len(symbols), dtype=bool)
@@ -82,8 +82,10 @@ def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int, rounds: int =
         symbols, last = symbols[keep], last[keep]
         rules.append(pairs)
         made += len(pairs)
-    pairs = np.concatenate(rules) if rules else np.array([], dtype=np.int64)
-    table = np.stack([pairs >> 16, pairs & 0xFFFF], axis=1).astype("<u2")
+        if small:
+            break
+    pairs = np.concatenate(rules) if rules else np.array([], dtype=np.uint32)
+    table = np.stack([pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)], axis=1).astype("<u2")
     counts = np.zeros(len(lengths), dtype=np.int64)
     counts[lengths > 0] = np.diff(np.flatnonzero(last), prepend=-1)
     return table, symbols.astype("<u2"), np.cumsum(counts) - counts

@@ -3,9 +3,9 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from itertools import chain
 
-import numpy as np
 import regex
 
 #: Fixed values of the byte-level alphabet: printable bytes stand for themselves, the others follow from U+0100.
@@ -17,15 +17,15 @@ _LOWER_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L
 #: Texts with other characters, or with what may be a special token, go through the library as a whole: there
 #: its Unicode tables, not Python's, decide on letters, spaces, lower case and normal form.
 _OTHER = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-įı-ɏ‐-‧]|<\\|")
-#: Entries after which a cache starts anew (about 60 MB).
-CACHE = 400_000
+#: Entries after which the memory of a worker starts anew (about 200 MB).
+CACHE = 1_000_000
 
 
 class Encoder:
     """``encode`` gives each text's ids as little-endian unsigned 32-bit integers.
 
     A byte-level BPE splits a text by its pattern and encodes each part alone, so the ids of a text
-    are those of its parts in order; parts met before are looked up.
+    are those of its parts in order; what a blank parts is looked up where it was met before.
     """
 
     def __init__(self, path: str):
@@ -34,46 +34,51 @@ class Encoder:
 
         self.whole = Tokenizer.from_file(path)
         self.lower = self.whole.normalizer is not None
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        #: By text between blanks. With a vocabulary that keeps blanks the key "x" stands for " x", and "\0x" for "x".
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.chunks) > CACHE:
-            self.chunks.clear()
-        if len(self.words) > CACHE:
-            self.words.clear()
+        if len(self.known) > CACHE:
+            self.known.clear()
         texts = [t or "" for t in texts]
         out: list[bytes | None] = [None] * len(texts)
         parts: list[list[str]] = []
         for i, text in enumerate(texts):
             if _OTHER.search(text) or not self.lower and "  " in text:
-                out[i] = self._whole(text)
+                out[i] = array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
                 parts.append([])
             elif self.lower:
                 parts.append(text.lower().split())
             else:
                 first, *rest = text.split(" ")
-                # a leading blank belongs to the part; the first part has none and is marked
                 parts.append(["\0" + first, *rest] if first else rest)
-        self._learn(set(chain.from_iterable(parts)).difference(self.chunks))
-        get = self.chunks.__getitem__
+        for chunk in set(chain.from_iterable(parts)).difference(self.known):
+            self._learn(chunk)
+        get = self.known.__getitem__
         return [b"".join(map(get, p)) if done is None else done for p, done in zip(parts, out)]
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, chunks: set[str]) -> None:
-        words, model = self.words, self.whole.model
-        for chunk in chunks:
+    def _learn(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            ids = self._part(chunk if self.lower else " " + chunk)
+        else:
+            ids = b""
             if self.lower:
-                found = _LOWER_WORDS.findall(chunk)
+                keys = words = _LOWER_WORDS.findall(chunk)
             else:
-                found = _BYTE_WORDS.findall(chunk[1:] if chunk[:1] == "\0" else " " + chunk)
-            for word in found:
-                if word not in words:
-                    letters = word.encode().decode("latin-1").translate(_ALPHABET)
-                    words[word] = np.array([t.id for t in model.tokenize(letters)], dtype="<u4").tobytes()
-            self.chunks[chunk] = b"".join([words[w] for w in found])
+                words = _BYTE_WORDS.findall(chunk[1:] if chunk[:1] == "\0" else " " + chunk)
+                keys = [w[1:] if w[0] == " " and len(w) > 1 else "\0" + w for w in words]
+            for word, key in zip(words, keys):
+                found = self.known.get(key)
+                if found is None:
+                    found = self._part(word)
+                    self.known[key] = found
+                ids += found
+        self.known[chunk] = ids
+        return ids
+
+    def _part(self, word: str) -> bytes:
+        letters = word if word.isalpha() and word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
+        return array("I", [t.id for t in self.whole.model.tokenize(letters)]).tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
