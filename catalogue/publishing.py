@@ -35,23 +35,25 @@ def q_csv(spark, sf):
 
 
 def q_missing(spark, sf):
-    """A table whose file does not exist is empty."""
-    empty = tables.read_table(spark, folder(spark, "none"), COLUMNS)
-    return empty.agg(F.count(F.lit(1)).alias("n"))
+    """Tables that may be missing: one written from the given rows, one that was never written."""
+    path = folder(spark, "orders")
+    rows = view(spark, sf, "v_increase").select(*COLUMNS)
+    sinks.write_table(rows, path, COLUMNS)
+    there, missing = tables.read_table(spark, path, COLUMNS), tables.read_table(spark, path + "-none", COLUMNS)
+    return there.unionByName(missing).groupBy("union_key").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_years(spark, sf):
-    """Year documents, opened again."""
-    docs = sinks.year_documents(view(spark, sf, "v_increase"), "valid_from", COLUMNS, "row_id", rows_per_document=500)
-    rows = docs.select("ar", F.explode("haekkanir").alias("h"))
-    return iso(rows.select("ar", "h.row_id", "h.union_key", "h.valid_from", "h.pct"))
+    """Year documents: every row in its place."""
+    return iso(sinks.year_documents(view(spark, sf, "v_increase"), "valid_from", COLUMNS, "row_id", block=500))
 
 
 def q_years_written(spark, sf):
     path = folder(spark, "years")
     sinks.write_by_year(view(spark, sf, "v_increase"), path, "valid_from", COLUMNS, "row_id")
-    back = spark.read.schema("ar string, hluti int, fjoldi bigint, haekkanir array<struct<row_id:bigint>>").json(path)
-    return back.groupBy("ar").agg(F.sum("fjoldi").alias("fjoldi"), F.sum(F.size("haekkanir")).alias("listed"))
+    schema = "saeti bigint, row_id bigint, union_key string, counterparty string, valid_from string, pct double, amount int, basis string, ar string"
+    counts = spark.read.schema("ar string, fjoldi bigint").json(f"{path}/fjoldi")
+    return spark.read.schema(schema).json(f"{path}/haekkanir").join(counts, "ar")
 
 
 def union_docs(spark, sf):
@@ -60,20 +62,26 @@ def union_docs(spark, sf):
     main = L.main_lines(spark, sf)
     unions = S.union_summary(lines, main)
     rates = W.W.rate_changes(W.W.adjacent_change(W.valid(spark, sf))).select(
-        F.concat(F.lit("u"), F.col("doc_id").cast("string")).alias("union_key"), "from_date", "to_date", "pct")
+        F.concat(F.lit("u"), F.col("doc_id").cast("string")).alias("union_key"), "from_date", "to_date")
     return sinks.union_documents(unions, lines, series, rates, ["valid_from", "pct", "index", "stretch_index"],
-                                 ["n_increases", "grade"], lines_per_document=2)
+                                 ["n_increases", "grade"])
 
 
 def q_union_documents(spark, sf):
-    """Nested documents, flattened to counts and sums per part."""
-    d = union_docs(spark, sf)
-    total = lambda a, f: F.aggregate(a, F.lit(0).cast("bigint"), f)
-    return d.groupBy("union_key").agg(
-        F.sum(F.size("samningar")).alias("lines"),
-        F.sum(total(F.col("samningar"), lambda t, x: t + F.size(x["haekkanir"]))).alias("rows"),
-        F.max(F.when(F.col("haekkanir").isNotNull(), F.size("haekkanir"))).alias("main_rows"),
-        F.max(F.when(F.col("taxtahaekkanir").isNotNull(), F.size("taxtahaekkanir"))).alias("changes"))
+    """Nested documents, opened again: each entry of each array in its place."""
+    d = session.cut_lineage(union_docs(spark, sf))
+    row = ["r.valid_from", "r.pct", "r.index", "r.stretch_index"]
+    empty = [F.lit(None).cast(t).alias(n) for n, t in (("pct", "double"), ("index", "double"), ("stretch_index", "double"))]
+    lines = d.select("union_key", F.posexplode("samningar").alias("line", "s")).select(
+        "union_key", F.lit("samningar").alias("part"), "line", "s.counterparty", "s.n_increases", "s.grade", F.posexplode("s.haekkanir").alias("place", "r"))
+    plain = [F.lit(None).cast(t).alias(n) for n, t in (("line", "int"), ("counterparty", "string"), ("n_increases", "bigint"), ("grade", "string"))]
+    main = d.select("union_key", F.lit("haekkanir").alias("part"), *plain, F.posexplode("haekkanir").alias("place", "r"))
+    changes = d.select("union_key", F.lit("taxtahaekkanir").alias("part"), *plain, F.posexplode("taxtahaekkanir").alias("place", "r")).select(
+        "union_key", "part", "line", "counterparty", "n_increases", "grade", "place", F.col("r.to_date").alias("valid_from"), *empty,
+        F.col("r.from_date").cast("string").alias("from_date"))
+    named = ["union_key", "part", "line", "counterparty", "n_increases", "grade", "place"]
+    opened = lines.unionByName(main).select(*named, *row).withColumn("from_date", F.lit(None).cast("string"))
+    return iso(opened.unionByName(changes).withColumnRenamed("index", "index_value"))
 
 
 def q_union_index(spark, sf):
@@ -191,19 +199,28 @@ res AS (
   UNION ALL SELECT 'quotations', 'VILLA', count(*) FILTER (row_id % 700 = 0) FROM bad)
 """
 
+YEARS = """
+SELECT CAST(year(valid_from) AS VARCHAR) AS ar, count(*) OVER (PARTITION BY year(valid_from)) AS fjoldi,
+       row_number() OVER (PARTITION BY year(valid_from) ORDER BY row_id) AS saeti,
+       row_id, union_key, counterparty, CAST(valid_from AS VARCHAR) AS valid_from, pct, amount, basis FROM v_increase"""
+
 ENTRIES = {
     "csv_round_trip": (q_csv, cte("v_increase") + """
 SELECT row_id, union_key, counterparty, CAST(valid_from AS VARCHAR) AS valid_from, pct, CAST(amount AS BIGINT) AS amount, basis FROM v_increase"""),
-    "missing_table": (q_missing, "SELECT count(*) AS n FROM region WHERE r_regionkey < 0"),
-    "year_documents": (q_years, cte("v_increase") + """
-SELECT CAST(year(valid_from) AS VARCHAR) AS ar, row_id, union_key, CAST(valid_from AS VARCHAR) AS valid_from, pct FROM v_increase"""),
-    "year_documents_written": (q_years_written, cte("v_increase") + """
-SELECT CAST(year(valid_from) AS VARCHAR) AS ar, count(*) AS fjoldi, count(*) AS listed FROM v_increase GROUP BY ALL"""),
+    "missing_table": (q_missing, cte("v_increase") + "SELECT union_key, count(*) AS n FROM v_increase GROUP BY ALL"),
+    "year_documents": (q_years, cte("v_increase") + YEARS),
+    "year_documents_written": (q_years_written, cte("v_increase") + YEARS),
     "union_documents": (q_union_documents, L.SERIES_MAIN + "," + cte("v_rate").removeprefix("WITH RECURSIVE ") + "," + W.CHANGES + """,
 chg AS (SELECT concat('u', doc_id) AS union_key, from_date, to_date FROM ch WHERE change BETWEEN -2 AND 25 GROUP BY ALL HAVING count(*) >= 3),
-cn AS (SELECT union_key, count(*) AS changes FROM chg GROUP BY union_key),
-sn AS (SELECT union_key, count(DISTINCT counterparty) AS lines, count(*) AS rows FROM series GROUP BY union_key)
-SELECT u.union_key, lines, rows, CAST(n_increases AS INTEGER) AS main_rows, CAST(changes AS INTEGER) AS changes FROM unions u JOIN sn USING (union_key) LEFT JOIN cn USING (union_key)"""),
+rws AS (SELECT s.union_key, counterparty, valid_from, pct, "index" AS index_value, stretch_index, row_number() OVER (PARTITION BY s.union_key, counterparty ORDER BY valid_from) - 1 AS place,
+               dense_rank() OVER (PARTITION BY s.union_key ORDER BY counterparty) - 1 AS line FROM series s)
+SELECT union_key, 'samningar' AS part, CAST(line AS INTEGER) AS line, counterparty, l.n_increases, l.grade, CAST(place AS INTEGER) AS place,
+       CAST(valid_from AS VARCHAR) AS valid_from, pct, index_value, stretch_index, CAST(NULL AS VARCHAR) AS from_date
+FROM rws JOIN lines l USING (union_key, counterparty) WHERE union_key IN (SELECT union_key FROM unions)
+UNION ALL SELECT union_key, 'haekkanir', NULL, NULL, NULL, NULL, CAST(place AS INTEGER), CAST(valid_from AS VARCHAR), pct, index_value, stretch_index, NULL
+FROM rws JOIN unions u USING (union_key) WHERE counterparty = u.main_line
+UNION ALL SELECT union_key, 'taxtahaekkanir', NULL, NULL, NULL, NULL, CAST(row_number() OVER (PARTITION BY union_key ORDER BY to_date, from_date) - 1 AS INTEGER),
+       CAST(to_date AS VARCHAR), NULL, NULL, NULL, CAST(from_date AS VARCHAR) FROM chg WHERE union_key IN (SELECT union_key FROM unions)"""),
     "union_index": (q_union_index, L.SERIES_MAIN + """,
 x AS (SELECT union_key, n_increases, CAST(substr(union_key, 2) AS INT) AS o FROM unions),
 y AS (SELECT *, row_number() OVER (PARTITION BY o % 40 ORDER BY o) AS k FROM x),

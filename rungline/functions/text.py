@@ -218,8 +218,8 @@ def company_stem(col: Column) -> Column:
 # ------------------------------------------------------------ numbers, dates
 
 def round_places(col: Column, places: int = 2) -> Column:
-    """Round half up, after floating-point noise beyond eight decimals is gone."""
-    return F.round(col.cast("decimal(28,8)"), places).cast("double")
+    """Round half up, after floating-point noise beyond eight decimals is gone; of any size."""
+    return F.round(F.round(col, 8), places)
 
 
 def parse_percent(col: Column) -> Column:

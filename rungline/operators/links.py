@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from ..functions import fixed as X
 from ..functions import text as T
 
-ANCHOR = r"(?is)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
+#: The value of href in double quotes, single quotes or bare; then what the anchor holds.
+ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
+NAMED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}  # the last one last
 
 
 def _any_of(text: Column, words: Sequence[str]) -> Column:
@@ -29,6 +31,21 @@ def _decode(text: Column) -> Column:
     return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
 
 
+def decode_entities(text: Column) -> Column:
+    """Character references by number and the usual names."""
+    def by_number(all_text: Column, m: Column) -> Column:
+        digits = F.regexp_extract(m, r"(?i)&#x?([0-9a-f]+);", 1)
+        code = F.when(m.rlike("(?i)&#x"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
+        known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        return F.when(known, F.replace(all_text, m, F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0")), "UTF-32"))).otherwise(all_text)
+
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?i)&#(?:x[0-9a-f]{1,6}|[0-9]{1,7});"), F.lit(0)))
+    out = F.when(F.contains(text, F.lit("&#")), F.aggregate(found, text, by_number)).otherwise(text)
+    for name, plain in NAMED.items():
+        out = F.replace(out, F.lit(name), F.lit(plain))
+    return out
+
+
 def resolve_link(base: Column, href: Column) -> Column:
     """An href against its page: absolute, scheme-relative, root-relative or
     relative, with ``./`` and ``../`` taken out and the fragment cut off."""
@@ -54,7 +71,8 @@ def _without_dots(url: Column) -> Column:
     head = F.regexp_extract(url, r"(?i)^(https?://[^/?]*)", 1)
     path = F.regexp_extract(url, r"(?i)^https?://[^/?]*([^?]*)", 1)
     query = F.regexp_extract(url, r"(\?.*)$", 1)
-    steps = F.slice(F.split(path, "/"), 2, 10_000)
+    split = F.split(path, "/")
+    steps = F.slice(split, F.lit(2), F.size(split))
     kept = F.aggregate(
         steps, F.array().cast("array<string>"),
         lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
@@ -65,12 +83,12 @@ def _without_dots(url: Column) -> Column:
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html",
                keep: Sequence[str] = ()) -> DataFrame:
-    """(page, link, text, place): every anchor, then PDF addresses in scripts and payloads."""
+    """(page, link, text, kind, place): every anchor (kind 0), then PDF addresses in scripts and payloads (kind 1)."""
     anchors = F.transform(
         F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(0)),
         lambda a: F.struct(
-            F.regexp_extract(a, ANCHOR, 1).alias("href"),
-            T.squeeze(F.regexp_replace(F.regexp_extract(a, ANCHOR, 2), "(?s)<[^>]*>", " ")).alias("text"),
+            decode_entities(F.concat(*[F.regexp_extract(a, ANCHOR, g) for g in (1, 2, 3)])).alias("href"),
+            T.squeeze(decode_entities(F.regexp_replace(F.regexp_extract(a, ANCHOR, 4), "(?s)<[^>]*>", " "))).alias("text"),
             F.lit(0).alias("kind")))
     payload = F.transform(
         F.array_distinct(F.regexp_extract_all(F.replace(F.col(html), F.lit("\\/"), F.lit("/")), F.lit(X.PDF_URL), F.lit(0))),
@@ -111,10 +129,10 @@ def on_allowed_host(links: DataFrame, sources: DataFrame, source: str = "source"
 
 
 def discover_documents(links: DataFrame, pattern: str | None = None) -> DataFrame:
-    """Documents to collect, each once per source with the first text found."""
+    """Documents to collect, each once per source with the first text found: by page, then anchors before payloads, then place."""
     wanted = links.where(((F.col("kind") == 1) | is_document(F.col("link"), pattern))
                          & ~may_skip(F.col("link"), F.col("text")))
-    first = F.min(F.struct("kind", "page_order", "place", "text", "page"))
+    first = F.min(F.struct("page_order", "kind", "place", "text", "page"))
     return wanted.groupBy("source", "link").agg(first.alias("_f")).select(
         "source", "link", "_f.text", F.col("_f.page").alias("found_on"))
 

@@ -38,13 +38,12 @@ def _candidates(fields: Sequence[str], whole_first: bool) -> Column:
 def resolve_parties(df: DataFrame, known: DataFrame, fields: Sequence[str] = ("party_1", "party_2"),
                     whole_first: bool = True) -> DataFrame:
     """Distinct party fields -> the first known union they name."""
-    pairs = df.select(*[F.coalesce(f, F.lit("")).alias(f) for f in fields]).groupBy(*fields).agg(
-        F.count(F.lit(1)).alias("_rows"))
-    tried = pairs.select(*fields, "_rows", F.posexplode(_candidates(fields, whole_first)).alias("_pos", "_text"))
+    pairs = df.select(*[F.coalesce(f, F.lit("")).alias(f) for f in fields]).distinct()
+    tried = pairs.select(*fields, F.posexplode(_candidates(fields, whole_first)).alias("_pos", "_text"))
     return (
         tried.withColumn("norm", T.normalize_union(F.col("_text"))).where("norm <> ''")
         .join(known.select("norm", "union_name"), "norm")
-        .groupBy(*fields).agg(F.min_by("union_name", "_pos").alias("_party_union"), F.first("_rows").alias("_rows"))
+        .groupBy(*fields).agg(F.min_by("union_name", "_pos").alias("_party_union"))
     )
 
 
@@ -60,7 +59,7 @@ def resolve_union(df: DataFrame, known: DataFrame, row: str = "row_id",
     for f in fields:
         filled = filled.withColumn(f, F.coalesce(f, F.lit("")))
     found = resolve_parties(filled, known, fields, whole_first)
-    joined = join_lookup(filled, found, fields, "_rows", [row]).drop("_rows")
+    joined = join_lookup(filled, found, fields)
     owner = T.lookup(F.col(site), X.UNION_SITES if sites is None else sites)
     return (
         joined.withColumn("union_name", F.coalesce("_party_union", owner))
@@ -134,17 +133,17 @@ def counterparty_from_document(df: DataFrame, stems: DataFrame | None = None,
     for f in fields:
         named = named.withColumn(f, F.coalesce(f, F.lit("")))
     tried = [*fields, "_file"]
-    texts = named.groupBy(*tried).agg(F.count(F.lit(1)).alias("_rows"))
+    texts = named.select(*tried).distinct()
     known = T.with_values(texts, _id=F.coalesce(*[T.classify_counterparty(F.col(c)) for c in tried]))
     if stems is not None:
         asked = known.where("_id is null").select(*tried, F.posexplode(F.array(*tried)).alias("_pos", "_text"))
         found = asked.join(find_company(asked, stems, "_text"), "_text").groupBy(*tried).agg(
             F.min(F.struct("_pos", "company_id", "company_name")).alias("_company"))
         known = known.join(found, tried, "left").select(
-            *tried, "_rows", F.coalesce("_id", "_company.company_id").alias("_id"), F.col("_company.company_name").alias("_name"))
+            *tried, F.coalesce("_id", "_company.company_id").alias("_id"), F.col("_company.company_name").alias("_name"))
     else:
         known = known.withColumn("_name", F.lit(None).cast("string"))
-    answered = join_lookup(named, known, tried, "_rows", [row]).drop("_rows")
+    answered = join_lookup(named, known, tried)
     owner = T.lookup(F.col(site), X.COUNTERPARTY_SITES)
     return (
         answered.withColumn("counterparty", F.coalesce("_id", owner, F.lit(X.UNKNOWN_COUNTERPARTY)))
@@ -156,19 +155,21 @@ def counterparty_from_document(df: DataFrame, stems: DataFrame | None = None,
 # ---------------------------------------------------------------- documents
 
 def attach_urls(df: DataFrame, contracts: DataFrame, manifests: DataFrame, extra: DataFrame,
-                contract_id: str = "contract_id", document: str = "document") -> DataFrame:
-    """``url`` by contract id, else by local path; the extra list comes last, first wins.
+                contract_id: str = "contract_id", document: str = "document", place: str = "place") -> DataFrame:
+    """``url`` by contract id, else by local path.
 
-    ``contracts``: (contract_id, url); ``manifests``, ``extra``: (document, url).
+    ``contracts``: (contract_id, url, place); ``manifests``, ``extra``: (document, url, place); ``place`` is the position in the
+    list (without it all entries rank alike and the smallest URL counts). Of repeated ids the last entry counts, of repeated paths the first; the extra list comes after the manifests.
     """
-    by_id = contracts.where(T.not_blank(F.col("url"))).groupBy(contract_id).agg(F.max("url").alias("_by_id"))
+    at = lambda df: F.col(place) if place in df.columns else F.lit(0)
+    by_id = contracts.where(T.not_blank(F.col("url"))).groupBy(contract_id).agg(F.max_by("url", at(contracts)).alias("_by_id"))
     listed = (
         manifests.where(T.not_blank(F.col("document")) & T.not_blank(F.col("url")))
-        .select("document", "url", F.lit(0).alias("_priority"))
-        .unionByName(extra.select("document", "url", F.lit(1).alias("_priority")))
+        .select("document", "url", F.lit(0).alias("_priority"), at(manifests).cast("bigint").alias("_place"))
+        .unionByName(extra.select("document", "url", F.lit(1).alias("_priority"), at(extra).cast("bigint").alias("_place")))
     )
     by_path = listed.groupBy("document").agg(
-        F.min(F.struct("_priority", "url")).alias("_best")).select(
+        F.min(F.struct("_priority", "_place", "url")).alias("_best")).select(
         F.col("document").alias("_path"), F.col("_best.url").alias("_by_path"))
     path = F.replace(F.coalesce(F.col(document), F.lit("")), F.lit("\\"), F.lit("/"))
     return (

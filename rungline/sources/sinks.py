@@ -3,14 +3,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import slug
 from ..operators.ranking import number_within
 
-ROWS_PER_DOCUMENT = 50_000
-
 
 def order_output(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*keys)
@@ -47,58 +46,72 @@ def write_table(df: DataFrame, path: str, columns: Sequence[str], order: Sequenc
 
 
 def with_slugs(df: DataFrame, name: str, order: str, alias: str = "slug", block: int = 1_000_000) -> DataFrame:
-    """A URL-ready id per row: equal slugs get -2, -3, … in the order of ``order``.
+    """A URL-ready id per row, given in the order of ``order`` (unique integers): a slug that is taken gets the
+    smallest number from 2 on that makes it free, whether names or numbers took it.
 
-    Numbers that some other name has by nature ("x-2") are passed over, no
-    matter which row comes first.
+    Nearly all rows are numbered within their slug, in blocks. Only where a repeated slug meets another that
+    ends in a number ("x" and "x-2") rows are gone through in order: of each such slug the rows up to the largest such number.
     """
     base = df.withColumn("_base", slug(F.col(name)))
     numbered = number_within(base, ["_base"], order, block, "_n")
-    ending = r"^(.*)-([1-9]\d{0,8})$"
-    repeated = numbered.where("_n = 2").select("_base")
-    taken = (
-        numbered.where((F.col("_n") == 1) & F.col("_base").rlike(ending))
-        .select(F.regexp_extract("_base", ending, 1).alias("_stem"),
-                F.regexp_extract("_base", ending, 2).cast("bigint").alias("_i"))
-        .join(repeated.withColumnRenamed("_base", "_stem"), "_stem", "left_semi")
-        .groupBy(F.col("_stem").alias("_base")).agg(F.array_sort(F.collect_set("_i")).alias("_taken"))
-    )
-    free = F.aggregate(F.coalesce("_taken", F.array().cast("array<bigint>")), F.col("_n"),
-                       lambda n, t: F.when(t <= n, n + 1).otherwise(n))
+    # numbers of more digits are larger than any number of rows
+    ending = r"-([1-9]\d{0,17})$"
+    slugs = numbered.groupBy("_base").agg(F.count(F.lit(1)).alias("_rows")).withColumn(
+        "_root", F.regexp_replace("_base", r"(-[1-9]\d{0,17})+$", ""))
+    number = F.regexp_extract("_base", ending, 1).try_cast("bigint")
+    families = slugs.groupBy("_root").agg(F.count(F.lit(1)).alias("_slugs"), F.sum("_rows").alias("_all"), F.max("_rows").alias("_most"))
+    mixed = (slugs.withColumn("_number", number).join(families.where("_slugs > 1 and _most > 1"), "_root")
+             .where("_number <= _all").groupBy("_root").agg(F.max("_number").alias("_top")))
+    rows = (numbered.select("_base", "_n", F.col(order).alias("_order"))
+            .withColumn("_root", F.regexp_replace("_base", r"(-[1-9]\d{0,17})+$", "")).join(mixed, "_root").where(F.col("_n") <= F.col("_top") + 2))
+    given = rows.select("_root", "_base", "_n", "_order").groupBy("_root").applyInPandas(_in_order, "_base string, _n bigint, _given bigint")
+    beyond = given.where("_given > 0").groupBy("_base").agg(F.max_by(F.col("_given") - F.col("_n"), "_n").alias("_shift"))
+    value = F.coalesce("_given", F.when(F.col("_n") > 1, F.col("_n") + F.coalesce("_shift", F.lit(0))), F.lit(0))
     return (
-        numbered.join(taken, "_base", "left")
-        .withColumn(alias, F.when(F.col("_n") == 1, F.col("_base"))
-                    .otherwise(F.concat(F.col("_base"), F.lit("-"), free.cast("string"))))
-        .drop("_base", "_n", "_taken")
+        numbered.join(given, ["_base", "_n"], "left").join(beyond, "_base", "left").withColumn("_number", value)
+        .withColumn(alias, F.when(F.col("_number") == 0, F.col("_base"))
+                    .otherwise(F.concat(F.col("_base"), F.lit("-"), F.col("_number").cast("string"))))
+        .drop("_base", "_n", "_given", "_shift", "_number")
     )
 
 
+def _in_order(rows: pd.DataFrame) -> pd.DataFrame:
+    """The number each row's slug takes (0: none), among slugs that may meet."""
+    taken: set[str] = set()
+    following: dict[str, int] = {}
+    given = []
+    for base in rows.sort_values("_order", ignore_index=True)["_base"]:
+        number = 0 if base not in taken else following.get(base, 2)
+        while number and f"{base}-{number}" in taken:
+            number += 1
+        if number:
+            following[base] = number + 1
+        taken.add(f"{base}-{number}" if number else base)
+        given.append(number)
+    ordered = rows.sort_values("_order", ignore_index=True)
+    return ordered.assign(_given=given)[["_base", "_n", "_given"]]
+
+
 # ---------------------------------------------------------------- documents
 
-def year_documents(df: DataFrame, date: str, columns: Sequence[str], order: str,
-                   rows_per_document: int = ROWS_PER_DOCUMENT) -> DataFrame:
-    """{ar, hluti, fjoldi, haekkanir[]}: the increases of a year.
+def year_documents(df: DataFrame, date: str, columns: Sequence[str], order: str, block: int = 1_000_000) -> DataFrame:
+    """The increases of each year in order: ``ar``, ``fjoldi`` (how many the year has), ``saeti`` (place, from 1), ``columns``.
 
-    A year can hold any number of rows, so a document is a numbered part of
-    its year: parts are cut by a hash of ``order`` into as many as the year
-    needs. With a small year the part is 0 and holds all of it.
+    A year may hold any share of the rows, so its document is a list of rows, one per increase, in the
+    same form for every year. ``order`` holds unique integers.
     """
-    year = F.year(date).cast("string")
-    rows = df.withColumn("ar", year)
-    sizes = rows.groupBy("ar").agg(F.count(F.lit(1)).alias("_n"))
-    # a calendar has few years: one row each
-    parts = F.ceil(F.col("_n") / rows_per_document)
-    placed = rows.join(F.broadcast(sizes), "ar").withColumn(
-        "hluti", F.pmod(F.xxhash64(order), parts).cast("int"))
-    body = F.struct(F.col(order).alias("_order"), *[F.col(c) for c in columns])
-    listed = F.transform(F.array_sort(F.collect_list(body)),
-                         lambda r: F.struct(*[r[c].alias(c) for c in columns]))
-    return placed.groupBy("ar", "hluti").agg(
-        F.count(F.lit(1)).alias("fjoldi"), listed.alias("haekkanir"))
+    rows = df.withColumn("ar", F.year(date).cast("string"))
+    sizes = rows.groupBy("ar").agg(F.count(F.lit(1)).alias("fjoldi"))
+    return number_within(rows, ["ar"], order, block, "saeti").join(sizes, "ar").select("ar", "fjoldi", "saeti", *columns)
 
 
 def write_by_year(df: DataFrame, path: str, date: str, columns: Sequence[str], order: str) -> None:
-    year_documents(df, date, columns, order).write.mode("overwrite").partitionBy("ar").json(path)
+    """JSON lines in a folder per year, sorted by place within each file, and the years' counts beside them."""
+    rows = year_documents(df, date, columns, order)
+    spread = rows.repartitionByRange("ar", "saeti").sortWithinPartitions("ar", "saeti")
+    spread.drop("fjoldi").write.mode("overwrite").partitionBy("ar").json(f"{path}/haekkanir")
+    (df.groupBy(F.year(date).cast("string").alias("ar")).agg(F.count(F.lit(1)).alias("fjoldi"))
+     .write.mode("overwrite").json(f"{path}/fjoldi"))
 
 
 def line_documents(series: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("union_key", "counterparty"),
@@ -110,23 +123,16 @@ def line_documents(series: DataFrame, columns: Sequence[str], keys: Sequence[str
 
 def union_documents(unions: DataFrame, lines: DataFrame, series: DataFrame, rates: DataFrame,
                     columns: Sequence[str], line_columns: Sequence[str], key: str = "union_key",
-                    counterparty: str = "counterparty", main: str = "main_line",
-                    lines_per_document: int = 500) -> DataFrame:
-    """One nested document per union: main rows, all lines with their rows, rate changes.
+                    counterparty: str = "counterparty", main: str = "main_line") -> DataFrame:
+    """One nested document per union: main rows, all lines with their rows by counterparty, rate changes by date.
 
-    Arrays are gathered per line first. A union with very many lines spreads
-    them over numbered parts; its main rows stand in the first.
+    Arrays are gathered per line first: a line has a row per day at most, a union a line per counterparty, and
+    rate changes one entry per pair of dates.
     """
     per_line = line_documents(series, columns, (key, counterparty))
     entry = F.struct(F.col(counterparty), *[F.col(c) for c in line_columns], F.col("haekkanir"))
-    parts = F.greatest(F.ceil(F.col("n_lines") / lines_per_document), F.lit(1))
-    joined = (
-        lines.join(per_line, [key, counterparty])
-        .join(unions.select(key, "n_lines", F.col(main).alias("_main")), key)
-        .withColumn("hluti", F.when(F.col(counterparty) == F.col("_main"), 0)
-                    .otherwise(F.pmod(F.xxhash64(counterparty), parts)).cast("int"))
-    )
-    nested = joined.groupBy(key, "hluti").agg(
+    joined = lines.join(per_line, [key, counterparty]).join(unions.select(key, F.col(main).alias("_main")), key)
+    nested = joined.groupBy(key).agg(
         F.array_sort(F.collect_list(entry)).alias("samningar"),
         F.first(F.when(F.col(counterparty) == F.col("_main"), F.col("haekkanir")), ignorenulls=True).alias("haekkanir"))
     changes = rates.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(

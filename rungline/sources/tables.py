@@ -53,12 +53,17 @@ def register_summary(contracts: DataFrame, text: str = "ocr_text") -> DataFrame:
     return contracts.withColumn("text_length", F.length(F.coalesce(text, F.lit("")))).drop(text)
 
 
-def document_inventory(spark: SparkSession, root: str, pattern: str = "*.pdf") -> DataFrame:
-    """(path, source, size, sha256) of the files under a folder."""
+def document_inventory(spark: SparkSession, listed: str, pattern: str = "*.pdf", root: str | None = None) -> DataFrame:
+    """(path, source, size, sha256) of the files under a folder; paths count from ``root``, the folder itself where
+    ``listed`` holds a pattern for it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
-        "pathGlobFilter", pattern).load(root)
-    base = F.lit(root.rstrip("/") + "/")
-    path = F.element_at(F.split(F.col("path"), base), -1)
+        "pathGlobFilter", pattern).load(listed)
+    base = (root or listed).rstrip("/") + "/"
+    base = base if ":" in base.split("/")[0] else "/" + base.lstrip("/")
+    # the listing names files by scheme and authority; what follows the folder is the path, whatever characters the folder's name has
+    full = F.regexp_replace("path", "^[a-z0-9]+:(?=/[^/])", "") if base.startswith("/") else F.col("path")
+    at = F.instr(full, F.lit(base))
+    path = F.when(at > 0, F.substring(full, at + len(base), F.length(full))).otherwise(full)
     return files.select(path.alias("path"), first_path_part(path).alias("source"),
                         F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
 

@@ -1,9 +1,13 @@
 """The whole batch on a handful of records, the wage-table scanner, the intake stream."""
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from rungline.operators import links as N
 from rungline.operators import rates as W
+from rungline.operators import resolve as R
 from rungline.plans import build as B
 from rungline.sources import sinks, tables
 from rungline.streaming import intake
@@ -89,11 +93,62 @@ def test_scanner(spark):
     assert steps[("5", 3, 3)] == "lægra en fyrra þrep" and steps[("5", 2, 3)] == ""
 
 
-def test_slugs_avoid_natural_numbers(spark):
-    names = ["X", "X 2", "X", "X", "Ö ð", "", "þ-Æ"]
+@pytest.mark.parametrize("names, slugs", [
+    (["X", "X 2", "X", "X", "Ö ð", "", "þ-Æ"], ["x", "x-2", "x-3", "x-4", "o-d", "ohekkt", "th-ae"]),
+    (["X", "X", "X 2"], ["x", "x-2", "x-2-2"]),
+    (["X", "X", "X 2", "X 2", "X 2 2", "X"], ["x", "x-2", "x-2-2", "x-2-3", "x-2-2-2", "x-3"]),
+    (["X 3", "X", "X", "X", "X", "X 99999999999", "X"], ["x-3", "x", "x-2", "x-4", "x-5", "x-99999999999", "x-6"]),
+    (["Y", "Y 2"] + ["Y"] * 30, ["y", "y-2"] + [f"y-{i}" for i in range(3, 33)]),
+])
+def test_slugs_are_given_in_order(spark, names, slugs):
     df = spark.createDataFrame(list(enumerate(names)), "i long, name string")
     got = {r.i: r.slug for r in sinks.with_slugs(df, "name", "i", block=2).collect()}
-    assert got == {0: "x", 1: "x-2", 2: "x-3", 3: "x-4", 4: "o-d", 5: "ohekkt", 6: "th-ae"}
+    assert [got[i] for i in range(len(names))] == slugs
+
+
+def test_slugs_of_many_names_are_unique(spark):
+    rng = random.Random(9)
+    names = [rng.choice(["A", "A 2", "A 3", "A 2 2", "B", "", "C 7", "C"]) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(names)), "i long, name string")
+    got = [r.slug for r in sinks.with_slugs(df, "name", "i", block=50).collect()]
+    assert len(set(got)) == 400
+
+
+def test_inventory_of_folders_with_pattern_characters(spark, tmp_path):
+    root = tmp_path / "a(1) [x] + $"
+    for name in ("s1/x.pdf", "s1/deep/y.pdf", "s2/z.pdf"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(name.encode())
+    # brackets in a folder to be listed are a glob pattern to the file system and are escaped by the caller
+    listed = str(root).replace("[", "\\[").replace("]", "\\]")
+    got = {(r.path, r.source, r["size"]) for r in tables.document_inventory(spark, listed, root=str(root)).collect()}
+    assert got == {("s1/x.pdf", "s1", 8), ("s1/deep/y.pdf", "s1", 13), ("s2/z.pdf", "s2", 8)}
+
+
+def test_links_of_pages(spark):
+    pages = [(1, "https://a.is/p/", """<script>{"u":"https:\\/\\/a.is\\/k.pdf"}</script>"""),
+             (2, "https://a.is/p/", '<a href="/k.pdf">second</a><a href="/x?a=1&amp;b=2">A &amp; B&#39;s &#xe6;</a><a href=/bare>c</a>'
+                                    "<a href='/quoted \"x'>d</a>")]
+    df = N.page_links(spark.createDataFrame(pages, "page_order long, url string, html string"), keep=["page_order"])
+    got = [(r.link, r.text, r.kind) for r in df.orderBy("page_order", "kind", "place").collect()]
+    assert got == [("https://a.is/k.pdf", "", 1), ("https://a.is/k.pdf", "second", 0), ("https://a.is/x?a=1&b=2", "A & B's æ", 0),
+                   ("https://a.is/bare", "c", 0), ('https://a.is/quoted "x', "d", 0), ("https://a.is/k.pdf", "", 1)]
+    first = N.discover_documents(df.withColumn("source", F.lit("s"))).first()
+    assert (first.link, first.text, first.found_on) == ("https://a.is/k.pdf", "", "https://a.is/p/")  # the earlier page, though a script
+
+
+def test_a_path_of_many_steps(spark):
+    url = "https://a.is/" + "/".join(["s"] * 10_050)
+    got = spark.range(1).select(N.resolve_link(F.lit("https://a.is/"), F.lit(url + "/./x")).alias("u")).first().u
+    assert got == url + "/x"
+
+
+def test_first_and_last_entries_of_url_lists(spark):
+    frame = lambda rows, names: spark.createDataFrame(rows, names + ", url string, place long")
+    rows = spark.createDataFrame([(1, "7", "a\\x.pdf"), (2, None, "a/x.pdf"), (3, None, "none")], "row long, contract_id string, document string")
+    got = R.attach_urls(rows, frame([("7", "zz", 1), ("7", "aa", 2)], "contract_id string"),
+                        frame([("a/x.pdf", "z", 1), ("a/x.pdf", "b", 2)], "document string"), frame([("a/x.pdf", "a", 1)], "document string"))
+    assert {r.row: r.url for r in got.collect()} == {1: "aa", 2: "z", 3: ""}
 
 
 def test_intake_reads_each_document_once(spark, tmp_path):
