@@ -22,64 +22,58 @@ from .ranking import keep_first
 REACH = 90       # where the value may stand, on either side of its date
 BEFORE = 290     # reach plus the 200 characters of context before it
 AFTER = 210      # reach plus the 120 characters of context after it
-PIECE = 200_000  # longer texts are cut for work, not for results
-OVERLAP = 4_000  # more than any date with its surroundings
+CHUNK = 64       # matches handled together; as many on either side are at hand for their surroundings
+NEAR = 320       # characters of a gap that can be anyone's surroundings, from either end
 
 
-def _pieces(text: Column) -> Column:
-    """Overlapping parts of a very long text: (first own position, own length, part).
+def matches(df: DataFrame, part: str, pattern: str) -> DataFrame:
+    """The matches of a pattern in a text, ``CHUNK`` to a row, with the text around them.
 
-    A date belongs to the part in whose own range it starts; the overlap shows
-    each part all that can matter for its own dates. A text with a run of
-    white space long enough to stretch a date beyond the overlap stays whole.
+    Replaces ``part`` by ``_local`` (the text near the row's matches, the middle of long gaps left out), ``_first`` (number of
+    the first match), ``_found``, ``_gaps`` (the text before each match and after the last) and ``_ends`` (where each match ends in ``_local``).
+    A text is gone through once; each row costs the same, however many matches the text has.
     """
-    length = F.length(text)
-    whole = (length <= PIECE) | text.rlike(r"(?U)\s{400}")
-    count = F.when(whole, 1).otherwise(F.ceil(length / PIECE)).cast("int")
-
-    def part(i):
-        start = F.greatest(i * PIECE - OVERLAP, F.lit(0))
-        size = F.when(whole, length).otherwise(F.lit(PIECE + 2 * OVERLAP))
+    others = [c for c in df.columns if c != part]
+    df = T.with_values(df, _all=F.regexp_extract_all(F.col(part), F.lit(pattern), F.lit(0)), _between=F.split(F.col(part), pattern, -1))
+    short = F.transform("_between", lambda g: F.when(F.length(g) > 2 * NEAR, F.concat(F.left(g, F.lit(NEAR)), F.right(g, F.lit(NEAR)))).otherwise(g))
+    df = T.with_values(df.where(F.size("_all") > 0).select(*others, "_all", short.alias("_s")), _short=F.col("_s"))
+    count = F.size("_all")
+
+    def chunk(c: Column) -> Column:
+        first = c * CHUNK
+        last = F.least(first + CHUNK, count)
+        low, high = F.greatest(first - CHUNK, F.lit(0)), F.least(last + CHUNK, count)
+        gaps, found = F.slice("_short", low + 1, high - low), F.slice("_all", low + 1, high - low)
+        steps = F.zip_with(gaps, found, lambda g, m: F.concat(g, m))
         return F.struct(
-            (i * PIECE - start).alias("own_from"),
-            F.when(whole, length).otherwise(F.lit(PIECE)).alias("own_size"),
-            F.substring(text, start + 1, size).alias("part"))
-
-    return F.transform(F.sequence(F.lit(0), count - 1), part)
+            first.alias("_first"), F.concat(F.array_join(steps, ""), F.get("_short", high)).alias("_local"),
+            F.slice("_all", first + 1, last - first).alias("_found"), F.slice("_short", first + 1, last - first + 1).alias("_gaps"),
+            F.transform(steps, lambda x: F.length(x)).alias("_steps"), (first - low).alias("_skip"))
 
-
-def matches(df: DataFrame, part: str, pattern: str) -> DataFrame:
-    """Adds ``_found``, ``_gaps`` and ``_ends``: the matches of a pattern in a text,
-    the text between them, and where each match ends."""
-    df = T.with_values(df, _found=F.regexp_extract_all(F.col(part), F.lit(pattern), F.lit(0)),
-                       _gaps=F.split(F.col(part), pattern, -1))
-    steps = F.zip_with(F.slice("_gaps", F.lit(1), F.size("_found")), "_found",
-                       lambda g, m: F.length(g) + F.length(m))
-    df = T.with_values(df, _steps=steps)
-    return T.with_values(df, _ends=F.transform("_steps", lambda _, i: F.aggregate(
-        F.slice("_steps", F.lit(1), i + 1), F.lit(0), lambda a, x: a + x))).drop("_steps")
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((count - 1) / CHUNK).cast("int")), chunk)
+    rows = df.select(*others, F.inline(chunks))
+    ends = F.transform("_found", lambda _, i: F.aggregate(
+        F.slice("_steps", F.lit(1), F.col("_skip") + i + 1), F.lit(0), lambda total, x: total + x))
+    return T.with_values(rows, _ends=ends).drop("_steps", "_skip")
 
 
 def date_anchors(docs: DataFrame, keep: Sequence[str], text: str = "text") -> DataFrame:
     """One row per date found in a text, in order, with its surroundings."""
     worth = F.contains(F.col(text), F.lit("%")) | F.col(text).rlike("(?iu)kr")
-    parts = docs.where(worth).select(*keep, F.posexplode(_pieces(F.col(text))).alias("_piece", "_p"))
-    parts = matches(parts.select(*keep, "_piece", "_p.own_from", "_p.own_size", "_p.part"), "part", X.DATE_IN_TEXT)
+    parts = matches(docs.where(worth).select(*keep, F.col(text).alias("_part")), "_part", X.DATE_IN_TEXT)
 
     def anchor(date, i):
         end = F.get("_ends", i)
         start = end - F.length(date)
         before = F.least(start, F.lit(BEFORE))
         return F.struct(
-            i.alias("nr"), date.alias("date"), start.alias("start"),
-            F.substring(F.col("part"), start - before + 1, before).alias("before"),
-            F.substring(F.col("part"), end + 1, F.lit(AFTER)).alias("after"),
+            (F.col("_first") + i).alias("nr"), date.alias("date"),
+            F.substring(F.col("_local"), start - before + 1, before).alias("before"),
+            F.substring(F.col("_local"), end + 1, F.lit(AFTER)).alias("after"),
             F.least(F.length(F.get("_gaps", i)), F.lit(REACH)).alias("back"),
             F.least(F.length(F.get("_gaps", i + 1)), F.lit(REACH)).alias("forward"))
 
-    own = F.filter(F.transform("_found", anchor), lambda a: (a["start"] >= F.col("own_from"))
-                   & (a["start"] < F.col("own_from") + F.col("own_size")))
-    return parts.select(*keep, "_piece", F.inline(own))
+    return parts.select(*keep, F.inline(F.transform("_found", anchor)))
 
 
 def _amount(window: Column) -> Column:
@@ -151,7 +145,7 @@ def _finish(judged: DataFrame, keep: list[str], start: str, end: str) -> DataFra
             T.increase_type(F.col("pct"), F.col("amount"), F.col("_context")).alias("type"),
             T.classify_basis(F.col("_context")).alias("basis"),
             F.left("_context", F.lit(400)).alias("quotation"),
-            F.struct("_piece", "nr").alias("_place"))
+            F.col("nr").alias("_place"))
     )
     first = keep_first(rows, [*keep, "valid_from", "pct", "amount"], [F.col("_place")])
     return first.drop("_place")
@@ -178,7 +172,7 @@ def profile_hits(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str =
             end = F.get("_ends", i)
             start = F.greatest(end - F.length(match) - 160, F.lit(0))
             return F.struct(match.alias("match"),
-                            F.substring(F.col("_text"), start + 1, end + 60 - start).alias("around"))
+                            F.substring(F.col("_local"), start + 1, end + 60 - start).alias("around"))
 
         texts = docs.where(F.contains(F.col(text), F.lit("%"))).select(*keep, F.col(text).alias("_text"))
         rows = (

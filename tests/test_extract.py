@@ -75,9 +75,8 @@ def test_long_texts_are_read_whole(spark, monkeypatch):
     text = "".join(filler + c for c in clauses) + filler
     whole = {(r.valid_from, r.pct, r.quotation) for r in E.extract_increases(docs(spark, [text])).collect()}
     assert len(whole) == 8
-    for size in (700, 1999, 5000):
-        monkeypatch.setattr(E, "PIECE", size)
-        monkeypatch.setattr(E, "OVERLAP", 400)
+    for size in (1, 2, 3):
+        monkeypatch.setattr(E, "CHUNK", size)
         cut = {(r.valid_from, r.pct, r.quotation) for r in E.extract_increases(docs(spark, [text])).collect()}
         assert cut == whole
 
