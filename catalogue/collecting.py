@@ -31,8 +31,8 @@ def q_duplicates(spark, sf):
 
 
 def q_hot(spark, sf):
-    """The same with every hash treated as one with very many copies."""
-    rows = D.mark_duplicates(inventory(spark, sf), PRIORITY, hot_rows=1)
+    """The same by the text's first word, a hash with very many copies."""
+    rows = D.mark_duplicates(inventory(spark, sf).withColumn("first", F.substring("sha256", 1, 1)), PRIORITY, hash_column="first")
     return rows.groupBy("source").agg(F.sum("is_duplicate").alias("duplicates"))
 
 
@@ -115,7 +115,8 @@ links AS (SELECT page_id AS page_order, url AS page, source, place, link, text F
 ENTRIES = {
     "document_inventory": (q_inventory, WITH + "SELECT path, source, size, sha256 FROM inv"),
     "marked_duplicates": (q_duplicates, WITH + "SELECT path, original, is_duplicate FROM marked"),
-    "marked_duplicates_hot": (q_hot, WITH + "SELECT source, CAST(sum(is_duplicate) AS BIGINT) AS duplicates FROM marked GROUP BY source"),
+    "marked_duplicates_hot": (q_hot, WITH + """, first AS (SELECT source, path, first_value(path) OVER (PARTITION BY substr(sha256, 1, 1) ORDER BY CASE source WHEN 'src3' THEN 0 WHEN 'src1' THEN 1 WHEN 'src7' THEN 2 ELSE 3 END, path) AS original FROM inv)
+SELECT source, CAST(count(*) FILTER (path <> original) AS BIGINT) AS duplicates FROM first GROUP BY source"""),
     "duplicate_stats": (q_stats, WITH + """
 SELECT source, count(*) AS files, count(*) FILTER (is_duplicate = 0) AS unique_files, count(*) FILTER (is_duplicate = 1) AS duplicates,
   CAST(sum(size) AS BIGINT) AS bytes, CAST(coalesce(sum(size) FILTER (is_duplicate = 1), 0) AS BIGINT) AS duplicate_bytes FROM marked GROUP BY source"""),

@@ -198,13 +198,14 @@ def q_confirmed(spark, sf):
 
 P = cte("v_increase") + "," + Q.POINTS
 UNIONS = """
-marked AS (SELECT l.*, coalesce(counterparty = main_counterparty, false) AS is_main
-           FROM lines l LEFT JOIN main USING (union_key)),
+seen AS (SELECT union_key, counterparty, min(first_row) AS seen FROM series GROUP BY ALL),
+marked AS (SELECT l.*, coalesce(counterparty = main_counterparty, false) AS is_main, seen
+           FROM lines l LEFT JOIN main USING (union_key) JOIN seen USING (union_key, counterparty)),
 unions AS (
   SELECT union_key, counterparty AS main_line, first_date, last_date, n_increases, stretch_from, stretch_years,
          stretch_points, older_gaps, final_index, last_stretch_index, longest_gap, grade,
          n_lines, CAST(n_all AS BIGINT) AS n_increases_all
-  FROM (SELECT *, row_number() OVER (PARTITION BY union_key ORDER BY is_main DESC, n_increases DESC, counterparty DESC) AS k,
+  FROM (SELECT *, row_number() OVER (PARTITION BY union_key ORDER BY is_main DESC, n_increases DESC, seen, counterparty DESC) AS k,
                count(*) OVER (PARTITION BY union_key) AS n_lines, sum(n_increases) OVER (PARTITION BY union_key) AS n_all
         FROM marked) WHERE k = 1)
 """

@@ -145,7 +145,7 @@ def q_series(spark, sf):
 
 
 def q_lines(spark, sf):
-    return iso(S.line_summary(series(spark, sf)).withColumnRenamed("last_index", "final_index"))
+    return iso(S.line_summary(series(spark, sf)).drop("first_row").withColumnRenamed("last_index", "final_index"))
 
 
 SUMMARY = """

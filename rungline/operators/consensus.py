@@ -99,28 +99,29 @@ def choose_main(df: DataFrame, as_of, federations: DataFrame | None = None,
     ``federations`` and ``overrides`` hold (key, counterparty), one row per union.
     """
     from_date = F.make_date(F.year(as_of) - X.RECENT_YEARS, F.lit(1), F.lit(1))
-    known = F.col(counterparty).isNotNull() & ~F.col(counterparty).isin("", unknown)
+    # counterparties, umbrellas and markets of a union are counted in one pass over the rows
+    values = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("value")) for c in (counterparty, umbrella, market)])
     counts = (
-        df.where(known).groupBy(key, counterparty)
-        .agg(F.count(F.lit(1)).alias("n"),
-             F.count_if(F.col(date) >= from_date).alias("recent"),
-             F.min("row_id").alias("first_row"))
+        df.select(key, date, "row_id", F.inline(values)).groupBy(key, "kind", "value")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(date) >= from_date).alias("recent"), F.min("row_id").alias("first_row"))
     )
     listed = list(dict.fromkeys([*public_order, *private_order, *other_order]))
-    usable = [F.max((F.col(counterparty) == c) & (F.col("n") >= X.MIN_MAIN_ROWS)).alias(f"_has_{i}")
-              for i, c in enumerate(listed)]
-    by_union = counts.groupBy(key).agg(
-        F.max_by(counterparty, F.struct("recent", "n", -F.col("first_row"))).alias("_most"), *usable)
+    filled = F.coalesce(F.col("value"), F.lit("")) != ""
+    is_party = (F.col("kind") == counterparty) & filled & (F.col("value") != unknown)
+
+    def most(which: Column, *order: Column) -> Column:
+        return F.max_by(F.when(which, F.col("value")), F.when(which, F.struct(*order)))
+
+    by_number = (F.col("n"), -F.col("first_row"))
+    result = counts.groupBy(key).agg(
+        most(is_party, F.col("recent"), *by_number).alias("_most"),
+        most((F.col("kind") == umbrella) & filled, *by_number).alias("_umbrella"),
+        most((F.col("kind") == market) & filled, *by_number).alias("_market"),
+        *[F.max(is_party & (F.col("value") == c) & (F.col("n") >= X.MIN_MAIN_ROWS)).alias(f"_has_{i}") for i, c in enumerate(listed)])
 
     def first_usable(order):
         return F.coalesce(*[F.when(F.col(f"_has_{listed.index(c)}"), c) for c in order])
 
-    unions = df.select(key).distinct()
-    result = (
-        unions.join(by_union, key, "left")
-        .join(most_frequent(df, [key], umbrella, "row_id", "_umbrella"), key, "left")
-        .join(most_frequent(df, [key], market, "row_id", "_market"), key, "left")
-    )
     private = F.coalesce(F.col("_umbrella") == private_umbrella, F.lit(False))
     public = F.coalesce(F.col("_umbrella").isin(*public_umbrellas), F.lit(False)) | (
         ~private & F.coalesce(F.col("_market") == public_market, F.lit(False)))

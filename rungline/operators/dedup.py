@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed as X
-from .ranking import HOT_ROWS, join_lookup
+from .ranking import join_lookup
 
 
 def source_rank(source: Column, priority: Sequence[str]) -> Column:
@@ -16,22 +16,16 @@ def source_rank(source: Column, priority: Sequence[str]) -> Column:
 
 
 def mark_duplicates(inventory: DataFrame, priority: Sequence[str] = tuple(X.COPY_PRIORITY),
-                    hash_column: str = "sha256", source: str = "source", path: str = "path",
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
+                    hash_column: str = "sha256", source: str = "source", path: str = "path") -> DataFrame:
     """Adds ``original`` and ``is_duplicate``: among equal hashes the best source, then path.
 
-    The original of each hash is a partial aggregate. It goes back to the
-    copies by a join that spreads a hash with very many copies.
+    The original of each hash is a partial aggregate, one row per hash, that goes back to the copies.
     """
     best = inventory.groupBy(hash_column).agg(
-        F.min(F.struct(source_rank(F.col(source), priority), F.col(path))).alias("_best"),
-        F.count(F.lit(1)).alias("_copies"))
-    originals = best.select(hash_column, F.col(f"_best.{path}").alias("original"), "_copies")
-    return (
-        join_lookup(inventory, originals, [hash_column], "_copies", [path], hot_rows=hot_rows)
-        .withColumn("is_duplicate", F.when(F.col(path) != F.col("original"), 1).otherwise(0))
-        .drop("_copies")
-    )
+        F.min(F.struct(source_rank(F.col(source), priority), F.col(path))).alias("_best"))
+    originals = best.select(hash_column, F.col(f"_best.{path}").alias("original"))
+    return join_lookup(inventory, originals, [hash_column]).withColumn(
+        "is_duplicate", F.when(F.col(path) != F.col("original"), 1).otherwise(0))
 
 
 def originals(docs: DataFrame, marked: DataFrame, path: str = "path") -> DataFrame:

@@ -1,7 +1,8 @@
-"""Data-quality checks. Each returns one row: check, passed, severity, violations, message."""
+"""Data-quality checks: aggregates that ``quality_report`` computes, all those on one table in one pass."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,46 +12,46 @@ from ..functions import fixed as X
 from ..functions.text import month_key, not_blank
 from .compare import as_of_date
 from .consensus import DATE, LINE
-from .ranking import upper_median
+from .ranking import median_from_above
 
 ERROR, WARNING = "VILLA", "aðvörun"
 
 
-def _row(df: DataFrame, check: str, violations: Column, severity: str = ERROR) -> DataFrame:
-    return df.agg(violations.cast("bigint").alias("violations")).select(
-        F.lit(check).alias("check"), (F.col("violations") == 0).alias("passed"),
-        F.lit(severity).alias("severity"), "violations",
-        F.when(F.col("violations") > 0, F.concat(F.col("violations").cast("string"), F.lit(" frávik")))
-        .otherwise("").alias("message"))
+@dataclass
+class Check:
+    """What counts as a violation in a table, as an aggregate column."""
+    df: DataFrame
+    name: str
+    violations: Column
+    severity: str = ERROR
 
 
-def check_nonempty(df: DataFrame, check: str, severity: str = ERROR) -> DataFrame:
-    return _row(df.limit(1), check, F.when(F.count(F.lit(1)) == 0, 1).otherwise(0), severity)
+def check_nonempty(df: DataFrame, check: str, severity: str = ERROR) -> Check:
+    return Check(df, check, F.when(F.count(F.lit(1)) == 0, 1).otherwise(0), severity)
 
 
-def check_range(df: DataFrame, check: str, column: str, low, high, open_low: bool = False) -> DataFrame:
+def check_range(df: DataFrame, check: str, column: str, low, high, open_low: bool = False) -> Check:
     value = F.col(column)
     inside = ((value > low) if open_low else (value >= low)) & (value <= high)
-    return _row(df, check, F.count_if(value.isNotNull() & ~inside))
+    return Check(df, check, F.count_if(value.isNotNull() & ~inside))
 
 
-def check_median(df: DataFrame, check: str, column: str, low: float, high: float) -> DataFrame:
-    outside = F.when(F.col("median").between(low, high), 0).otherwise(1)
-    return _row(upper_median(df, column, "median"), check, F.max(outside))
+def check_median(df: DataFrame, check: str, column: str, low: float, high: float) -> Check:
+    return Check(df, check, F.when(median_from_above(column).between(low, high), 0).otherwise(1))
 
 
-def check_dates(df: DataFrame, check: str, date: str = DATE, low=None, high=None) -> DataFrame:
+def check_dates(df: DataFrame, check: str, date: str = DATE, low=None, high=None) -> Check:
     wrong = F.lit(False)
     if low is not None:
         wrong = wrong | (F.col(date) < low)
     if high is not None:
         wrong = wrong | (F.col(date) > high)
-    return _row(df, check, F.count_if(wrong))
+    return Check(df, check, F.count_if(wrong))
 
 
-def check_unique(df: DataFrame, check: str, keys: Sequence[str] = (*LINE, DATE)) -> DataFrame:
+def check_unique(df: DataFrame, check: str, keys: Sequence[str] = (*LINE, DATE)) -> Check:
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return _row(counted, check, F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))
+    return Check(counted, check, F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))
 
 
 def _main_lines(series: DataFrame, key: str, counterparty: str) -> DataFrame:
@@ -58,23 +59,23 @@ def _main_lines(series: DataFrame, key: str, counterparty: str) -> DataFrame:
 
 
 def check_single_main(series: DataFrame, check: str, key: str = "union_key",
-                      counterparty: str = "counterparty") -> DataFrame:
+                      counterparty: str = "counterparty") -> Check:
     per_union = _main_lines(series, key, counterparty).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return _row(per_union, check, F.count_if(F.col("n") > 1))
+    return Check(per_union, check, F.count_if(F.col("n") > 1))
 
 
-def check_has_main(series: DataFrame, check: str, key: str = "union_key") -> DataFrame:
+def check_has_main(series: DataFrame, check: str, key: str = "union_key") -> Check:
     per_union = series.groupBy(key).agg(F.max(F.col("is_main").cast("int")).alias("main"))
-    return _row(per_union, check, F.count_if(F.col("main") == 0))
+    return Check(per_union, check, F.count_if(F.col("main") == 0))
 
 
 def check_main_reference(series: DataFrame, unions: DataFrame, check: str, key: str = "union_key",
-                         counterparty: str = "counterparty", main: str = "main_line") -> DataFrame:
+                         counterparty: str = "counterparty", main: str = "main_line") -> Check:
     lines = _main_lines(series, key, counterparty)
     named = lines.join(unions.select(key, F.col(main).alias("_named")), key, "left")
     per_union = named.groupBy(key).agg(
         F.max((F.col(counterparty) == F.col("_named")).cast("int")).alias("agrees"))
-    return _row(per_union, check, F.count_if(F.coalesce("agrees", F.lit(0)) == 0))
+    return Check(per_union, check, F.count_if(F.coalesce("agrees", F.lit(0)) == 0))
 
 
 def over_ceiling(main_series: DataFrame, unions: DataFrame, benchmark: DataFrame, cap: Column,
@@ -105,16 +106,30 @@ def over_ceiling(main_series: DataFrame, unions: DataFrame, benchmark: DataFrame
     )
 
 
-def check_ceiling(compared: DataFrame, check: str) -> DataFrame:
-    return _row(compared, check, F.count_if("over"))
+def check_ceiling(compared: DataFrame, check: str) -> Check:
+    return Check(compared, check, F.count_if("over"))
 
 
-def check_not_blank(df: DataFrame, check: str, column: str) -> DataFrame:
-    return _row(df, check, F.count_if(~not_blank(F.coalesce(F.col(column), F.lit("")))))
+def check_not_blank(df: DataFrame, check: str, column: str) -> Check:
+    return Check(df, check, F.count_if(~not_blank(F.coalesce(F.col(column), F.lit("")))))
 
 
-def quality_report(checks: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, checks)
+def quality_report(checks: Sequence[Check]) -> DataFrame:
+    """One row per check: check, passed, severity, violations, message. Checks on the same table share one aggregation."""
+    tables: dict[int, list[Check]] = {}
+    for c in checks:
+        tables.setdefault(id(c.df), []).append(c)
+
+    def rows(own: list[Check]) -> DataFrame:
+        counted = own[0].df.agg(*[c.violations.cast("bigint").alias(f"_{i}") for i, c in enumerate(own)])
+        listed = F.array(*[F.struct(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), F.col(f"_{i}").alias("violations"))
+                           for i, c in enumerate(own)])
+        return counted.select(F.inline(listed))
+
+    many = F.col("violations") > 0
+    message = F.when(many, F.concat(F.col("violations").cast("string"), F.lit(" frávik"))).otherwise("")
+    return reduce(DataFrame.unionByName, map(rows, tables.values())).select(
+        "check", (F.col("violations") == 0).alias("passed"), "severity", "violations", message.alias("message"))
 
 
 def overall(report: DataFrame) -> DataFrame:

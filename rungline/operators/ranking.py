@@ -2,8 +2,8 @@
 
 A key may hold a third of all rows, so nothing here gathers a key's raw rows
 in one task: tops are kept by partial aggregation (or by row_number with a
-bound, which Spark also applies before the shuffle), and look-ups against hot
-keys are spread over several partitions.
+bound, which Spark also applies before the shuffle), and a look-up's answer
+is one row per key, so that adaptive execution can split a hot key.
 """
 from __future__ import annotations
 
@@ -12,9 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-SPREAD = 64
-
 
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """The first ``k`` rows per key. Spark keeps at most k per key and map task."""
@@ -40,27 +37,13 @@ def most_frequent(df: DataFrame, keys: Sequence[str], value: str, row: str,
     return counted.groupBy(*keys).agg(best.alias(alias or value))
 
 
-def join_lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], rows: str,
-                spread_by: Sequence[str], hot_rows: int = HOT_ROWS, spread: int = SPREAD) -> DataFrame:
-    """Left join of a large side to a table with one row per key, safe for hot keys.
+def join_lookup(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of a large side to a table with one row per key.
 
-    ``table`` carries in ``rows`` how many rows of ``df`` share the key. Keys
-    with ``hot_rows`` or more are answered from a broadcast, which can have at
-    most (rows of df / hot_rows) entries; their rows are then spread over many
-    partitions by a hash of ``spread_by``. All other keys meet by a shuffle.
-    Both halves read the same aggregate, so Spark computes the table once.
+    The rows of a hot key are split over several tasks by adaptive execution, each with that key's one row.
     """
-    keys = list(keys)
     values = [c for c in table.columns if c not in keys]
-    packed = table.select(*keys, F.struct(*values).alias("_v"))
-    hot = packed.where(F.col("_v")[rows] >= hot_rows).withColumnRenamed("_v", "_hot")
-    cold = packed.where(F.col("_v")[rows] < hot_rows).withColumn("_salt", F.lit(0))
-    place = F.pmod(F.xxhash64(*spread_by), F.lit(spread)).cast("int") + 1
-    left = df.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull(), place).otherwise(F.lit(0)))
-    answer = F.coalesce("_hot", "_v")
-    return left.join(cold, [*keys, "_salt"], "left").select(
-        *df.columns, *[answer[c].alias(c) for c in values])
+    return df.join(table, list(keys), "left").select(*df.columns, *values)
 
 
 def number_within(df: DataFrame, keys: Sequence[str], order: str, block: int,
@@ -126,6 +109,10 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, alias: str,
           + F.max(F.when(covers("_high"), F.col(value)))) / 2).alias(alias))
 
 
+def median_from_above(value: str) -> Column:
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}` DESC)")
+
+
 def upper_median(df: DataFrame, value: str, alias: str) -> DataFrame:
     """Element n//2 of the sorted values, without interpolation.
 
@@ -133,5 +120,4 @@ def upper_median(df: DataFrame, value: str, alias: str) -> DataFrame:
     Each task counts equal values before the shuffle, so what is gathered is
     one entry per distinct value; meant for rounded columns such as percents.
     """
-    return df.agg(F.expr(
-        f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}` DESC)").alias(alias))
+    return df.agg(median_from_above(value).alias(alias))

@@ -1,12 +1,10 @@
 """Wage tables: reading them out of text lines, checking and measuring them."""
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions import fixed as X
 from ..functions import text as T
@@ -43,26 +41,23 @@ def table_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> D
     )
 
 
-def _number_repeats(ident: str):
-    """Table restarts inside one document: a grade seen since the last restart
-    or header starts a new table. Order matters, so this is a fold."""
-    def restarts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[str] = set()
-        count, doc = 0, None
-        for frame in frames:
-            out = []
-            for key, header, grade in zip(frame[ident], frame["_is_header"], frame["_grade"]):
-                if key != doc:
-                    seen, count, doc = set(), 0, key
-                if header:
-                    seen = set()
-                elif grade is not None and not pd.isna(grade):
-                    if grade in seen:
-                        count, seen = count + 1, set()
-                    seen.add(grade)
-                out.append(count)
-            yield frame.assign(_repeats=out)
-    return restarts
+BLOCK = 512  # lines of a document that are handled together
+
+
+def _restarts(rows: DataFrame, ident: str) -> DataFrame:
+    """(document, line_no) of the lines whose grade was seen since the last header or restart: there a new table begins."""
+    listed = F.array_sort(F.collect_list(F.struct("line_no", "_grade")))
+
+    def step(state: Column, line: Column) -> Column:
+        again = F.array_contains(state["seen"], line["_grade"])
+        return F.struct(
+            F.when(again, F.array(line["_grade"])).otherwise(F.array_append(state["seen"], line["_grade"])).alias("seen"),
+            F.when(again, F.array_append(state["at"], line["line_no"])).otherwise(state["at"]).alias("at"))
+
+    nothing = F.struct(F.array().cast("array<string>").alias("seen"), F.array().cast("array<int>").alias("at"))
+    return (rows.where(F.col("_grade").isNotNull()).groupBy(ident, "_headers").agg(listed.alias("_lines"))
+            .select(ident, F.explode(F.aggregate("_lines", nothing, step, lambda s: s["at"])).alias("line_no"))
+            .withColumn("_restart", F.lit(1)))
 
 
 def scan_wage_tables(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -70,31 +65,36 @@ def scan_wage_tables(docs: DataFrame, ident: str = "doc_id", text: str = "text")
 
     The effective date, unit and step headers are carried forward from the
     lines above; the table number rises with each new date, unit or header and
-    when a grade comes back.
+    when a grade comes back. Lines are handled in blocks: what a block takes over from those
+    before it comes from one row per block, so a long document is shared by several tasks.
     """
-    order = Window.partitionBy(ident).orderBy("line_no")
-    above = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = lambda c: F.last(c, ignorenulls=True).over(above)
+    lines = (table_lines(docs, ident, text).withColumn("_block", F.floor(F.col("line_no") / BLOCK))
+             .withColumn("_is_header", F.col("_labels").isNotNull()).repartition(ident, "_block"))
+    inside = Window.partitionBy(ident, "_block").orderBy("line_no")
+    upto, above = (inside.rowsBetween(Window.unboundedPreceding, end) for end in (Window.currentRow, -1))
+    blocks = Window.partitionBy(ident).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ["_date", "_unit", "_labels"]
+    ends = lines.groupBy(ident, "_block").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("line_no"))).alias(c) for c in carried], F.count_if("_is_header").alias("_n"))
+    starts = ends.select(ident, "_block", *[F.last(c, ignorenulls=True).over(blocks).alias(c + "_start") for c in carried],
+                         F.coalesce(F.sum("_n").over(blocks), F.lit(0)).alias("_headers_start"))
+    value = lambda c, rows: F.coalesce(F.last(c, ignorenulls=True).over(rows), F.col(c + "_start"))
+    changed = lambda c: F.when(F.col(c).isNotNull() & ~F.col(c).eqNullSafe(F.col(c + "_above")), 1).otherwise(0)
     state = (
-        table_lines(docs, ident, text)
-        .withColumn("_date_now", carried("_date"))
-        .withColumn("_unit_now", carried("_unit"))
-        .withColumn("_labels_now", carried("_labels"))
-        .withColumn("_date_before", F.lag("_date_now").over(order))
-        .withColumn("_unit_before", F.lag("_unit_now").over(order))
-        .withColumn("_is_header", F.col("_labels").isNotNull())
-        .withColumn("_new", F.when(F.col("_date").isNotNull() & ~F.col("_date").eqNullSafe(F.col("_date_before")), 1).otherwise(0)
-                    + F.when(F.col("_unit").isNotNull() & ~F.col("_unit").eqNullSafe(F.col("_unit_before")), 1).otherwise(0)
-                    + F.when(F.col("_is_header"), 1).otherwise(0))
-        .withColumn("_changes", F.sum("_new").over(above))
-        .select(ident, "line_no", "_date_now", "_unit_now", "_labels_now", "_is_header", "_grade", "_wages", "_changes")
+        lines.join(starts, [ident, "_block"])
+        .withColumns({c + "_now": value(c, upto) for c in carried} | {c + "_above": value(c, above) for c in carried[:2]}
+                     | {"_headers": F.col("_headers_start") + F.count_if("_is_header").over(upto)})
+        .withColumn("_new", changed("_date") + changed("_unit") + F.col("_is_header").cast("int"))
+        .select(ident, "_block", "line_no", "_date_now", "_unit_now", "_labels_now", "_headers", "_grade", "_wages", "_new")
     )
-    ordered = state.repartition(ident).sortWithinPartitions(ident, "line_no")
-    schema = StructType([*ordered.schema.fields, StructField("_repeats", IntegerType())])
-    numbered = ordered.mapInPandas(_number_repeats(ident), schema)
+    steps = state.join(_restarts(state, ident), [ident, "line_no"], "left").withColumn(
+        "_new", F.col("_new") + F.coalesce("_restart", F.lit(0))).drop("_restart")
+    sums = steps.groupBy(ident, "_block").agg(F.sum("_new").alias("_n")).select(
+        ident, "_block", F.coalesce(F.sum("_n").over(blocks), F.lit(0)).alias("_before"))
+    numbered = steps.join(sums, [ident, "_block"]).withColumn("_number", F.col("_before") + F.sum("_new").over(upto))
     first = T.parse_wage(F.get(F.col("_wages"), F.lit(0)))
     unit = F.coalesce("_unit_now", F.when(first >= X.MONTHLY_FROM, X.UNIT_MONTHLY).otherwise(X.UNIT_HOURLY))
-    number = F.col("_changes") + F.col("_repeats")
+    number = F.col("_number")
     amounts = (
         numbered.where("size(_wages) >= 2").withColumn("unit", unit)
         .withColumn("table_no", F.when(number == 0, 1).otherwise(number).cast("int"))

@@ -157,14 +157,25 @@ def contracts_in_gap(gaps: DataFrame, contracts: DataFrame, k: int = 3, key: str
     kinds = [*fields, counterparty, "fra", "til"]
     dated = top_k(contracts.where(F.col("fra").isNotNull()), kinds, [F.col(row)], k)
     pairs = names_in_texts(gaps, contracts, name, fields)
+    # contracts meet the gaps of their own years: a contract with an end is copied to each of its years, one without
+    # to the year it starts in, where it meets the gaps that end in that year or later by their copies
+    met = gaps.join(pairs, name)
+    open_until = met.groupBy(*fields).agg(F.max(F.year("gap_to")).alias("_until"))
+    held = dated.join(open_until, list(fields)).withColumn(
+        "_end", F.least(F.greatest(F.coalesce(F.year("til"), F.col("_until")), F.year("fra")), F.col("_until"))).where(F.year("fra") <= F.col("_end"))
+    held = held.withColumn("_year", F.explode(F.sequence(F.year("fra"), F.col("_end")))).drop("_until", "_end")
+    spans = met.withColumn("_year", F.explode(F.sequence(F.year("gap_from"), F.year("gap_to"))))
     matched = (
-        gaps.join(pairs, name).join(dated, list(fields))
+        spans.join(held, [*fields, "_year"])
         .where((F.col("fra") <= F.col("gap_to")) & (F.col("til").isNull() | (F.col("til") >= F.col("gap_from"))))
+        # a pair that shares several years counts in the first of them
+        .where(F.col("_year") == F.greatest(F.year("gap_from"), F.year("fra")))
     )
     order = [F.col(counterparty) != F.col(main),
              ~F.col("fra").between(F.col("gap_from"), F.col("gap_to")), F.col("fra"), F.col(row)]
+    in_year = top_k(matched, [key, "gap_from", "gap_to", "_year"], order, k)
     window = Window.partitionBy(key, "gap_from", "gap_to").orderBy(*order)
-    return (matched.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
+    return (in_year.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
             .select(key, "gap_from", "gap_to", "rank", row, "fra", "til", counterparty))
 
 

@@ -379,7 +379,9 @@ def build_series(points: DataFrame, confirmed: DataFrame | None = None,
 # ------------------------------------------------------------------ summaries
 
 def line_summary(series: DataFrame, keys: Sequence[str] = LINE, date: str = DATE,
-                 inherited: str | None = None) -> DataFrame:
+                 inherited: str | None = None, row: str = "first_row") -> DataFrame:
+    """One row per line; where the rows tell when they were first seen, so does the line."""
+    seen = [F.min(row).alias(row)] if row in series.columns else []
     extra = [F.max_by(F.nullif(inherited, F.lit("")), F.when(
         F.coalesce(F.col(inherited), F.lit("")) != "", -F.unix_date(date))).alias(inherited)] if inherited else []
     return series.groupBy(*keys).agg(
@@ -394,16 +396,31 @@ def line_summary(series: DataFrame, keys: Sequence[str] = LINE, date: str = DATE
         F.max_by("stretch_index", F.when(F.col("stretch_index").isNotNull(), F.col(date))).alias("last_stretch_index"),
         F.max("gap_months").alias("longest_gap"),
         F.first("grade").alias("grade"),
-        *extra,
+        *seen, *extra,
     )
 
 
+def union_modes(series: DataFrame, key: str = "union_key", name: str = "union_name",
+                modes: Sequence[str] = ("union_id", "market", "umbrella"), row: str = "first_row") -> DataFrame:
+    """The most frequent non-blank value of each of ``modes`` over all lines of a union; the first seen wins a tie.
+
+    One partial aggregation over (union, column, value), whatever the number of columns.
+    """
+    listed = F.explode(F.array(*[F.struct(F.lit(m).alias("mode"), F.col(m).cast("string").alias("value")) for m in modes]))
+    counted = (series.select(key, row, listed.alias("_m")).where("_m.value <> ''")
+               .groupBy(key, "_m.mode", "_m.value").agg(F.count(F.lit(1)).alias("_n"), F.min(row).alias("_first")))
+    best = F.struct("_n", -F.col("_first"))
+    return counted.groupBy(key).agg(*[F.max_by(F.when(F.col("mode") == m, F.col("value")), F.when(F.col("mode") == m, best)).alias(m) for m in modes])
+
+
 def union_summary(lines: DataFrame, main: DataFrame, key: str = "union_key",
                   counterparty: str = "counterparty") -> DataFrame:
-    """One row per union from its main line, or from its largest line without one."""
+    """One row per union from its main line, or from its largest line without one; of equally large lines
+    the one seen first (``first_row``)."""
     marked = lines.join(main, key, "left").withColumn(
         "is_main", F.coalesce(F.col(counterparty) == F.col("main_counterparty"), F.lit(False)))
-    best = F.struct(F.col("is_main").cast("int"), F.col("n_increases"))
+    seen = -F.col("first_row") if "first_row" in lines.columns else F.lit(0)
+    best = F.struct(F.col("is_main").cast("int").alias("a"), F.col("n_increases").alias("b"), seen.alias("c"))
     shown = ["first_date", "last_date", "n_increases", "stretch_from", "stretch_years",
              "stretch_points", "older_gaps", "last_index", "last_stretch_index",
              "longest_gap", "grade"]
