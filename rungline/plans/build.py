@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed as X
@@ -20,6 +20,7 @@ from ..operators import quality as Q
 from ..operators import resolve as R
 from ..operators import series as S
 from ..session import cut_lineage
+from ..sources import sinks
 
 DESCRIBE = ("type", "union_name", "union_id", "market", "umbrella", "document", "url")
 
@@ -71,6 +72,24 @@ def with_row_ids(df: DataFrame, *order: str) -> DataFrame:
     return df.withColumn("row_id", day * (1 << 41) + low)
 
 
+def in_publication_order(df: DataFrame) -> DataFrame:
+    """``row_id`` counts the rows from 1 by date, then name, so that "first seen" means the same in every run.
+
+    Rows are numbered within (date, name); the rows before come from one row per date and name, and
+    those of earlier dates from one row per day of the calendar.
+    """
+    key = [F.coalesce(F.col("valid_from").cast("string"), F.lit("")).alias("_day"), F.coalesce("union_name", F.lit("")).alias("_name")]
+    other = [c for c in df.columns if c != "row_id"]
+    rows = df.select("*", *key)
+    earlier = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    named = rows.groupBy("_day", "_name").agg(F.count(F.lit(1)).alias("_n"))
+    before = named.withColumn("_in_day", earlier(Window.partitionBy("_day").orderBy("_name"))).drop("_n")
+    days = named.groupBy("_day").agg(F.sum("_n").alias("_n")).withColumn("_days", earlier(Window.orderBy("_day"))).drop("_n")
+    place = F.row_number().over(Window.partitionBy("_day", "_name").orderBy("row_id"))
+    return (rows.withColumn("_place", place).join(before, ["_day", "_name"]).join(days, "_day")
+            .select((F.col("_days") + F.col("_in_day") + F.col("_place")).alias("row_id"), *other).select(*df.columns))
+
+
 def merge(register: DataFrame, web: DataFrame, manual: DataFrame, companies: DataFrame,
           contracts: DataFrame, manifests: DataFrame, extra_urls: DataFrame) -> DataFrame:
     """The three sources with union, counterparty, URL and provenance per row."""
@@ -83,7 +102,7 @@ def merge(register: DataFrame, web: DataFrame, manual: DataFrame, companies: Dat
     linked = R.attach_urls(placed.withColumn("contract_id", F.lit(None).cast("string")),
                            contracts.select("contract_id", "url"), manifests, extra_urls)
     manual = with_row_ids(manual, "union_name", "source")
-    return M.merge_sources(register, linked.drop("contract_id"), manual)
+    return in_publication_order(M.merge_sources(register, linked.drop("contract_id"), manual))
 
 
 def build_series(increases: DataFrame, as_of: Column, federations: DataFrame, overrides: DataFrame,
@@ -101,12 +120,45 @@ def build_series(increases: DataFrame, as_of: Column, federations: DataFrame, ov
     lined = C.assign_line(rows, main)
     points = C.consensus(lined, describe=DESCRIBE, origin="origin", name="counterparty_name")
     folded = S.fold_company_lines(points, main, name="counterparty_name")
-    inherited = cut_lineage(S.inherit(folded, federations, describe=("union_name", "union_id", "market", "umbrella")))
+    inherited = cut_lineage(S.inherit(folded, federations, describe=("union_name", "union_id", "market", "umbrella"),
+                                      federation_name="union_name"))
     flagged = inherited.join(main, "union_key", "left").withColumn(
         "is_main", (F.col("counterparty") == F.col("main_counterparty")).cast("int")).drop("main_counterparty")
     series = cut_lineage(S.build_series(flagged, confirmed, replaced=("basis", "type", "document", "url", "amount")))
     lines = S.line_summary(series, inherited="inherited_from")
-    return Series(rows, main, inherited, series, lines, S.union_summary(lines, main))
+    return Series(rows, main, inherited, series, lines, described_unions(series, S.union_summary(lines, main)))
+
+
+def described_unions(series: DataFrame, unions: DataFrame) -> DataFrame:
+    """Unions with the name on the first row of their line, the most frequent id, market and umbrella of all lines, and a slug.
+
+    Slugs are given in order of size, equal ones as first seen.
+    """
+    name = F.coalesce(F.min_by("union_name", F.when(F.col("counterparty") == F.col("main_line"), F.struct("valid_from", "first_row"))),
+                      F.min_by("union_name", "first_row"))
+    named = (series.join(unions.select("union_key", "main_line"), "union_key").groupBy("union_key")
+             .agg(name.alias("union_name"), F.min("first_row").alias("_seen")))
+    full = unions.join(named, "union_key").join(S.union_modes(series), "union_key", "left")
+    size = F.lit(1_000_000) - F.least(F.col("n_increases"), F.lit(1_000_000))
+    return sinks.with_slugs(full.withColumn("_order", size * 1_000_000_000_000 + F.col("_seen")), "union_name", "_order").drop("_order", "_seen")
+
+
+def publish(built: Series, rates: DataFrame, index: DataFrame, prices: DataFrame, path: str, base_url: str) -> None:
+    """All outputs under ``path``: increases by year, a document per union, the union index, both indices, the manifest.
+
+    ``rates``: (union_key, from_date, to_date, pct); ``index`` and ``prices``: (month, value).
+    """
+    columns = ["row_id", "union_key", "union_name", "counterparty", "valid_from", "pct", "amount", "basis", "type", "origin", "document", "url"]
+    sinks.write_by_year(built.increases, f"{path}/ar", "valid_from", [c for c in columns if c in built.increases.columns], "row_id")
+    documents = sinks.union_documents(built.unions, built.lines, built.series, rates,
+                                      ["valid_from", "pct", "amount", "basis", "index", "stretch_index", "in_stretch", "gap_months", "note"],
+                                      ["n_increases", "grade"])
+    documents.write.mode("overwrite").json(f"{path}/felog")
+    sinks.union_index(built.unions, base_url).write.mode("overwrite").json(f"{path}/felog_skra")
+    both = index.select("month", "value", F.lit("launavisitala").alias("series")).unionByName(
+        prices.select("month", "value", F.lit("visitala_neysluverds").alias("series")))
+    sinks.index_documents(both).write.mode("overwrite").json(f"{path}/visitolur")
+    sinks.manifest(built.unions, built.increases, built.series, built.lines, rates).write.mode("overwrite").json(f"{path}/index")
 
 
 def check(built: Series, index: DataFrame, prices: DataFrame, cap: Column) -> DataFrame:

@@ -14,38 +14,40 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.dedup import only_new
 from ..operators.extract import extract_increases
 from ..operators.ranking import keep_first
-from ..session import shared_folder
 
 SCHEMA = "url string, text string, validity_from date, validity_to date"
 
 
-def _manifest(spark: SparkSession, path: str, before: int) -> DataFrame:
+def _manifest(spark: SparkSession, path: str, but: int) -> DataFrame:
+    """What all batches but this one have read (a repeated batch replaces its own part)."""
     try:
         seen = spark.read.schema("url string, sha256 string, batch bigint").parquet(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
         seen = spark.createDataFrame([], "url string, sha256 string, batch bigint")
-    return seen.where(F.col("batch") < before)
+    return seen.where(F.col("batch") != but)
 
 
 def read_new_documents(spark: SparkSession, source: str, target: str, name: str = "intake") -> StreamingQuery:
     """Extract increases from the Parquet documents that appear under ``source``.
 
     Each micro-batch writes its own folder, so repeating a batch after a
-    failure replaces its output instead of doubling it.
+    failure replaces its output instead of doubling it. The stream's progress stands beside its output; if it is lost,
+    all documents come again, and what the manifest has is not read twice.
     """
-    manifest, increases = f"{target}/manifest", f"{target}/increases"
+    manifest, increases, progress = f"{target}/manifest", f"{target}/increases", f"{target}/progress-{name}"
 
     def write(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         hashed = batch.withColumn("sha256", F.sha2("text", 256))
-        fresh = keep_first(only_new(hashed, _manifest(session, manifest, number)), ["sha256"], [F.col("url")])
+        fresh = keep_first(only_new(hashed, _manifest(session, manifest, number)), ["sha256"], [F.col("url")]).persist()
         extract_increases(fresh, ["url"]).write.mode("overwrite").parquet(f"{increases}/batch={number}")
         fresh.select("url", "sha256").write.mode("overwrite").parquet(f"{manifest}/batch={number}")
+        fresh.unpersist()
 
     return (
         spark.readStream.schema(SCHEMA).parquet(source).writeStream.foreachBatch(write)
-        .option("checkpointLocation", f"{shared_folder(spark)}/{name}")
+        .option("checkpointLocation", progress)
         .trigger(availableNow=True).start()
     )

@@ -21,7 +21,7 @@ def text(union, *steps):
     return PREFIX.format(union=union) + "".join(CLAUSE.format(p=p, m=m, y=y) for p, m, y in steps)
 
 
-def test_full_batch(spark):
+def test_full_batch(spark, tmp_path):
     steps = [("3,5", "janúar", 2015), ("2,5", "mars", 2016), ("3,0", "apríl", 2017), ("2,0", "mars", 2018), ("2,5", "apríl", 2019)]
     contracts = spark.createDataFrame([
         ("1", "c1", "a.txt", "Efling", None, "7", "Samtök atvinnulífsins, SA", "ASÍ", "almennur", "kjara", dt.date(2015, 1, 1), dt.date(2020, 12, 31), "https://r/1", text("Eflingar", *steps)),
@@ -55,6 +55,20 @@ def test_full_batch(spark):
     assert unions["nafn:efling"] == ("sa", 5, "samfelld")
     months = spark.sql("SELECT explode(sequence(DATE '2014-01-01', DATE '2021-01-01', interval 1 month)) AS month").withColumn(
         "value", 100 + 0.6 * F.months_between("month", F.lit("2014-01-01").cast("date")))
+    named = {r.union_key: (r.union_name, r.slug) for r in built.unions.collect()}
+    assert named["nafn:efling"] == ("Efling", "efling")
+    ids = [(r.row_id, r.valid_from, r.union_name) for r in increases.orderBy("row_id").collect()]
+    assert [i for i, *_ in ids] == list(range(1, len(ids) + 1)) and ids == sorted(ids, key=lambda r: (r[1], r[2] or "", r[0]))
+    rates = spark.createDataFrame([("nafn:efling", dt.date(2015, 1, 1), dt.date(2016, 1, 1), 2.5)], "union_key string, from_date date, to_date date, pct double")
+    out = str(tmp_path / "out")
+    B.publish(built, rates, months, months.limit(0), out, "https://d.example")
+    manifest = spark.read.json(f"{out}/index").first()
+    assert (manifest.haekkanir, manifest.felog, manifest.taxtahaekkanir) == (built.increases.count(), built.unions.count(), 1)
+    document = spark.read.json(f"{out}/felog").where("union_key = 'nafn:efling'").first()
+    assert [h.pct for h in document.haekkanir] == [3.5, 2.5, 3.0, 2.0, 2.75] and len(document.taxtahaekkanir) == 1
+    years = spark.read.json(f"{out}/ar/haekkanir")
+    assert years.count() == built.increases.count() and set(spark.read.json(f"{out}/ar/fjoldi").columns) == {"ar", "fjoldi"}
+    assert spark.read.json(f"{out}/felog_skra").where("slod = 'https://d.example/felog/efling.json'").count() == 1
     report = B.check(built, months, months.limit(0), F.lit(dt.date(2026, 7, 1)))
     failed = {r.check for r in report.collect() if not r.passed}
     assert failed == {"vísitala neysluverðs til"}
@@ -159,8 +173,14 @@ def test_intake_reads_each_document_once(spark, tmp_path):
     intake.read_new_documents(spark, str(tmp_path / "in" / "*"), str(tmp_path / "out"), f"t{tmp_path.name}").awaitTermination()
     put("x=2", [("u2", *a[1:]), ("u3", a[1].replace("3,5", "2,5"), *a[2:])])
     intake.read_new_documents(spark, str(tmp_path / "in" / "*"), str(tmp_path / "out"), f"t{tmp_path.name}").awaitTermination()
-    rows = spark.read.parquet(str(tmp_path / "out" / "increases")).select("url", "pct").collect()
-    assert sorted((r.url, r.pct) for r in rows) == [("u1", 3.5), ("u3", 2.5)]
+    def found():
+        return sorted((r.url, r.pct) for r in spark.read.parquet(str(tmp_path / "out" / "increases")).select("url", "pct").collect())
+    assert found() == [("u1", 3.5), ("u3", 2.5)]
+    progress = next((tmp_path / "out").glob("progress-*"))
+    progress.rename(tmp_path / "lost")  # without its progress the stream starts over, the manifest knows what was read
+    put("x=3", [("u4", a[1].replace("3,5", "4,5"), *a[2:])])
+    intake.read_new_documents(spark, str(tmp_path / "in" / "*"), str(tmp_path / "out"), f"t{tmp_path.name}").awaitTermination()
+    assert found() == [("u1", 3.5), ("u3", 2.5), ("u4", 4.5)]
 
 
 def test_csv_with_mark_and_blank_rows(spark, tmp_path):
