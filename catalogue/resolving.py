@@ -34,10 +34,10 @@ def q_register(spark, sf):
 # web documents: party fields, file name and site by key
 WEB = """
 SELECT o_orderkey AS row_id, o_custkey,
-  CASE o_orderkey % 8 WHEN 0 THEN concat('Félag ', CAST(o_custkey % 100 AS string)) WHEN 1 THEN 'fylgiskjöl' WHEN 2 THEN concat('Óþekkt, Félag ', CAST(o_custkey % 100 AS string), ' og aðrir')
-       WHEN 3 THEN NULL WHEN 4 THEN concat('FÉLAG ', CAST(o_custkey % 100 AS string), ' stéttarfélag') ELSE 'Annað' END AS party_1,
-  CASE o_orderkey % 5 WHEN 0 THEN concat('Félag ', CAST(o_custkey % 90 AS string), ' og Félag ', CAST(o_custkey % 80 AS string)) WHEN 1 THEN 'Samtaka atvinnulífsins'
-       WHEN 2 THEN concat('Félag ', CAST(o_custkey % 100 AS string)) WHEN 3 THEN 'Stórveldisins hf' ELSE '' END AS party_2,
+  CASE o_orderkey % 8 WHEN 0 THEN concat('Félag ', CAST(o_custkey AS string)) WHEN 1 THEN 'fylgiskjöl' WHEN 2 THEN concat('Óþekkt, Félag ', CAST(o_custkey AS string), ' og aðrir')
+       WHEN 3 THEN NULL WHEN 4 THEN concat('FÉLAG ', CAST(o_custkey AS string), ' stéttarfélag') ELSE 'Annað' END AS party_1,
+  CASE o_orderkey % 5 WHEN 0 THEN concat('Félag ', CAST(o_custkey * 3 AS string), ' og Félag ', CAST(o_custkey * 2 AS string)) WHEN 1 THEN 'Samtaka atvinnulífsins'
+       WHEN 2 THEN concat('Félag ', CAST(o_custkey AS string)) WHEN 3 THEN 'Stórveldisins hf' ELSE '' END AS party_2,
   CASE WHEN o_orderkey % 6 = 0 THEN 'x/kalfur-rvk-loka.pdf' ELSE 'x/skjal.pdf' END AS document,
   CASE o_orderkey % 4 WHEN 0 THEN 'vr' WHEN 1 THEN 'sa' WHEN 2 THEN 'reykjavik' ELSE 'vefur' END AS site,
   CAST(o_orderdate AS date) AS valid_from, 1.0e0 + o_orderkey % 5 AS pct
@@ -50,11 +50,10 @@ def web(spark, sf):
 
 
 def known(spark, sf):
-    """Unions 0–84 occur in the register, first written with a title."""
-    c = table(spark, sf, "customer")
-    return R.known_unions(c.where("c_custkey % 100 < 85").select(
-        F.col("c_custkey").alias("row_id"),
-        F.concat(F.when(F.col("c_custkey") < 100, "Félag ").otherwise("FÉLAG "), (F.col("c_custkey") % 100).cast("string")).alias("union_name")))
+    """One union per customer occurs in the register, twice, first written with a title. (Texts name others, too.)"""
+    twice = table(spark, sf, "customer").select("c_custkey", F.posexplode(F.array(F.lit("Félag "), F.lit("FÉLAG "))).alias("at", "word"))
+    return R.known_unions(twice.select((F.col("c_custkey") * 2 + F.col("at")).alias("row_id"),
+                                       F.concat("word", F.col("c_custkey").cast("string")).alias("union_name")))
 
 
 def resolved(spark, sf, whole_first=True):
@@ -122,13 +121,13 @@ def q_wildcard(spark, sf):
 def merged(spark, sf):
     o = table(spark, sf, "orders")
     base = o.select(
-        F.col("o_orderkey").alias("row_id"), F.to_date("o_orderdate").alias("valid_from"),
-        F.concat(F.lit("Félag "), (F.col("o_custkey") % 100).cast("string")).alias("union_name"),
+        F.col("o_orderkey").alias("row_id"), F.to_date(F.date_trunc("month", "o_orderdate")).alias("valid_from"),
+        F.concat(F.lit("Félag "), F.floor(F.col("o_custkey") / 20).cast("string")).alias("union_name"),
         F.when(F.col("o_orderkey") % 3 != 1, 2.5).alias("pct"),
         F.when(F.col("o_orderkey") % 3 != 0, F.lit(1000)).cast("bigint").alias("amount"))
     register = base.where("row_id % 3 = 0").withColumn("employer", F.lit("Samtök atvinnulífsins, SA"))
     pages = resolved(spark, sf).where("row_id % 3 = 1").withColumn("amount", F.lit(None).cast("bigint"))
-    manual = base.where("row_id % 3 = 2 and row_id % 5 = 0").withColumn("counterparty", F.lit(" ")).withColumn(
+    manual = base.where("row_id % 3 = 2").withColumn("counterparty", F.lit(" ")).withColumn(
         "source", F.when(F.col("row_id") % 2 == 0, "https://s.example/a").otherwise("bréf")).withColumn(
         "note", F.when(F.col("row_id") % 4 == 0, "athugað"))
     return M.merge_sources(register, pages, manual)
@@ -154,7 +153,7 @@ def q_only_new(spark, sf):
 
 K = f"""
 WITH web AS ({WEB}),
-known AS (SELECT concat('félag ', c_custkey % 100) AS norm, concat('Félag ', c_custkey % 100) AS union_name FROM customer WHERE c_custkey % 100 < 85 GROUP BY ALL),
+known AS (SELECT concat('félag ', c_custkey) AS norm, concat('Félag ', c_custkey) AS union_name FROM customer GROUP BY ALL),
 parts AS (
   SELECT row_id, 0 AS pos, party_1 AS t FROM web UNION ALL SELECT row_id, 1, party_2 FROM web
   UNION ALL SELECT row_id, 10 + generate_subscripts(l, 1), unnest(l) FROM (SELECT row_id, string_split(replace(party_1, ' og ', ','), ',') AS l FROM web WHERE party_1 IS NOT NULL)
@@ -193,8 +192,8 @@ WITH c AS (SELECT c_custkey % 60 AS u, c_custkey % 5 AS n, arg_min(c_mktsegment,
 l AS (SELECT c_custkey % 60 AS u, arg_min(c_mktsegment, c_custkey) AS seg FROM customer WHERE c_custkey % 60 <> 7 GROUP BY ALL)
 SELECT o_orderkey, coalesce(c.seg, l.seg) AS c_mktsegment FROM orders LEFT JOIN c ON c.u = o_custkey % 60 AND c.n = o_custkey % 7 LEFT JOIN l ON l.u = o_custkey % 60"""),
     "merged_sources": (q_merge, WHOLE + """,
-base AS (SELECT o_orderkey AS row_id, CAST(o_orderdate AS DATE) AS valid_from, concat('Félag ', o_custkey % 100) AS union_name FROM orders),
-man AS (SELECT * FROM base WHERE row_id % 3 = 2 AND row_id % 5 = 0),
+base AS (SELECT o_orderkey AS row_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS valid_from, concat('Félag ', o_custkey // 20) AS union_name FROM orders),
+man AS (SELECT * FROM base WHERE row_id % 3 = 2),
 mach AS (SELECT row_id, 'ríkissáttasemjari' AS origin, 'staðfest lýsigögn' AS tracing, union_name, valid_from, CAST(NULL AS VARCHAR) AS type, 'sa' AS counterparty,
                 NULL AS url, NULL AS quotation, 0 AS own_site FROM base WHERE row_id % 3 = 0
          UNION ALL SELECT row_id, 'vefskjal', tracing, union_name, valid_from, NULL, NULL, NULL, NULL, CASE WHEN site = 'vr' THEN 1 ELSE 0 END

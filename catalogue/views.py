@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 V_INCREASE = """
 SELECT o_orderkey AS row_id,
-       concat('u', CASE WHEN o_custkey % 2 = 0 THEN o_custkey % 30 ELSE 30 + o_custkey % 700 END) AS union_key,
+       concat('u', CASE WHEN o_custkey % 2 = 0 THEN o_custkey % 30 ELSE 30 + CAST(floor(o_custkey / 3e0) AS bigint) END) AS union_key,
        o_orderpriority AS counterparty,
        CAST(date_trunc('month', o_orderdate) AS date) AS valid_from,
        CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE ((o_orderkey % 12) + 4) * 0.25e0 END AS pct,
@@ -33,15 +33,15 @@ FROM {orders}
 
 V_CONTRACT = """
 SELECT o_orderkey AS contract_id,
-       concat('u', CASE WHEN o_custkey % 2 = 0 THEN o_custkey % 30 ELSE 30 + o_custkey % 700 END) AS union_key,
+       concat('u', CASE WHEN o_custkey % 2 = 0 THEN o_custkey % 30 ELSE 30 + CAST(floor(o_custkey / 3e0) AS bigint) END) AS union_key,
        o_orderpriority AS counterparty,
        CAST(o_orderdate AS date) AS fra,
        CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderdate + INTERVAL '2' YEAR AS date) END AS til
-FROM {orders} WHERE o_orderkey % 8 = 0
+FROM {orders}
 """
 
 V_RATE = """
-SELECT p_partkey % 50 AS doc_id, s.step AS step_no, y.yr AS yr, make_date(CAST(y.yr AS int), 1, 1) AS valid_from,
+SELECT CAST(floor(p_partkey / 40e0) AS bigint) AS doc_id, s.step AS step_no, y.yr AS yr, make_date(CAST(y.yr AS int), 1, 1) AS valid_from,
        p_partkey AS grade,
        round(300000 + p_retailprice * 100 + s.step * 4000 * (CASE WHEN p_partkey % 97 = 0 THEN -1 ELSE 1 END)
              + (y.yr - 2020) * 12000, 0) AS wage
@@ -92,10 +92,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores. The given tables are single small files, which one
-    task reads; large data arrives in many files and is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    """Rows over all shuffle partitions; the given tables are single small files, which one task reads."""
+    return df.repartition(key)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
