@@ -4,7 +4,6 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from itertools import chain
 
 import regex
 
@@ -17,6 +16,14 @@ _LOWER_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L
 #: Texts with other characters, or with what may be a special token, go through the library as a whole: there
 #: its Unicode tables, not Python's, decide on letters, spaces, lower case and normal form.
 _OTHER = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-įı-ɏ‐-‧]|<\\|")
+
+
+def _is_other(text: str) -> bool:
+    if text.isascii():  # the same rule, without a pattern
+        return "<|" in text or "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+    return _OTHER.search(text) is not None
+
+
 #: Entries after which the memory of a worker starts anew (about 200 MB).
 CACHE = 1_000_000
 
@@ -35,7 +42,7 @@ class Encoder:
         self.whole = Tokenizer.from_file(path)
         self.lower = self.whole.normalizer is not None
         #: By text between blanks. With a vocabulary that keeps blanks the key "x" stands for " x", and "\0x" for "x".
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > CACHE:
@@ -44,7 +51,7 @@ class Encoder:
         out: list[bytes | None] = [None] * len(texts)
         parts: list[list[str]] = []
         for i, text in enumerate(texts):
-            if _OTHER.search(text) or not self.lower and "  " in text:
+            if _is_other(text) or not self.lower and "  " in text:
                 out[i] = array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
                 parts.append([])
             elif self.lower:
@@ -52,12 +59,10 @@ class Encoder:
             else:
                 first, *rest = text.split(" ")
                 parts.append(["\0" + first, *rest] if first else rest)
-        for chunk in set(chain.from_iterable(parts)).difference(self.known):
-            self._learn(chunk)
         get = self.known.__getitem__
         return [b"".join(map(get, p)) if done is None else done for p, done in zip(parts, out)]
 
-    def _learn(self, chunk: str) -> bytes:
+    def learn(self, chunk: str) -> bytes:
         if chunk.isalpha():
             ids = self._part(chunk if self.lower else " " + chunk)
         else:
@@ -81,6 +86,17 @@ class Encoder:
         return array("I", [t.id for t in self.whole.model.tokenize(letters)]).tobytes()
 
 
+class _Known(dict):
+    """Encodes what it does not hold yet."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, chunk: str) -> bytes:
+        return self.encoder.learn(chunk)
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
