@@ -1,8 +1,11 @@
 """Inventories, duplicates, links, cubes: A3–A5, B3, B5, B6, C16, D9, E13."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from rungline import session
 from rungline.operators import dedup as D
 from rungline.operators import links as N
 from rungline.sources import tables
@@ -18,6 +21,26 @@ def inventory(spark, sf):
                     F.octet_length("text").cast("bigint").alias("size"), F.sha2("text", 256).alias("sha256"), "doc_id")
 
 
+def q_files(spark, sf):
+    """Customers' names as a file per nation, in a folder whose name has pattern characters, listed again."""
+    path = f"{session.shared_folder(spark)}/skjal+(1)-{uuid.uuid4().hex}"
+    c = table(spark, sf, "customer").select("c_name", "c_nationkey", "c_custkey").repartition("c_nationkey")
+    c.sortWithinPartitions("c_nationkey", "c_custkey").select("c_name", "c_nationkey").write.partitionBy("c_nationkey").text(path)
+    return tables.document_inventory(spark, path, "*.txt").select("source", "size", "sha256")
+
+
+def q_contracts(spark, sf):
+    """Customers as register metadata: one JSON array, read again."""
+    path = f"{session.shared_folder(spark)}/contracts-{uuid.uuid4().hex}"
+    c = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("launthegi"), F.col("c_mktsegment").alias("markadsflokk"),
+        F.when(F.col("c_custkey") % 3 == 0, "x").otherwise(F.concat(F.lit("20"), F.lpad((F.col("c_custkey") % 30).cast("string"), 2, "0"), F.lit("-02-03T00:00"))).alias("fra"),
+        F.when(F.col("c_custkey") % 4 > 0, F.concat(F.col("c_name"), F.lit("\n\"þ\""))).alias("ocr_text"))
+    c.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*c.columns)))).alias("value")).write.text(path)
+    read = tables.register_summary(tables.read_contracts(spark, path))
+    return read.select("id", "launthegi", "markadsflokk", F.col("fra").cast("string").alias("fra"), F.col("til").cast("string").alias("til"), "text_length")
+
+
 def marked(spark, sf):
     return D.mark_duplicates(inventory(spark, sf), PRIORITY)
 
@@ -114,6 +137,13 @@ links AS (SELECT page_id AS page_order, url AS page, source, place, link, text F
 
 ENTRIES = {
     "document_inventory": (q_inventory, WITH + "SELECT path, source, size, sha256 FROM inv"),
+    "files_inventory": (q_files, """
+SELECT concat('c_nationkey=', c_nationkey) AS source, CAST(sum(strlen(c_name) + 1) AS BIGINT) AS size,
+       sha256(string_agg(concat(c_name, chr(10)), '' ORDER BY c_custkey)) AS sha256 FROM customer GROUP BY c_nationkey"""),
+    "register_contracts": (q_contracts, """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS launthegi, c_mktsegment AS markadsflokk,
+       CASE WHEN c_custkey % 3 <> 0 THEN concat('20', lpad(CAST(c_custkey % 30 AS VARCHAR), 2, '0'), '-02-03') END AS fra, CAST(NULL AS VARCHAR) AS til,
+       CAST(CASE WHEN c_custkey % 4 > 0 THEN length(c_name) + 4 ELSE 0 END AS INTEGER) AS text_length FROM customer"""),
     "marked_duplicates": (q_duplicates, WITH + "SELECT path, original, is_duplicate FROM marked"),
     "marked_duplicates_hot": (q_hot, WITH + """, first AS (SELECT source, path, first_value(path) OVER (PARTITION BY substr(sha256, 1, 1) ORDER BY CASE source WHEN 'src3' THEN 0 WHEN 'src1' THEN 1 WHEN 'src7' THEN 2 ELSE 3 END, path) AS original FROM inv)
 SELECT source, CAST(count(*) FILTER (path <> original) AS BIGINT) AS duplicates FROM first GROUP BY source"""),

@@ -1,6 +1,7 @@
 """Reading: tables of text, register metadata, document inventories, statistics cubes."""
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -58,10 +59,10 @@ def document_inventory(spark: SparkSession, listed: str, pattern: str = "*.pdf",
     ``listed`` holds a pattern for it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
         "pathGlobFilter", pattern).load(listed)
-    base = (root or listed).rstrip("/") + "/"
-    base = base if ":" in base.split("/")[0] else "/" + base.lstrip("/")
-    # the listing names files by scheme and authority; what follows the folder is the path, whatever characters the folder's name has
-    full = F.regexp_replace("path", "^[a-z0-9]+:(?=/[^/])", "") if base.startswith("/") else F.col("path")
+    # file systems differ in how they write scheme and authority; what follows the folder is the path, whatever its characters
+    place = r"^[a-zA-Z][a-zA-Z0-9+.\-]*:(//[^/]*)?"
+    base = re.sub(place, "", (root or listed).rstrip("/") + "/")
+    full = F.regexp_replace("path", place, "")
     at = F.instr(full, F.lit(base))
     path = F.when(at > 0, F.substring(full, at + len(base), F.length(full))).otherwise(full)
     return files.select(path.alias("path"), first_path_part(path).alias("source"),
