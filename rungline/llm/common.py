@@ -47,7 +47,7 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     and later readers take only the columns they need."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path, partitionBy=partition_by)
+    df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 
