@@ -65,15 +65,15 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
 
 
 def classes(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """``(fp, component_id)`` for each distinct fingerprint of ``prints (doc_id, fp)``.
+    """``(fp, root, component_id)`` for each distinct fingerprint of ``prints (doc_id, fp)``.
 
-    ``component_id`` is the smallest doc_id reachable over links; null ids count only where there is no other.
+    ``root`` is the smallest fingerprint of the component and names it; ``component_id`` is the smallest doc_id reachable over links; null ids count only where there is no other.
     """
     distinct = common.written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
     roots = graph.components(links(distinct.select("fp"), radius))
     joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = joined.groupBy("root").agg(F.min("first").alias("component_id"))
-    return joined.join(smallest, "root").select("fp", "component_id")
+    return joined.join(smallest, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
@@ -98,6 +98,6 @@ def keep_first(docs: DataFrame, radius: int = 3) -> DataFrame:
     first = common.written(classes(ids, radius), "classes")
     its_own = F.col("doc_id").eqNullSafe(F.col("component_id"))
     kept = rows.join(first, "fp").where(its_own)
-    if not ids.join(first, "fp").where(its_own).groupBy("component_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["component_id"])
+    if not ids.join(first, "fp").where(its_own).groupBy("root").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["root"])
     return kept.select("row.*")

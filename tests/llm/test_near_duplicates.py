@@ -83,6 +83,13 @@ def test_simhash_of_hard_rows(hard, nothing):
     assert simhash.near_duplicates(nothing).collect() == [] and simhash.keep_first(nothing).collect() == []
 
 
+def test_components_without_ids_or_with_one_id_stay_apart(make_docs):
+    texts = [" ".join(f"{k}{i}" for i in range(40)) for k in "abcd"]  # unrelated
+    got = simhash.keep_first(make_docs([(None, texts[0], "s"), (None, texts[0], "s"), (None, texts[1], "s"), (7, texts[2], "s"),
+                                        (7, texts[3], "s"), (7, texts[3], "s"), (9, texts[3], "s")])).collect()
+    assert sorted((r.text, r.doc_id) for r in got) == [(t, i) for t, i in zip(texts, (None, None, 7, 7))]
+
+
 @pytest.mark.parametrize("symbols", [1, 2, 3, 8, 200])
 def test_suffix_array_is_the_sorted_order(symbols):
     random.seed(symbols)
