@@ -14,13 +14,13 @@ _ALPHABET = {b: b for b in _PRINTABLE} | {b: 256 + i for i, b in enumerate(x for
 _BYTE_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _LOWER_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Texts with other characters, or with what may be a special token, go through the library as a whole: there
-#: its Unicode tables, not Python's, decide on letters, spaces, lower case and normal form.
-_OTHER = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-įı-ɏ‐-‧]|<\\|")
+#: its Unicode tables, not Python's, decide on letters, spaces, lower case and normal form. NUL marks keys of the look-up.
+_OTHER = re.compile("[^\\x01-\\x1b\\x20-\\x84\\x86-įı-ɏ‐-‧]|<\\|")
 
 
 def _is_other(text: str) -> bool:
     if text.isascii():  # the same rule, without a pattern
-        return "<|" in text or "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+        return "<|" in text or "\0" in text or "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
     return _OTHER.search(text) is not None
 
 

@@ -36,6 +36,12 @@ def test_ids_of_documents_with_small_caches(path, corpus, monkeypatch):
     assert got == [ids(path, t) for t in texts]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_ids_of_texts_with_nul(path):
+    texts = ["\0foo bar", "a \0foo", "a \0 b", "\0", " \0", "a \0\0foo", "é \0foo", "é \0 b", "foo\0"]
+    assert tokens.Encoder(path).encode(texts) == [ids(path, t) for t in texts]
+
+
 def check_pieces(placed, docs, length=1024):
     by_doc = collections.defaultdict(list)
     for r in placed:
