@@ -13,6 +13,8 @@ from rungline.sources import tables
 from .views import table
 
 PRIORITY = ["src3", "src1", "src7"]
+#: Customers per JSON array at most, as a power of two.
+BLOCK_BITS = 12
 
 
 def inventory(spark, sf):
@@ -30,13 +32,16 @@ def q_files(spark, sf):
 
 
 def q_contracts(spark, sf):
-    """Customers as register metadata: one JSON array, read again."""
+    """Customers as register metadata: JSON arrays of a bounded block of customers each, one a file, read again."""
     path = f"{session.shared_folder(spark)}/contracts-{uuid.uuid4().hex}"
     c = table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("launthegi"), F.col("c_mktsegment").alias("markadsflokk"),
         F.when(F.col("c_custkey") % 3 == 0, "x").otherwise(F.concat(F.lit("20"), F.lpad((F.col("c_custkey") % 30).cast("string"), 2, "0"), F.lit("-02-03T00:00"))).alias("fra"),
         F.when(F.col("c_custkey") % 4 > 0, F.concat(F.col("c_name"), F.lit("\n\"þ\""))).alias("ocr_text"))
-    c.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*c.columns)))).alias("value")).write.text(path)
+    # blocks of row numbers, which never reach over two partitions: bounded also where a key is repeated
+    blocks = c.groupBy(F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS).alias("block"))
+    arrays = blocks.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*c.columns)))).alias("value")).select("value")
+    arrays.write.option("maxRecordsPerFile", 1).text(path)
     read = tables.register_summary(tables.read_contracts(spark, path))
     return read.select("id", "launthegi", "markadsflokk", F.col("fra").cast("string").alias("fra"), F.col("til").cast("string").alias("til"), "text_length")
 
