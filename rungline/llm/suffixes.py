@@ -261,7 +261,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     """``doc_id, t, spans``: window starts (first and last, inclusive) whose 400 bytes also start anywhere else.
 
     ``t`` is the hash of the text; rows equal in id and text are documents of their own and repeat each other. Texts shorter than the window, null and empty
-    ones have no rows.
+    ones have no rows. Each span is listed once, however many rows are equal, so a list is bounded by its text's length.
     """
     spark = docs.sparkSession
     common.text_batches(spark)
@@ -294,7 +294,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     every = spans[0]
     for more in spans[1:]:
         every = every.unionByName(more)
-    return every.groupBy("doc_id", "t").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    return every.groupBy("doc_id", "t").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
 def removed_runs(spans: list | None, size: int) -> list[tuple[int, int]]:

@@ -182,6 +182,14 @@ def test_repeats_of_hard_rows(hard, nothing):
     assert suffixes.digests(nothing).collect() == [] and suffixes.without_repeats(nothing).collect() == []
 
 
+def test_spans_of_equal_rows_are_listed_once(make_docs):
+    random.seed(9)
+    first, second = ("".join(random.choice("abcdefgh ") for _ in range(700)) for _ in range(2))
+    docs = make_docs([(None, first + "x" + second, "s")] * 30 + [(1, first, "s"), (2, second + "y" + first, "s")])
+    got = suffixes.repeated(docs).collect()
+    assert len(got) == 3 and all(len(r.spans) == len(set(r.spans)) for r in got)
+
+
 def test_cuts_keep_whole_characters(make_docs):
     passage = "漢" * 150
     got = suffixes.without_repeats(make_docs([(1, "é" + passage + "ü", "s"), (2, "ö" + passage + "ä", "s")])).collect()
