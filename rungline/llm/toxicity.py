@@ -138,10 +138,13 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = labelled.SAMPLE, share
     Entries are stems in at least ``share`` of the toxic documents (which bounds their number whatever the size of the corpus)
     and ``ratio`` times as common there as in clean ones, with log odds that stay over ``least_odds`` less 1.5 standard errors; of nested stems the shortest stays unless it is much weaker. A pair of words
     that holds an entry and is met in clean documents but hardly in toxic ones becomes an exception, like ``exceptions`` (given phrases).
+    A document counts once, with its smallest text where its id is repeated.
     Without toxic or clean documents the lexicon is empty and every score is the share of toxic labels.
     """
     common.text_batches(docs.sparkSession)
-    seen = common.written(labelled.joined(docs.select("doc_id", "text"), labels, "toxic", rows), "labelled")
+    seen = labelled.joined(docs.select("doc_id", "text"), labels, "toxic", rows)
+    once = seen.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("__label").alias("__label"))
+    seen = common.written(once, "labelled")
     n = {r[0]: r[1] for r in seen.groupBy("__label").count().collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic or not clean:

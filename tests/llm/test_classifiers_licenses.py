@@ -71,6 +71,12 @@ def test_learnt_exceptions(spark, make_docs):
     assert any("remover" in e for e in lexicon.exceptions)
 
 
+def test_repeated_rows_of_an_id_are_learnt_from_once(docs, labels):
+    hot = labels.where("toxic > 0").join(docs, "doc_id").where(~labelled.held_out(F.col("doc_id"))).agg(F.min("doc_id")).first()[0]
+    copies = docs.where(F.col("doc_id") == hot).crossJoin(docs.sparkSession.range(500).select("id")).drop("id")
+    assert toxicity.learn(docs.unionByName(copies), labels) == toxicity.learn(docs, labels)
+
+
 def test_toxicity_of_hard_rows(spark, hard, nothing, labels, docs):
     lexicon = toxicity.learn(docs, labels)
     got = toxicity.scored(hard, lexicon).collect()
