@@ -20,8 +20,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the stretches of 400 bytes and more that occur twice."""
-    return suffixes.without_repeats(docs)
+    """All documents, without the passages of over 50 words, or of 400 bytes and more, that occur twice."""
+    return suffixes.without_repeats(docs, suffixes.PASSAGE, suffixes.PASSAGE_GRAM, suffixes.WORDS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

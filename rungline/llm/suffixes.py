@@ -28,6 +28,9 @@ from rungline.llm import common
 from rungline.llm.anchors import anchors
 
 WINDOW, GRAM = 400, 100
+#: Words of a passage that stays, at most, and the fewest bytes a longer one can have: 51 words of one byte and the blanks between.
+WORDS = 50
+PASSAGE, PASSAGE_GRAM = 2 * WORDS + 1, 40
 #: Window starts a cell spans, level by level; a cell of one start has equal contexts by itself.
 CELLS = (25, 5, 1)
 #: Different contexts of a cell that are sorted in one array; a cell with more is cut finer.
@@ -142,7 +145,7 @@ def equal_windows(cells: list[list[tuple[bytes, bytes]]], width: int) -> list[li
     return found
 
 
-def _anchored(docs: DataFrame) -> DataFrame:
+def _anchored(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """Anchors of every text: ``doc_id, t, at, first, last, h`` (its bytes) and ``c`` (its whole context)."""
     schema = "doc_id long, t long, at long, first long, last long, h long, c long"
 
@@ -152,9 +155,9 @@ def _anchored(docs: DataFrame) -> DataFrame:
             columns: list[list] = [[] for _ in range(7)]
             for doc_id, t, text in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = (text or "").encode()
-                at, first, last, h = anchors(raw, WINDOW, GRAM)
+                at, first, last, h = anchors(raw, window, gram)
                 spans = zip(at.tolist(), first.tolist(), last.tolist())
-                c = np.array([code(raw[a:b + WINDOW], x - a) for x, a, b in spans], dtype=np.uint64).astype(np.int64)
+                c = np.array([code(raw[a:b + window], x - a) for x, a, b in spans], dtype=np.uint64).astype(np.int64)
                 for column, values in zip(columns, ([doc_id] * len(at), [t] * len(at), at, first, last, h.astype(np.int64), c)):
                     column.append(pa.array(values, pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) if c else pa.array([], pa.int64()) for c in columns],
@@ -167,7 +170,7 @@ CELL = "key binary, left binary, right binary, doc_id long, t long, base long, w
 SPAN = "doc_id long, t long, first long, last long"
 
 
-def _cells(rows: DataFrame, width: int) -> DataFrame:
+def _cells(rows: DataFrame, width: int, window: int) -> DataFrame:
     """Cells of the anchors listed with their text: ``doc_id, t, z, todo array<struct<at, first, last, weight>>``."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -178,10 +181,10 @@ def _cells(rows: DataFrame, width: int) -> DataFrame:
                 for todo in row["todo"]:
                     at, low, high = todo["at"], todo["at"] - todo["last"], todo["at"] - todo["first"]
                     for j in range(low // width, high // width + 1):
-                        base, tail = at - j * width, at + WINDOW - j * width - width + 1
+                        base, tail = at - j * width, at + window - j * width - width + 1
                         key = xxhash.xxh3_128_digest(raw[base:tail], j)
                         out.append((key, raw[at - min(high, j * width + width - 1):base],
-                                    raw[tail:at + WINDOW - max(low, j * width)], row["doc_id"], row["t"], base, todo["weight"]))
+                                    raw[tail:at + window - max(low, j * width)], row["doc_id"], row["t"], base, todo["weight"]))
             yield _batch(out, CELL)
 
     return rows.mapInArrow(cut, CELL)
@@ -257,16 +260,18 @@ def _named(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({"doc_id": "__id", "t": "__t"})
 
 
-def repeated(docs: DataFrame) -> DataFrame:
-    """``doc_id, t, spans``: window starts (first and last, inclusive) whose 400 bytes also start anywhere else.
+def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``doc_id, t, spans``: window starts (first and last, inclusive) whose ``window`` bytes also start anywhere else.
 
     ``t`` is the hash of the text; rows equal in id and text are documents of their own and repeat each other. Texts shorter than the window, null and empty
     ones have no rows. Each span is listed once, however many rows are equal, so a list is bounded by its text's length.
     """
+    if window < max(CELLS[0], gram):
+        raise ValueError("a window holds its anchor and a whole cell")
     spark = docs.sparkSession
     common.text_batches(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = common.written(_anchored(docs), "anchors")
+    found = common.written(_anchored(docs, window, gram), "anchors")
     again = found.groupBy("h").count().where("count > 1").select("h")
     met = common.written(found.join(again, "h"), "met")
     whole = common.written(met.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "t", "at", "first", "last")).alias("owner")), "whole")
@@ -276,7 +281,7 @@ def repeated(docs: DataFrame) -> DataFrame:
             .groupBy("doc_id", "t").agg(F.collect_list(F.struct("at", "first", "last", "weight")).alias("todo")))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), packed("text").alias("z"))
     named = _named(todo)
-    cells = _cells(texts.join(named, _same(texts, named)).select("doc_id", "t", "z", "todo"), CELLS[0])
+    cells = _cells(texts.join(named, _same(texts, named)).select("doc_id", "t", "z", "todo"), CELLS[0], window)
     for width, finer in zip(CELLS, (*CELLS[1:], 0)):
         cells = common.written(cells, "cells")
         contexts = common.written(cells.groupBy("key", "left", "right").agg(
@@ -297,14 +302,14 @@ def repeated(docs: DataFrame) -> DataFrame:
     return every.groupBy("doc_id", "t").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
-def removed_runs(spans: list | None, size: int) -> list[tuple[int, int]]:
+def removed_runs(spans: list | None, size: int, window: int = WINDOW) -> list[tuple[int, int]]:
     """Maximal runs of bytes that repeated windows cover."""
     runs: list[list[int]] = []
     for first, last in sorted((s["first"], s["last"]) for s in (spans if spans is not None else [])):
         if runs and first <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], last + WINDOW)
+            runs[-1][1] = max(runs[-1][1], last + window)
         else:
-            runs.append([first, last + WINDOW])
+            runs.append([first, last + window])
     return [(a, min(b, size)) for a, b in runs]
 
 
@@ -314,9 +319,18 @@ def _kept(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(raw[a:b] for a, b in zip(ends, starts))
 
 
-def with_spans(docs: DataFrame) -> DataFrame:
+def _long(raw: bytes, a: int, b: int, words: int) -> bool:
+    """Whether a run has more than ``words`` whole words, or a window's bytes."""
+    if b - a >= WINDOW:
+        return True
+    # a word that goes on before or after the run is not whole
+    cut = sum(i > 0 and len(raw[i - 1:i + 1].strip()) == 2 for i in (a, b))
+    return len(raw[a:b].split()) - cut > words
+
+
+def with_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``row`` (all columns but the text), ``z`` (the text, packed) and ``spans`` (its repeated windows; null: none) of every row."""
-    found = _named(common.written(repeated(docs.select("doc_id", "text")), "spans"))
+    found = _named(common.written(repeated(docs.select("doc_id", "text"), window, gram), "spans"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), packed("text").alias("z"),
                        F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row"))
     return rows.join(found, _same(rows, found), "left").select("row", "z", "spans")
@@ -345,27 +359,34 @@ def digests(docs: DataFrame) -> DataFrame:
     return with_spans(docs.select("doc_id", "text")).select("row.doc_id", "z", "spans").mapInArrow(digest, schema)
 
 
-@F.pandas_udf(T.StringType())
-def _cut(packed_texts: pd.Series, spans: pd.Series) -> pd.Series:
-    unpack, out = zstandard.ZstdDecompressor().decompress, []
-    for z, found in zip(packed_texts, spans):
-        raw = unpack(z)
-        runs = []
-        for a, b in removed_runs(found, len(raw)):
-            while a < b and a < len(raw) and raw[a] & 0xC0 == 0x80:  # a character that is cut stays whole
-                a += 1
-            while b > a and b < len(raw) and raw[b] & 0xC0 == 0x80:
-                b -= 1
-            runs.append((a, b))
-        out.append(_kept(raw, runs).decode())
-    return pd.Series(out, dtype=object)
-
-
-def without_repeats(docs: DataFrame) -> DataFrame:
+def _cut(window: int, words: int | None):
+    """A column function: packed texts and their spans to the texts without the repeated runs."""
+    @F.pandas_udf(T.StringType())
+    def cut(packed_texts: pd.Series, spans: pd.Series) -> pd.Series:
+        unpack, out = zstandard.ZstdDecompressor().decompress, []
+        for z, found in zip(packed_texts, spans):
+            raw = unpack(z)
+            runs = []
+            for a, b in removed_runs(found, len(raw), window):
+                if words is not None and not _long(raw, a, b, words):
+                    continue
+                while a < b and a < len(raw) and raw[a] & 0xC0 == 0x80:  # a character that is cut stays whole
+                    a += 1
+                while b > a and b < len(raw) and raw[b] & 0xC0 == 0x80:
+                    b -= 1
+                runs.append((a, b))
+            out.append(_kept(raw, runs).decode())
+        return pd.Series(out, dtype=object)
+
+    return cut
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, words: int | None = None) -> DataFrame:
     """The rows of ``docs`` with the repeated stretches taken out of ``text`` (whole characters only) and ``n_chars`` counted anew.
 
+    With ``words`` a stretch of no more whole words and under 400 bytes stays. A stretch is what repeated windows cover without a break.
     All rows and columns stay, also where no text is left; null texts become empty.
     """
-    cut = with_spans(docs).select("row", _cut("z", "spans").alias("text"))
+    cut = with_spans(docs, window, gram).select("row", _cut(window, words)("z", "spans").alias("text"))
     made = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return cut.select(*[made.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

@@ -1,4 +1,6 @@
 import collections
+import random
+import re
 import sys
 from pathlib import Path
 
@@ -70,6 +72,24 @@ def test_each_stage_against_a_plain_version(spark, tmp_path):
     assert kept["simhash"] < kept["toxicity"] <= 200
 
 
+def test_passages_of_over_fifty_words_are_cut(spark, make_docs):
+    random.seed(11)
+    some = lambda n, most=6: " ".join("".join(random.choices("abcdefghijklmnop", k=random.randint(1, most))) for _ in range(n))
+    shared = [some(n) for n in (20, 49, 50, 51, 55, 64, 90)] + [" ".join(random.choices("abcdefghijklmnop", k=51)), some(1, 1) * 3 + "x" * 450]
+    texts = [f"{some(30)}\n\t{random.choice(shared)} {some(30)} {s} {some(k)}".strip() for k in range(8) for s in shared]
+    raws, want = [t.encode() for t in texts], {}
+    for i, (raw, mask) in enumerate(zip(raws, covered(raws, 101))):
+        for m in re.finditer(b"\1+", mask):
+            a, b = m.span()
+            whole = [w for w in re.finditer(rb"\S+", raw) if a <= w.start() and w.end() <= b]
+            if len(whole) <= 50 and b - a < 400:
+                mask[a:b] = bytes(b - a)
+        want[i] = bytes(c for c, m in zip(raw, mask) if not m).decode()
+    got = corpus_pipeline.cut_repeats(spark, make_docs([(i, t, "s") for i, t in enumerate(texts)]), SF)
+    assert {r.doc_id: r.text for r in got.collect()} == want
+    assert not any(s in t for s in shared if len(s.split()) > 50 or len(s) >= 400 for t in want.values())
+
+
 def test_run_gives_the_last_stage_s_rows(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == [c.split()[0] for c in packing.PIECE.split(", ")] + ["sequence_id", "offset"]
