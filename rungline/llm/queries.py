@@ -118,10 +118,12 @@ WITH pieces AS (
 ), f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
 total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
 cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
-cuts AS (
-  SELECT c.*, cut, l.f AS l, r.f AS r, CAST(1000000 * a::HUGEINT * a // (l.f::HUGEINT * r.f) AS BIGINT) AS score
-  FROM cand c, (SELECT unnest([1, 2]) AS cut) JOIN f l ON l.lang = c.lang AND l.k = cut AND l.phrase = array_to_string(w[1:cut], ' ')
-  JOIN f r ON r.lang = c.lang AND r.k = c.k - cut AND r.phrase = array_to_string(w[cut + 1:], ' ') WHERE cut < c.k
+split AS (
+  SELECT *, array_to_string(w[1:cut], ' ') AS first, array_to_string(w[cut + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand)
+), cuts AS (
+  SELECT s.*, l.f AS l, r.f AS r, CAST(1000000 * a::HUGEINT * a // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM split s JOIN f l ON l.lang = s.lang AND l.phrase = s.first JOIN f r ON r.lang = s.lang AND r.phrase = s.rest
 ), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
 inner_of AS (
   SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM cand WHERE k = 3) GROUP BY ALL
