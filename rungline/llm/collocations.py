@@ -8,11 +8,12 @@ partitions of fewer pointers than a phrase must have are abandoned. Words are by
 """
 from __future__ import annotations
 
-import zlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,9 +25,9 @@ DEPTH, LEAST = 3, 10
 #: A word is very frequent from this share of all words and this count on; so there are at most as many of them as the share's inverse.
 SHARE, FREQUENT = 4096, 1 << 16
 #: Words after which the suffixes read so far are combined; a piece is never split.
-HELD = 1 << 21
-#: Rows of a batch handed on.
-BLOCKS = 1 << 14
+HELD = 1 << 22
+#: Phrases of a batch handed on.
+ROWS = 1 << 14
 #: Suffixes a task sorts, about; with more of them there are more tasks.
 SORTED = 4_000_000
 
@@ -65,98 +66,104 @@ def numbered(text: str | None, known: Numbers) -> Iterator[np.ndarray]:
 def multikey(words: np.ndarray, weight: np.ndarray, least: int, always: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Counts of the leading words of suffixes, by three-way quicksort: ``(depth, suffixes, counts)``, one suffix for each phrase.
 
-    ``words`` has a row per depth and a column per suffix, 0 where the suffix has ended. All partitions of a round are split at once, each by its own
-    pivot into smaller, equal and greater. Partitions with a total weight under ``least`` are abandoned, unless a suffix of
-    theirs has an ``always`` of more than the depth: those phrases are told whatever their count.
+    ``words`` has a row per depth and a column per suffix, 0 where the suffix has ended. All partitions of a depth are split at once, each by its own
+    pivot into smaller, equal and greater; the equal ones are done with the depth and wait for the next. Partitions with a total weight under ``least``
+    are abandoned, unless a suffix of theirs has an ``always`` of more than the depth: those phrases are told whatever their count.
     """
     depth, n = words.shape
     if always is None:
         always = np.zeros(n, np.int8)
-    at = np.arange(n, dtype=np.int64)
-    starts, level = np.zeros(1 if n else 0, np.int64), np.zeros(1 if n else 0, np.int8)
-    while len(starts):
-        sizes = np.diff(np.append(starts, len(at)))
-        owner = np.repeat(np.arange(len(starts)), sizes)
-        value = words[level[owner], at]
-        pivot = value[starts + sizes // 2]
-        side = np.sign(value - pivot[owner]).astype(np.int8) + 1
-        # the place of each pointer: behind those of its partition on a smaller side, in the order they had
-        place = np.empty(len(at), np.int64)
-        counts = np.empty((len(starts), 3), np.int64)
-        before = starts.copy()
-        for k in range(3):
-            mask = side == k
-            upto = np.cumsum(mask)
-            first = np.where(starts > 0, upto[starts - 1], 0)
-            place[mask] = (before - first)[owner[mask]] + upto[mask] - 1
-            counts[:, k] = upto[starts + sizes - 1] - first
-            before += counts[:, k]
-        sorted_at = np.empty_like(at)
-        sorted_at[place] = at
-        at = sorted_at
-        full = counts.ravel() > 0
-        begin = np.concatenate(([0], np.cumsum(counts.ravel())[:-1]))[full]
-        equal = np.tile(np.array([False, True, False]), len(starts))[full]
-        level = np.repeat(level, 3)[full]
-        total = np.add.reduceat(weight[at], begin)
-        told = np.maximum.reduceat(always[at], begin) > level
-        ended = equal & (np.repeat(pivot, 3)[full] == 0)
-        go = (total >= least) | told
-        for d in range(depth):
-            found = equal & ~ended & go & (level == d)
-            if found.any():
-                yield d, at[begin[found]], total[found]
-        level = level + equal
-        go &= ~ended & (level < depth)
-        # only pointers of partitions that go on are kept
-        lengths = np.diff(np.append(begin, len(at)))
-        at = at[np.repeat(go, lengths)]
-        starts = np.concatenate(([0], np.cumsum(lengths[go])[:-1])).astype(np.int64) if go.any() else np.zeros(0, np.int64)
-        level = level[go]
-
-
-BLOCK = "lang string, word binary, total long, suffixes binary, counts array<long>"
-
-
-def _combined(lang: str, known: Numbers, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Blocks of the suffixes held: one per leading word, equal suffixes counted, the words after the leading one joined by blanks."""
+    at, sizes = np.arange(n, dtype=np.int32 if n < 1 << 31 else np.int64), np.full(min(n, 1), n)
+    for d in range(depth):
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        rows = at, words[d][at], weight[at], always[at]
+        while len(sizes):
+            value, first = rows[1], np.cumsum(sizes) - sizes
+            three = np.sort([value[first], value[first + sizes // 2], value[first + sizes - 1]], axis=0)
+            pivot = three[1]
+            wide = np.repeat(pivot, sizes)
+            less, equal = value < wide, value == wide
+            parts = []
+            for side in (less, equal, ~(less | equal)):
+                count = np.add.reduceat(side, first, dtype=np.int64)
+                full = count > 0
+                size = count[full]
+                if not len(size):
+                    continue
+                some = [r[side] for r in rows]
+                begin = np.cumsum(size) - size
+                total = np.add.reduceat(some[2], begin)
+                go = (total >= least) | (np.maximum.reduceat(some[3], begin) > d)
+                if side is equal:
+                    go &= pivot[full] != 0
+                    if go.any():
+                        yield d, some[0][begin[go]], total[go]
+                        waiting.append((some[0][np.repeat(go, size)], size[go]))
+                elif go.any():
+                    keep = np.repeat(go, size)
+                    parts.append(([r[keep] for r in some], size[go]))
+            rows = tuple(np.concatenate([p[0][k] for p in parts]) for k in range(4)) if parts else ()
+            sizes = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
+        if not waiting:
+            return
+        at, sizes = (np.concatenate([w[k] for w in waiting]) for k in range(2))
+
+
+BLOCK = "lang string, names binary, codes binary, counts binary, words long, often array<struct<word:binary,f:long>>"
+
+
+_BITS = 21
+
+
+def _sorted_suffixes(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different suffixes of the words held, a row per depth, in order, and how often each is there."""
     codes = np.concatenate([*held, np.zeros(DEPTH, np.int32)])
     at = np.flatnonzero(codes)
-    if not len(at):
-        return
     one, two, three = codes[at], codes[at + 1], codes[at + 2]
     three = np.where(two == 0, 0, three)
-    order = np.lexsort((three, two, one))
-    one, two, three = one[order], two[order], three[order]
-    new = np.concatenate(([True], (np.diff(one) != 0) | (np.diff(two) != 0) | (np.diff(three) != 0)))
-    first = np.flatnonzero(new)
-    counts = np.diff(np.append(first, len(at)))
-    one, two, three = one[first], two[first], three[first]
-    names = np.array(known.names(), dtype=object)
-    after = np.empty(2 * len(one), dtype=object)
-    after[0::2], after[1::2] = names[two], names[three]
-    cuts = np.append(np.flatnonzero(np.concatenate(([True], np.diff(one) != 0))), len(one))
-    totals = np.add.reduceat(counts, cuts[:-1])
-    for k in range(0, len(totals), BLOCKS):
-        some = cuts[k:k + BLOCKS + 1]
-        low = int(some[0])
-        words = after[2 * low:2 * int(some[-1])].tolist()
-        joined = [b" ".join(words[a:b]) for a, b in zip((2 * (some[:-1] - low)).tolist(), (2 * (some[1:] - low)).tolist())]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(joined)), pa.array(names[one[some[:-1]]].tolist(), pa.binary()), pa.array(totals[k:k + BLOCKS]),
-             pa.array(joined, pa.binary()), _lists(some - low, counts[low:int(some[-1])])], names=_names(BLOCK))
-
-
-def _lists(starts: np.ndarray, values: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(values.astype(np.int64)))
-
-
-def _names(schema: str) -> list[str]:
-    return [c.split()[0] for c in schema.split(", ")]
+    if not len(one):
+        return np.zeros((DEPTH, 0), np.int32), np.zeros(0, np.int64)
+    if codes.max() < 1 << _BITS:  # three words fit one number
+        key = np.sort(one.astype(np.int64) << 2 * _BITS | two.astype(np.int64) << _BITS | three)
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        some, low = key[first], (1 << _BITS) - 1
+        words = np.stack([some >> 2 * _BITS, some >> _BITS & low, some & low]).astype(np.int32)
+    else:
+        order = np.lexsort((three, two, one))
+        one, two, three = one[order], two[order], three[order]
+        first = np.flatnonzero(np.concatenate(([True], (np.diff(one) != 0) | (np.diff(two) != 0) | (np.diff(three) != 0))))
+        words = np.stack([one[first], two[first], three[first]])
+    return words, np.diff(np.append(first, len(one)))
+
+
+def _packed(names: np.ndarray, words: np.ndarray) -> tuple[bytes, bytes]:
+    """The names that ``words`` has, joined by blanks, and ``words`` as numbers into them: 16 bits where these are enough."""
+    seen = np.zeros(len(names), bool)
+    seen[0] = True  # the end of a piece is always 0
+    seen[words] = True
+    codes = (np.cumsum(seen) - 1)[words]
+    used = np.flatnonzero(seen)
+    return b" ".join(names[used[1:]].tolist()), codes.astype("<u2" if len(used) < 1 << 16 else "<u4").tobytes()
+
+
+def _unpacked(names: bytes, codes: bytes, n: int) -> tuple[list[bytes], np.ndarray]:
+    """Names, the end of a piece first, and the suffixes' words as numbers into them."""
+    return [b"\n", *(names.split(b" ") if names else [])], np.frombuffer(codes, "<u2" if len(codes) == 2 * DEPTH * n else "<u4").reshape(DEPTH, n)
 
 
 def suffixes(docs: DataFrame) -> DataFrame:
-    """Blocks of suffixes ``lang, word, total, suffixes, counts``: of one leading word, as combined from a run of texts."""
+    """Blocks of different suffixes ``lang, names, codes, counts, words, often``, as combined from a run of texts; ``often``: leading words with a share."""
+    def block(lang: str, known: Numbers, held: list[np.ndarray]) -> pa.RecordBatch:
+        words, counts = _sorted_suffixes(held)
+        names = np.array(known.names(), dtype=object)
+        packed, codes = _packed(names, words)
+        total = int(counts.sum())
+        by_word = np.bincount(words[0], counts, len(names)).astype(np.int64)
+        often = [{"word": names[i], "f": int(by_word[i])} for i in np.flatnonzero(by_word * 2 * SHARE >= max(total, 1)).tolist()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang]), pa.array([packed], pa.binary()), pa.array([codes], pa.binary()), pa.array([counts.astype("<u4").tobytes()], pa.binary()),
+             pa.array([total]), pa.array([often], pa.list_(pa.struct([("word", pa.binary()), ("f", pa.int64())])))], names=_names(BLOCK))
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers: dict[str, Numbers] = {}
         held: dict[str, list[np.ndarray]] = {}
@@ -169,92 +176,94 @@ def suffixes(docs: DataFrame) -> DataFrame:
                     words += len(some)
                 if words >= HELD:
                     for lang in held:
-                        yield from _combined(lang, numbers[lang], held[lang])
+                        yield block(lang, numbers[lang], held[lang])
                     numbers, held, words = {}, {}, 0
         for lang in held:
-            yield from _combined(lang, numbers[lang], held[lang])
+            yield block(lang, numbers[lang], held[lang])
 
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(read, BLOCK)
 
 
-ROUTED = "route int, lang string, word binary, suffixes binary, counts array<long>"
+def _names(schema: str) -> list[str]:
+    return re.findall(r"(?:^|, )(\w+) ", schema)
+
+
+ROUTED = "route int, lang string, names binary, codes binary, counts binary"
 FOUND = "lang string, words int, phrase binary, count long"
 
 
 def _routed(blocks: DataFrame, hot: frozenset[tuple[str, bytes]], routes: int) -> DataFrame:
+    """Blocks cut by route: the leading word, with the second one if the first is very frequent, with the third if both are."""
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = zlib.crc32
         for batch in batches:
-            names = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            leads = np.array([code(lang.encode() + b"\n" + word) for lang, word in names], np.int64)
-            mask = np.array([name in hot for name in names], bool)
-            plain = batch.filter(pa.array(~mask))
-            yield pa.RecordBatch.from_arrays([pa.array((leads[~mask] % routes).astype(np.int32)), *plain.columns], names=_names(ROUTED))
-            for k in np.flatnonzero(mask).tolist():
-                (lang, word), lead = names[k], int(leads[k])
-                parts, counts = batch.column(2)[k].as_py().split(b" "), batch.column(3)[k].values.to_numpy()
-                by = [code(b" " + three, code(b" " + two, lead)) if (lang, two) in hot else code(b" " + two, lead)
-                      for two, three in zip(parts[0::2], parts[1::2])]
-                by = np.array(by, np.int64) % routes
-                order = np.argsort(by, kind="stable")
-                by, counts = by[order], counts[order]
-                cuts = np.append(np.flatnonzero(np.concatenate(([True], np.diff(by) != 0))), len(by))
-                pairs = [parts[2 * i] + b" " + parts[2 * i + 1] for i in order.tolist()]
-                joined = [b" ".join(pairs[a:b]) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(by[cuts[:-1]].astype(np.int32)), pa.array([lang] * len(joined)), pa.array([word] * len(joined), pa.binary()),
-                     pa.array(joined, pa.binary()), _lists(cuts, counts)], names=_names(ROUTED))
-
-    return blocks.select("lang", "word", "suffixes", "counts").mapInArrow(route, ROUTED)
+            for lang, packed, codes, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                counts = np.frombuffer(counts, "<u4")
+                names, words = _unpacked(packed, codes, len(counts))
+                code = np.fromiter((xxhash.xxh3_64_intdigest(lang.encode() + b"\n" + w) for w in names), np.uint64, len(names))
+                frequent = np.fromiter(((lang, w) in hot for w in names), bool, len(names))
+                lead = frequent[words[0]]
+                both = lead & frequent[words[1]]
+                mixed = code[words[0]]
+                mixed = np.where(lead, mixed * _MIX ^ code[words[1]], mixed)
+                mixed = np.where(both, mixed * _MIX ^ code[words[2]], mixed)
+                to = ((mixed * _MIX >> np.uint64(32)) % np.uint64(routes)).astype(np.int64)
+                order = np.argsort(to, kind="stable")
+                to, words, counts = to[order], words[:, order], counts[order]
+                cuts = np.append(np.flatnonzero(np.concatenate(([True], np.diff(to) != 0))), len(to)) if len(to) else np.zeros(1, np.int64)
+                listed = np.array([b"", *names[1:]], dtype=object)
+                rows = [(int(to[a]), *_packed(listed, words[:, a:b]), counts[a:b].tobytes()) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+                columns = list(zip(*rows)) or [()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array([lang] * len(rows), pa.string()),
+                                                  *[pa.array(c, pa.binary()) for c in columns[1:]]], names=_names(ROUTED))
+
+    return blocks.select("lang", "names", "codes", "counts").mapInArrow(route, ROUTED)
+
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _counted(routed: DataFrame, hot: frozenset[tuple[str, bytes]], least: int) -> DataFrame:
     """Counts of phrases, from all suffixes of a task; those led by very frequent words only may be parts of a count."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers: dict[str, Numbers] = {}
-        held: dict[str, list[list[np.ndarray]]] = {}
+        held: dict[str, tuple[list[np.ndarray], list[np.ndarray]]] = {}
         for batch in batches:
-            langs = np.array(batch.column(1).to_pylist(), dtype=object)
-            for lang in set(langs.tolist()):
-                known, columns = numbers.setdefault(lang, Numbers()), held.setdefault(lang, [[], [], [], []])
-                some = batch.filter(pa.array(langs == lang))
-                after = np.fromiter(map(known.__getitem__, b" ".join(some.column(3).to_pylist()).split(b" ")), np.int32)
-                after = np.maximum(after, 0)
-                lengths = some.column(4).value_lengths().to_numpy()
-                lead = np.fromiter(map(known.__getitem__, some.column(2).to_pylist()), np.int32)
-                for column, values in zip(columns, (np.repeat(lead, lengths), after[0::2], after[1::2], some.column(4).flatten().to_numpy())):
-                    column.append(values)
+            for lang, packed, codes, counts in zip(*(c.to_pylist() for c in batch.columns[1:])):
+                known, (parts, weights) = numbers.setdefault(lang, Numbers()), held.setdefault(lang, ([], []))
+                weights.append(np.frombuffer(counts, "<u4"))
+                names, words = _unpacked(packed, codes, len(weights[-1]))
+                parts.append(np.fromiter(map(known.__getitem__, names), np.int32, len(names))[words])
         for lang in list(held):
-            columns = held.pop(lang)
-            words, weight = np.stack([np.concatenate(c) for c in columns[:DEPTH]]), np.concatenate(columns[DEPTH])
-            del columns
-            names = numbers[lang].names()
+            parts, weights = held.pop(lang)
+            words, weight = np.concatenate(parts, axis=1), np.concatenate(weights).astype(np.int64)
+            del parts, weights
+            names = numbers.pop(lang).names()
             frequent = np.array([(lang, name) in hot for name in names])
             lead = frequent[words[0]]
             always = lead.astype(np.int8) + (lead & frequent[words[1]])
             for d, found, counts in multikey(words, weight, least, always):
-                for a in range(0, len(found), BLOCKS):
-                    at = found[a:a + BLOCKS]
+                for a in range(0, len(found), ROWS):
+                    at = found[a:a + ROWS]
                     phrases = [b" ".join([names[w] for w in path]) for path in zip(*(words[k, at].tolist() for k in range(d + 1)))]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(at)), pa.array(np.full(len(at), d + 1, np.int32)), pa.array(phrases, pa.binary()),
-                         pa.array(counts[a:a + BLOCKS])], names=_names(FOUND))
+                         pa.array(counts[a:a + ROWS])], names=_names(FOUND))
 
     return routed.mapInArrow(count, FOUND)
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """``lang, words, phrase, f`` of all phrases of at most three words with ``f >= least``, and ``lang, n`` (its words)."""
     spark = docs.sparkSession
     blocks = common.written(suffixes(docs), "suffixes")
-    leading = common.written(blocks.groupBy("lang", "word").agg(F.sum("total").alias("f"), F.sum(F.size("counts")).alias("rows")), "leading")
-    total = leading.groupBy("lang").agg(F.sum("f").alias("n"))
-    words, rows = leading.agg(F.coalesce(F.sum("f"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
-    # at most SHARE words can have that share
-    many = leading.where((F.col("f") * SHARE >= words) & (F.col("f") >= frequent)).select("lang", "word").collect()
+    total = blocks.groupBy("lang").agg(F.sum("words").alias("n"))
+    words, rows = blocks.agg(F.coalesce(F.sum("words"), F.lit(0)), F.coalesce(F.sum(F.length("counts") / 4), F.lit(0))).first()
+    # blocks tell the words with half the share; at most SHARE words can have the whole one
+    told = blocks.select("lang", F.explode("often").alias("o")).groupBy("lang", "o.word").agg(F.sum("o.f").alias("f"))
+    many = told.where((F.col("f") * SHARE >= words) & (F.col("f") >= FREQUENT)).select("lang", "word").collect()
     hot = frozenset((r.lang, bytes(r.word)) for r in many)
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // SORTED))
-    routed = _routed(blocks, hot, 64 * tasks).repartition(tasks, "route")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(rows) // SORTED))
+    routed = _routed(blocks, hot, tasks).repartition(tasks, "route")
     counts = _counted(routed, hot, least).groupBy("lang", "words", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("count").alias("f"))
     return common.written(counts.where(F.col("f") >= least), "phrases"), total
 

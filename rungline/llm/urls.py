@@ -12,6 +12,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rungline.llm import common
+
 #: Hexadecimal digits of a digest that expressions and rules meet on first.
 SHORT = 8
 
@@ -76,6 +78,8 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str
     best = (near.join(known, F.col("digest") == F.col("rule_digest")).groupBy("__host", "__folder")
             .agg(F.max(F.struct(F.length("found").alias("n"), "host_length", "found", "found_verdict")).alias("best"))
             .select(F.col("__host").alias("__h"), F.col("__folder").alias("__f"), "best"))
+    # as a table of its own, so that a very frequent host's pages can be split
+    best = common.written(best, "places")
     ruled = rows.join(best, (rows["__host"] == best["__h"]) & (rows["__folder"] == best["__f"]), "left")
     made = {"host": F.col("__host"), "path": F.col("__path"), "rule": F.col("best.found"),
             "verdict": F.coalesce("best.found_verdict", F.lit(default))}
