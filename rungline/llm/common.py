@@ -52,6 +52,15 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Deletes the files of a table that ``written`` gave, once nothing reads it any more."""
+    jvm = df.sparkSession._jvm
+    conf = df.sparkSession._jsc.hadoopConfiguration()
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def ranked(df: DataFrame, keys: list[str], order: list[Column], name: str = "rank", blocks: int = 1024) -> DataFrame:
     """Numbers the rows of each key from 0, in an order that is the same in every run.
 

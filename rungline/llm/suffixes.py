@@ -20,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,20 +145,29 @@ def equal_windows(cells: list[list[tuple[bytes, bytes]]], width: int) -> list[li
     return found
 
 
+#: An anchor's place is one number: its position, and how far before it the first and the last window start that pick it.
+_BITS, _FAR = 12, (1 << 12) - 1
+#: Share of all anchors, and count, from which a hash is very frequent; there are at most as many of them as the share's inverse.
+SHARE, OFTEN = 4096, 4096
+#: Documents whose anchors tell which hashes are very frequent: one of so many, by the text's hash. Only the routing depends on it.
+TOLD = 16
+
+
 def _anchored(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """Anchors of every text: ``doc_id, t, at, first, last, h`` (its bytes) and ``c`` (its whole context)."""
-    schema = "doc_id long, t long, at long, first long, last long, h long, c long"
+    """Anchors of every text: ``doc_id, t, place, h`` (its bytes) and ``c`` (its whole context)."""
+    schema = "doc_id long, t long, place long, h long, c long"
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = xxhash.xxh3_64_intdigest
         for batch in batches:
-            columns: list[list] = [[] for _ in range(7)]
+            columns: list[list] = [[] for _ in range(5)]
             for doc_id, t, text in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = (text or "").encode()
                 at, first, last, h = anchors(raw, window, gram)
                 spans = zip(at.tolist(), first.tolist(), last.tolist())
                 c = np.array([code(raw[a:b + window], x - a) for x, a, b in spans], dtype=np.uint64).astype(np.int64)
-                for column, values in zip(columns, ([doc_id] * len(at), [t] * len(at), at, first, last, h.astype(np.int64), c)):
+                place = at << 2 * _BITS | at - first << _BITS | at - last
+                for column, values in zip(columns, ([doc_id] * len(at), [t] * len(at), place, h.astype(np.int64), c)):
                     column.append(pa.array(values, pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) if c else pa.array([], pa.int64()) for c in columns],
                                              names=[c.split()[0] for c in schema.split(", ")])
@@ -166,6 +175,87 @@ def _anchored(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text").mapInArrow(find, schema)
 
 
+def _window_starts(place: Column) -> tuple[Column, Column, Column]:
+    """An anchor's position, and the first and the last window start that pick it."""
+    at = F.shiftright(place, 2 * _BITS)
+    return at, at - F.shiftright(place, _BITS).bitwiseAND(_FAR), at - place.bitwiseAND(_FAR)
+
+
+MET = "again boolean, doc_id long, t long, place long, weight int"
+
+
+def _met(found: DataFrame, partitions: int) -> DataFrame:
+    """Anchors met again: with ``again`` those whose whole context is met again; without it, once per context, those met in several contexts.
+
+    Anchors of equal bytes go to one task and are read there in the order of their contexts, one row after the other. Very frequent anchors are dealt by
+    their contexts instead; of very frequent contexts, all of which are met again, only one row is dealt at all.
+    """
+    told = found.where(F.pmod("t", F.lit(TOLD)) == 0)
+    often = common.written(told.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "often")
+    least = max(OFTEN, -(-told.count() // SHARE))
+    hot = [r.h for r in often.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h").collect()]
+    pairs = often.where(F.col("n") >= least).select("h", F.xxhash64("h", "c").alias("code")).collect()
+    common.dropped(often)
+    certain = F.col("h").isin([r.h for r in pairs]) & F.xxhash64("h", "c").isin([r.code for r in pairs]) if pairs else F.lit(False)
+    again = found.where(certain)
+    one = again.groupBy("h", "c").agg(F.min(F.struct("doc_id", "t", "place")).alias("o")).select("o.*", "h", "c")
+    rest = found.where(~certain).unionByName(one).unionByName(one)  # twice, as it is met again
+    route = F.when(F.col("h").isin(hot), F.xxhash64("h", "c")).otherwise(F.xxhash64("h")) if hot else F.xxhash64("h")
+    dealt = rest.withColumn("route", route).repartition(partitions, "route").sortWithinPartitions("h", "c")
+    met = dealt.select("h", "c", "doc_id", "t", "place").mapInArrow(_runs(np.array(sorted(hot), np.int64)), MET)
+    return met.unionByName(again.select(F.lit(True).alias("again"), "doc_id", "t", "place", F.lit(0).alias("weight")))
+
+
+def _runs(hot: np.ndarray):
+    """Sorted anchors ``h, c, doc_id, t, place`` to those met again, batch by batch: of the last run of a batch at most two rows are kept for the next."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None  # the first rows of a run that may go on, at most two
+        told, leads = False, True  # whether they have been told as met again; whether their run is the first of its anchor
+        for batch in _then_none(batches):
+            rows = [b for b in (held, batch) if b is not None and b.num_rows]
+            if not rows:
+                continue
+            table = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+            h, c = (table.column(k).to_numpy() for k in (0, 1))
+            n = len(h)
+            new_h = np.concatenate(([True], h[1:] != h[:-1]))
+            new = new_h | np.concatenate(([True], c[1:] != c[:-1]))
+            first = np.flatnonzero(new)
+            size = np.diff(np.append(first, n))
+            lead = new_h[first]
+            lead[0] = leads
+            over = batch is None
+            # the last run may go on; before the end it is only told, not closed
+            go_on = np.append(lead[1:], True)
+            several = ~lead | ~go_on | np.isin(h[first], hot)
+            again = np.repeat(size > 1, size)
+            if told:
+                again[:min(2, n)] &= np.arange(min(2, n)) >= (held.num_rows if held is not None else 0)
+            closed = several.copy()
+            if not over:
+                closed[-1] = False
+            yield _picked(table, np.flatnonzero(again), first[closed], np.minimum(size[closed], 2))
+            if over:
+                return
+            k = int(first[-1])
+            told, leads = bool(size[-1] > 1), bool(lead[-1])
+            held = table.slice(k, min(2, n - k))
+
+    return read
+
+
+def _then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
+def _picked(table: pa.RecordBatch, again: np.ndarray, owners: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
+    some = table.take(pa.array(np.concatenate([again, owners])))
+    flags = np.arange(len(again) + len(owners)) < len(again)
+    weights = np.concatenate([np.zeros(len(again), np.int32), weight.astype(np.int32)])
+    return pa.RecordBatch.from_arrays([pa.array(flags), *some.columns[2:], pa.array(weights)], names=[c.split()[0] for c in MET.split(", ")])
+
+
 CELL = "key binary, left binary, right binary, doc_id long, t long, base long, weight int"
 SPAN = "doc_id long, t long, first long, last long"
 
@@ -271,35 +361,45 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     spark = docs.sparkSession
     common.text_batches(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if window - gram > _FAR:
+        raise ValueError(f"a window is at most {_FAR} bytes longer than its anchor")
     found = common.written(_anchored(docs, window, gram), "anchors")
-    again = found.groupBy("h").count().where("count > 1").select("h")
-    met = common.written(found.join(again, "h"), "met")
-    whole = common.written(met.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "t", "at", "first", "last")).alias("owner")), "whole")
-    spans = [met.join(whole.where("n > 1").select("h", "c"), ["h", "c"]).select("doc_id", "t", "first", "last")]
-    several = whole.groupBy("h").count().where("count > 1").select("h")
-    todo = (whole.join(several, "h").select("owner.*", F.least("n", F.lit(2)).cast("int").alias("weight"))
-            .groupBy("doc_id", "t").agg(F.collect_list(F.struct("at", "first", "last", "weight")).alias("todo")))
+    met = common.written(_met(found, partitions), "met")
+    common.dropped(found)
+    at, first, last = _window_starts(F.col("place"))
+    met = met.select("again", "doc_id", "t", at.alias("at"), first.alias("first"), last.alias("last"), "weight")
+    spans = [met.where("again").select("doc_id", "t", "first", "last")]
+    todo = (met.where("NOT again").groupBy("doc_id", "t")
+            .agg(F.collect_list(F.struct("at", "first", "last", "weight")).alias("todo")))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), packed("text").alias("z"))
     named = _named(todo)
-    cells = _cells(texts.join(named, _same(texts, named)).select("doc_id", "t", "z", "todo"), CELLS[0], window)
+    cells = common.written(_cells(texts.join(named, _same(texts, named)).select("doc_id", "t", "z", "todo"), CELLS[0], window), "cells")
+    made = [met]
     for width, finer in zip(CELLS, (*CELLS[1:], 0)):
-        cells = common.written(cells, "cells")
         contexts = common.written(cells.groupBy("key", "left", "right").agg(
             F.sum("weight").alias("n"), F.min(F.struct("doc_id", "t", "base")).alias("owner")), "contexts")
         low, high = F.lit(width - 1) - F.length("right"), F.length("left")
-        spans.append(cells.join(contexts.where("n > 1").select("key", "left", "right"), ["key", "left", "right"])
-                     .select("doc_id", "t", (F.col("base") - high).cast("long").alias("first"), (F.col("base") - low).cast("long").alias("last")))
+        equal = (cells.join(contexts.where("n > 1").select("key", "left", "right"), ["key", "left", "right"])
+                 .select("doc_id", "t", (F.col("base") - high).cast("long").alias("first"), (F.col("base") - low).cast("long").alias("last")))
         kinds = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
         some = contexts.join(kinds.where(F.col("kinds") <= CONTEXTS).select("key"), "key")
-        spans.append(common.written(_sorted(some, width, partitions), "sorted"))
+        made.append(common.written(equal.unionByName(_sorted(some, width, partitions)), "sorted"))
+        spans.append(made[-1])
         many = kinds.where(F.col("kinds") > CONTEXTS).select("key")
-        if not finer or many.isEmpty():
+        coarse = cells
+        if finer and not many.isEmpty():
+            cells = common.written(_finer(cells.join(many, "key"), width, finer), "cells")
+        common.dropped(coarse)
+        common.dropped(contexts)
+        if cells is coarse:
             break
-        cells = _finer(cells.join(many, "key"), width, finer)
     every = spans[0]
     for more in spans[1:]:
         every = every.unionByName(more)
-    return every.groupBy("doc_id", "t").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    found = common.written(every.groupBy("doc_id", "t").agg(F.collect_set(F.struct("first", "last")).alias("spans")), "spans")
+    for table in made:
+        common.dropped(table)
+    return found
 
 
 def removed_runs(spans: list | None, size: int, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -330,18 +430,18 @@ def _long(raw: bytes, a: int, b: int, words: int) -> bool:
 
 def with_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``row`` (all columns but the text), ``z`` (the text, packed) and ``spans`` (its repeated windows; null: none) of every row."""
-    found = _named(common.written(repeated(docs.select("doc_id", "text"), window, gram), "spans"))
+    found = _named(repeated(docs.select("doc_id", "text"), window, gram))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), packed("text").alias("z"),
                        F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row"))
     return rows.join(found, _same(rows, found), "left").select("row", "z", "spans")
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row of ``docs (doc_id, text)``.
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept`` of every row of ``docs (doc_id, text)``.
 
     Null texts are empty; texts shorter than 400 bytes stay whole; null ids and repeated rows are documents of their own. An empty table gives no rows.
     """
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long"
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -351,9 +451,9 @@ def digests(docs: DataFrame) -> DataFrame:
                 raw = unpack(row["z"])
                 runs = removed_runs(row["spans"], len(raw))
                 kept = _kept(raw, runs)
-                rows.append((row["doc_id"], len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()))
-            columns = list(zip(*rows)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.string())],
+                rows.append((row["doc_id"], len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), len(kept)))
+            columns = list(zip(*rows)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.string()), pa.array(columns[5], pa.int64())],
                                              names=[c.split()[0] for c in schema.split(", ")])
 
     return with_spans(docs.select("doc_id", "text")).select("row.doc_id", "z", "spans").mapInArrow(digest, schema)

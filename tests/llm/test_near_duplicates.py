@@ -3,6 +3,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -147,9 +148,11 @@ def passages(seed):
     return texts + [texts[5], texts[6], texts[6], "ab" * 500, "a" * 1000, "", None, "short"]
 
 
-@pytest.mark.parametrize("most", [10_000, 1])
-def test_repeats_against_all_windows(make_docs, monkeypatch, most):
+@pytest.mark.parametrize("most, often", [(10_000, 4096), (1, 4096), (10_000, 2), (10_000, 3)])
+def test_repeats_against_all_windows(spark, make_docs, monkeypatch, most, often):
     monkeypatch.setattr(suffixes, "CONTEXTS", most)  # 1: every cell is cut down to single windows
+    monkeypatch.setattr(suffixes, "OFTEN", often)  # 2: nearly every anchor counts as very frequent
+    monkeypatch.setattr(suffixes, "TOLD", 1 if often < 4 else suffixes.TOLD)
     texts = passages(7)
     docs = make_docs([(i, t, "s") for i, t in enumerate(texts)])
     raws = [(t or "").encode() for t in texts]
@@ -157,10 +160,35 @@ def test_repeats_against_all_windows(make_docs, monkeypatch, most):
     for i, (raw, mask) in enumerate(zip(raws, covered(raws))):
         kept = bytes(b for b, m in zip(raw, mask) if not m)
         spans = sum(m and not (j and mask[j - 1]) for j, m in enumerate(mask))
-        want[i] = (len(raw), sum(mask), spans, hashlib.sha256(kept).hexdigest())
+        want[i] = (len(raw), sum(mask), spans, hashlib.sha256(kept).hexdigest(), len(kept))
     assert {r.doc_id: tuple(r)[1:] for r in suffixes.digests(docs).collect()} == want
 
 
+def plain_met(rows, hot):
+    """Anchors met again, and one per context of those met in several contexts, straight from the definition."""
+    by = {}
+    for row in rows:
+        by.setdefault(row[0], {}).setdefault(row[1], []).append(row)
+    again = [r[2:] for kinds in by.values() for run in kinds.values() if len(run) > 1 for r in run]
+    owners = [(run[0][0], run[0][1], min(len(run), 2)) for h, kinds in by.items() if len(kinds) > 1 or h in hot for run in kinds.values()]
+    return sorted(again), sorted(owners)
+
+
+def test_runs_are_read_batch_by_batch():
+    random.seed(12)
+    for trial in range(200):
+        rows = sorted((random.randint(0, 4), random.randint(0, 3), random.randint(0, 99), 0, k) for k in range(random.randint(0, 40)))
+        hot = np.array(sorted(random.sample(range(5), random.randint(0, 1))), np.int64)
+        cuts = [0, *sorted(random.randint(0, len(rows)) for _ in range(random.randint(0, 12))), len(rows)]
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[a:b]], pa.int64()) for i in range(5)], names=["h", "c", "doc_id", "t", "place"])
+                   for a, b in zip(cuts, cuts[1:])]
+        got = [r for b in suffixes._runs(hot)(iter(batches)) for r in b.to_pylist()]
+        context = {r[2:]: r[:2] for r in rows}
+        again, owners = plain_met(rows, set(hot.tolist()))
+        assert sorted((r["doc_id"], r["t"], r["place"]) for r in got if r["again"]) == again
+        assert sorted((*context[r["doc_id"], r["t"], r["place"]], r["weight"]) for r in got if not r["again"]) == owners
+
+
 def test_repeats_in_the_corpus(corpus):
     rows = corpus.select("doc_id", "text").collect()
     raws = [(r.text or "").encode() for r in rows]
