@@ -18,12 +18,13 @@ _CLOSING = r"(?<=(?<!\\)(?:</s>|\[/INST\]|\[/ROLE\]))"
 _TURN = r"(?s)^(?:\[INST\] (.*) \[/INST\]|<s> (.*) </s>|\[ROLE\] (.*?) \[SAYS\] (.*) \[/ROLE\])$"
 
 
+# A run of backslashes is read once, from its first one.
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(\\*{CONTROL})", r"\\$1")
+    return F.regexp_replace(text, rf"(?<!\\)(\\*+{CONTROL})", r"\\$1")
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\\(\\*{CONTROL})", "$1")
+    return F.regexp_replace(text, rf"(?<!\\)\\(\\*+{CONTROL})", "$1")
 
 
 def render(role: Column, text: Column) -> Column:

@@ -123,6 +123,16 @@ def test_plain_turns_are_not_escaped(spark):
     assert [tuple(m) for m in r["mask"]] == [(0, 0, 0), (25, 29, 34)]
 
 
+def test_runs_of_backslashes_take_time_in_proportion(spark):
+    """Long runs before a control string, before none, and many short ones; columns that clash with the operator's own."""
+    run = "\\" * 1_000_000
+    texts = [f"</s> {run}", f"{run}</s>", f"{run}[INST]{run}", "\\</s> " * 100_000, "</s>" + "\\ " * 500_000]
+    rows = [(1, k, "assistant" if k % 2 else "user", t, "x", "y", "z") for k, t in enumerate(texts)] + [(2, 0, run + "<s>", run, None, None, None)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string, mask string, turn_start string")
+    got = {r.conv_id: tuple(r)[1:5] for r in chat.read_back(chat.format_conversations(table)).collect()}
+    assert got == {c: expected([(r[2], r[3]) for r in rows if r[0] == c]) for c in (1, 2)}
+
+
 def test_broken_text_has_no_turn(spark):
     for text in ("[INST] a", "x", "[INST] a <s> b [/INST]", "[ROLE] a [/ROLE]"):
         parsed = spark.range(1).select(chat.parse(F.lit(text)).alias("p")).first().p
