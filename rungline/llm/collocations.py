@@ -25,7 +25,7 @@ DEPTH, LEAST = 3, 10
 #: A word is very frequent from this share of all words and this count on; so there are at most as many of them as the share's inverse.
 SHARE, FREQUENT = 4096, 1 << 16
 #: Words after which the suffixes read so far are combined; a piece is never split.
-HELD = 1 << 22
+HELD = 1 << 20
 #: Phrases of a batch handed on.
 ROWS = 1 << 14
 #: Suffixes a task sorts, about; with more of them there are more tasks.
