@@ -96,20 +96,24 @@ def q_frontier(spark, sf):
 
 
 def q_cube(spark, sf):
-    """Customers per nation and segment as one cube per region, and back to rows."""
+    """Customers per nation and segment as one cube per region, a json-stat file each, read back to rows."""
+    path = f"{session.shared_folder(spark)}/cubes-{uuid.uuid4().hex}"
     n, c = table(spark, sf, "nation"), table(spark, sf, "customer")
     counts = c.groupBy("c_nationkey", "c_mktsegment").agg(F.sum("c_acctbal").alias("v"))
     segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     wide = counts.groupBy("c_nationkey").pivot("c_mktsegment", segments).agg(F.first("v"))
     rows = n.join(wide, F.col("n_nationkey") == F.col("c_nationkey"), "left")
-    cube = rows.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct(
-        "n_name", F.array(*segments).alias("v")))).alias("r")).select(
-        "n_regionkey", F.transform("r", lambda x: x["n_name"]).alias("nation"),
-        F.array(*[F.lit(s) for s in segments]).alias("segment"),
-        F.flatten(F.transform("r", lambda x: x["v"])).alias("value"))
-    cube = cube.withColumn("size", F.array(F.size("nation").cast("bigint"), F.size("segment").cast("bigint")))
-    flat = tables.flatten_cube(cube, ["nation", "segment"], {"segment": ["BUILDING", "MACHINERY"]}, keep=["n_regionkey"])
-    return flat.withColumn("value", F.round("value", 2))
+    cube = rows.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_name", F.array(*segments).alias("v")))).alias("r"))
+    names = F.transform("r", lambda x: x["n_name"])
+    members = lambda listed: F.struct(F.struct(F.map_from_arrays(listed, F.transform(listed, lambda x, i: i)).alias("index")).alias("category"))
+    body = F.to_json(F.struct(
+        F.array(F.lit(1), F.size("r"), F.lit(len(segments))).alias("size"),
+        F.struct(members(F.array(F.col("n_regionkey").cast("string"))).alias("region"), members(names).alias("nation"),
+                 members(F.array(*[F.lit(s) for s in segments])).alias("segment")).alias("dimension"),
+        F.flatten(F.transform("r", lambda x: x["v"])).alias("value")))
+    cube.select(body.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    flat = tables.read_cubes(spark, path, ["region", "nation", "segment"], {"segment": ["BUILDING", "MACHINERY"]})
+    return flat.select(F.col("region").cast("int").alias("n_regionkey"), "nation", "segment", F.round("value", 2).alias("value"))
 
 
 def q_types(spark, sf):

@@ -94,26 +94,27 @@ def q_stems(spark, sf):
 def q_urls(spark, sf):
     o = table(spark, sf, "orders")
     rows = o.select(F.col("o_orderkey").alias("row_id"), F.col("o_custkey").alias("contract_id"),
-                    F.concat(F.lit("s\\"), (F.col("o_orderkey") % 70).cast("string"), F.lit(".pdf")).alias("document"))
-    # repeated entries on all lists, in an order that is not that of their URLs
+                    F.concat(F.lit("s\\"), F.floor(F.col("o_custkey") / 10).cast("string"), F.lit(".pdf")).alias("document"))
+    # repeated entries on all lists, in an order that is not that of their URLs; contracts without a URL are listed, too
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("contract_id"))
-    listed = lambda site, at: (F.concat(F.lit(f"https://{site}.example/"), F.col("contract_id").cast("string")).alias("url"),
-                               (F.col("contract_id") + at).alias("place"))
-    contracts = c.where("contract_id % 3 = 0").select("contract_id", *listed("r", 0)).unionByName(
-        c.where("contract_id % 6 = 0").select("contract_id", *listed("q", 1_000_000_000_000)))
+    listed = lambda site, n, at: c.select(
+        "contract_id", F.when(F.col("contract_id") % n == 0, F.concat(F.lit(f"https://{site}.example/"), F.col("contract_id").cast("string"))).alias("url"),
+        (F.col("contract_id") + at).alias("place"))
+    contracts = listed("r", 3, 0).unionByName(listed("q", 6, 1_000_000_000_000))
     key = F.col("s_suppkey")
     scattered = ((key * 7919) % 10007) * 1_000_000_000 + key
     of = lambda site, n, place: table(spark, sf, "supplier").select(
-        F.concat(F.lit("s/"), (key % n).cast("string"), F.lit(".pdf")).alias("document"),
+        F.concat(F.lit("s/"), F.floor(key / n).cast("string"), F.lit(".pdf")).alias("document"),
         F.concat(F.lit(f"https://{site}.example/"), key.cast("string")).alias("url"), place.alias("place"))
-    return R.attach_urls(rows, contracts, of("m", 40, scattered), of("x", 60, -key)).select("row_id", "url")
+    return R.attach_urls(rows, contracts, of("m", 3, scattered), of("x", 2, -key)).select("row_id", "url")
 
 
 def q_wildcard(spark, sf):
+    """Every three customers share a URL, each with a name of its own; orders ask for the next one's, some for one that nobody has."""
     o = table(spark, sf, "orders")
-    asked = o.select("o_orderkey", (F.col("o_custkey") % 60).cast("string").alias("url"), (F.col("o_custkey") % 7).cast("string").alias("norm"))
-    c = table(spark, sf, "customer").where("c_custkey % 60 <> 7").select(
-        F.col("c_custkey").alias("row_id"), (F.col("c_custkey") % 60).cast("string").alias("url"),
+    asked = o.select("o_orderkey", F.floor((F.col("o_custkey") + 5) / 3).cast("string").alias("url"), (F.col("o_orderkey") % 7).cast("string").alias("norm"))
+    c = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("row_id"), F.floor(F.col("c_custkey") / 3).cast("string").alias("url"),
         (F.col("c_custkey") % 5).cast("string").alias("norm"), "c_mktsegment")
     return R.lookup_with_default(asked, c, values=("c_mktsegment",)).select("o_orderkey", "c_mktsegment")
 
@@ -183,14 +184,15 @@ SELECT s_suppkey, concat('fy-', translate(substr(s_name, 10), '0123456789', 'abc
 WITH c AS (SELECT c_custkey AS id, concat('https://r.example/', c_custkey) AS url, c_custkey AS place FROM customer WHERE c_custkey % 3 = 0
            UNION ALL SELECT c_custkey, concat('https://q.example/', c_custkey), c_custkey + 1000000000000 FROM customer WHERE c_custkey % 6 = 0),
 ci AS (SELECT id, arg_max(url, place) AS url FROM c GROUP BY id),
-m AS (SELECT s_suppkey % 40 AS d, arg_min(concat('https://m.example/', s_suppkey), ((s_suppkey * 7919) % 10007) * 1000000000 + s_suppkey) AS url FROM supplier GROUP BY ALL),
-x AS (SELECT s_suppkey % 60 AS d, arg_min(concat('https://x.example/', s_suppkey), -s_suppkey) AS url FROM supplier GROUP BY ALL)
+m AS (SELECT s_suppkey // 3 AS d, arg_min(concat('https://m.example/', s_suppkey), ((s_suppkey * 7919) % 10007) * 1000000000 + s_suppkey) AS url FROM supplier GROUP BY ALL),
+x AS (SELECT s_suppkey // 2 AS d, arg_min(concat('https://x.example/', s_suppkey), -s_suppkey) AS url FROM supplier GROUP BY ALL)
 SELECT o_orderkey AS row_id, coalesce(ci.url, m.url, x.url, '') AS url FROM orders LEFT JOIN ci ON ci.id = o_custkey
-LEFT JOIN m ON m.d = o_orderkey % 70 LEFT JOIN x ON x.d = o_orderkey % 70"""),
+LEFT JOIN m ON m.d = o_custkey // 10 LEFT JOIN x ON x.d = o_custkey // 10"""),
     "wildcard_lookup": (q_wildcard, """
-WITH c AS (SELECT c_custkey % 60 AS u, c_custkey % 5 AS n, arg_min(c_mktsegment, c_custkey) AS seg FROM customer WHERE c_custkey % 60 <> 7 GROUP BY ALL),
-l AS (SELECT c_custkey % 60 AS u, arg_min(c_mktsegment, c_custkey) AS seg FROM customer WHERE c_custkey % 60 <> 7 GROUP BY ALL)
-SELECT o_orderkey, coalesce(c.seg, l.seg) AS c_mktsegment FROM orders LEFT JOIN c ON c.u = o_custkey % 60 AND c.n = o_custkey % 7 LEFT JOIN l ON l.u = o_custkey % 60"""),
+WITH c AS (SELECT c_custkey // 3 AS u, c_custkey % 5 AS n, arg_min(c_mktsegment, c_custkey) AS seg FROM customer GROUP BY ALL),
+l AS (SELECT c_custkey // 3 AS u, arg_min(c_mktsegment, c_custkey) AS seg FROM customer GROUP BY ALL)
+SELECT o_orderkey, coalesce(c.seg, l.seg) AS c_mktsegment FROM orders LEFT JOIN c ON c.u = (o_custkey + 5) // 3 AND c.n = o_orderkey % 7
+LEFT JOIN l ON l.u = (o_custkey + 5) // 3"""),
     "merged_sources": (q_merge, WHOLE + """,
 base AS (SELECT o_orderkey AS row_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS valid_from, concat('Félag ', o_custkey // 20) AS union_name FROM orders),
 man AS (SELECT * FROM base WHERE row_id % 3 = 2),

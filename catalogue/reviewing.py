@@ -66,21 +66,21 @@ def q_contracts(spark, sf):
 
 
 def gap_table(spark, sf):
-    """A regenerated gap list with empty input columns, one row per order past 1998."""
-    orders = table(spark, sf, "orders").where("o_orderdate >= TIMESTAMP '1998-01-01'")
-    return orders.select(
-        F.concat(F.lit("u"), (F.col("o_custkey") % 40).cast("string")).alias("felag"),
+    """A regenerated gap list with empty input columns: a union for every three customers, a gap per month with an order."""
+    return table(spark, sf, "orders").select(
+        F.concat(F.lit("u"), F.floor(F.col("o_custkey") / 3).cast("string")).alias("felag"),
         F.trunc("o_orderdate", "YEAR").cast("string").alias("eyda_fra"),
         F.trunc("o_orderdate", "MM").cast("string").alias("eyda_til"),
         *[F.lit("").alias(c) for c in V.FILL_IN]).distinct()
 
 
 def filled(spark, sf):
-    """Reviewer input: an order is one filled row; some rows are blank."""
+    """Reviewer input: an order is one filled row; some rows are blank, and the gaps of some have moved by a month or two since."""
+    moved = F.add_months(F.to_date("o_orderdate"), (F.col("o_orderkey") % 3).cast("int"))
     return table(spark, sf, "orders").select(
-        F.concat(F.lit("u"), (F.col("o_custkey") % 40).cast("string")).alias("felag"),
+        F.concat(F.lit("u"), F.floor(F.col("o_custkey") / 3).cast("string")).alias("felag"),
         F.trunc("o_orderdate", "YEAR").cast("string").alias("eyda_fra"),
-        F.trunc("o_orderdate", "MM").cast("string").alias("eyda_til"),
+        F.trunc(moved, "MM").cast("string").alias("eyda_til"),
         F.lit("").alias("stada"),
         F.when(F.col("o_orderkey") % 3 != 0, F.to_date("o_orderdate").cast("string")).otherwise("").alias("dagsetning"),
         F.when(F.col("o_orderkey") % 3 == 1, "3,5%").otherwise("").alias("prosenta"),
@@ -90,9 +90,10 @@ def filled(spark, sf):
 
 
 def applied(spark, sf):
-    return table(spark, sf, "orders").where("o_orderkey % 4 = 0").select(
-        F.concat(F.lit("u"), (F.col("o_custkey") % 40).cast("string")).alias("felag"),
-        F.to_date("o_orderdate").alias("gildir_fra"))
+    """A correction per order, up to three days after it."""
+    return table(spark, sf, "orders").select(
+        F.concat(F.lit("u"), F.floor(F.col("o_custkey") / 3).cast("string")).alias("felag"),
+        F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 4).cast("int")).alias("gildir_fra"))
 
 
 def q_carry(spark, sf):
@@ -283,13 +284,14 @@ hit AS (SELECT g.union_key, gap_from, gap_to, contract_id, row_number() OVER (PA
           AND fra <= gap_to AND (til IS NULL OR til >= gap_from))
 SELECT union_key, {SPANS}, CAST(rank AS INTEGER) AS rank, contract_id FROM hit WHERE rank <= 3"""),
     "reviewer_carry_over": (q_carry, """
-WITH g AS (SELECT DISTINCT concat('u', o_custkey % 40) AS felag, strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS eyda_fra,
-                  strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS eyda_til FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'),
-k AS (SELECT concat('u', o_custkey % 40) AS felag, strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS eyda_fra,
-             strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS eyda_til, strftime(o_orderdate, '%Y-%m-%d') AS dagsetning,
+WITH g AS (SELECT DISTINCT concat('u', o_custkey // 3) AS felag, strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS eyda_fra,
+                  strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS eyda_til FROM orders),
+k AS (SELECT concat('u', o_custkey // 3) AS felag, strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS eyda_fra,
+             strftime(date_trunc('month', CAST(o_orderdate AS DATE) + to_months(CAST(o_orderkey % 3 AS INTEGER))), '%Y-%m-%d') AS eyda_til,
+             strftime(o_orderdate, '%Y-%m-%d') AS dagsetning,
              CASE WHEN o_orderkey % 3 = 1 THEN '3,5%' ELSE '' END AS prosenta, CAST(o_orderkey AS VARCHAR) AS heimild
       FROM orders WHERE o_orderkey % 3 <> 0),
-a AS (SELECT DISTINCT concat('u', o_custkey % 40) AS felag, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders WHERE o_orderkey % 4 = 0)
+a AS (SELECT DISTINCT concat('u', o_custkey // 3) AS felag, strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 4 AS INTEGER), '%Y-%m-%d') AS d FROM orders)
 SELECT felag, eyda_fra, eyda_til, coalesce(dagsetning, '') AS dagsetning, coalesce(prosenta, '') AS prosenta, coalesce(heimild, '') AS heimild
 FROM g LEFT JOIN k USING (felag, eyda_fra, eyda_til)
 UNION ALL SELECT felag, eyda_fra, eyda_til, dagsetning, prosenta, heimild FROM k

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed as X
 from ..functions import text as T
+from ..session import cut_lineage
 from .ranking import grouped_median, keep_first
 
 
@@ -44,20 +45,45 @@ def table_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> D
 BLOCK = 512  # lines of a document that are handled together
 
 
-def _restarts(rows: DataFrame, ident: str) -> DataFrame:
-    """(document, line_no) of the lines whose grade was seen since the last header or restart: there a new table begins."""
-    listed = F.array_sort(F.collect_list(F.struct("line_no", "_grade")))
+def _returns(rows: DataFrame, ident: str) -> DataFrame:
+    """(document, line_no, _next): for a line with a grade the first later line under its header whose grade has come back since.
+
+    Of all lines from here on it is the earliest at which a grade is met again. Minima and next lines are taken in blocks, and over one row per block
+    (and grade), so the lines under one header are shared by several tasks.
+    """
+    part = [ident, "_headers"]
+    rated = rows.where(F.col("_grade").isNotNull()).select(*part, "_block", "line_no", "_grade")
+    blocks = rated.groupBy(*part, "_grade", "_block").agg(F.min("line_no").alias("_first"))
+    after = blocks.select(*part, "_grade", "_block", F.lead("_first").over(
+        Window.partitionBy(*part, "_grade").orderBy("_block")).alias("_after"))
+    inside = Window.partitionBy(*part, "_grade", "_block").orderBy("line_no")
+    back = rated.join(after, [*part, "_grade", "_block"]).select(
+        *part, "_block", "line_no", F.coalesce(F.lead("line_no").over(inside), "_after").alias("_back"))
+    least = back.groupBy(*part, "_block").agg(F.min("_back").alias("_least"))
+    below = Window.partitionBy(*part).orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    later = least.select(*part, "_block", F.min("_least").over(below).alias("_later"))
+    here = Window.partitionBy(*part, "_block").orderBy(F.desc("line_no")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (back.join(later, [*part, "_block"])
+            .select(*part, "line_no", F.least(F.min("_back").over(here), F.col("_later")).alias("_next")).where("_next is not null"))
 
-    def step(state: Column, line: Column) -> Column:
-        again = F.array_contains(state["seen"], line["_grade"])
-        return F.struct(
-            F.when(again, F.array(line["_grade"])).otherwise(F.array_append(state["seen"], line["_grade"])).alias("seen"),
-            F.when(again, F.array_append(state["at"], line["line_no"])).otherwise(state["at"]).alias("at"))
 
-    nothing = F.struct(F.array().cast("array<string>").alias("seen"), F.array().cast("array<int>").alias("at"))
-    return (rows.where(F.col("_grade").isNotNull()).groupBy(ident, "_headers").agg(listed.alias("_lines"))
-            .select(ident, F.explode(F.aggregate("_lines", nothing, step, lambda s: s["at"])).alias("line_no"))
-            .withColumn("_restart", F.lit(1)))
+def _restarts(rows: DataFrame, ident: str) -> DataFrame:
+    """(document, line_no) of the lines whose grade was seen since the last header or restart: there a new table begins.
+
+    From a header's first line on each restart points to the next one. Pointers are doubled: with as many joins as the
+    logarithm of the restarts under a header, all of them are reached.
+    """
+    jump = cut_lineage(_returns(rows, ident))
+    first = jump.groupBy(ident, "_headers").agg(F.min("line_no").alias("line_no"))
+    jump = jump.drop("_headers")
+    reached = first.select(ident, "line_no", F.lit(0).alias("_restart"))
+    while True:
+        step = cut_lineage(reached.join(jump, [ident, "line_no"]).select(ident, F.col("_next").alias("line_no"), F.lit(1).alias("_restart")))
+        if step.isEmpty():
+            return reached.where("_restart = 1")
+        reached = reached.unionByName(step)
+        further = jump.select(ident, F.col("line_no").alias("_next"), F.col("_next").alias("_further"))
+        jump = cut_lineage(jump.join(further, [ident, "_next"]).select(ident, "line_no", F.col("_further").alias("_next")))
 
 
 def scan_wage_tables(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -87,6 +113,7 @@ def scan_wage_tables(docs: DataFrame, ident: str = "doc_id", text: str = "text")
         .withColumn("_new", changed("_date") + changed("_unit") + F.col("_is_header").cast("int"))
         .select(ident, "_block", "line_no", "_date_now", "_unit_now", "_labels_now", "_headers", "_grade", "_wages", "_new")
     )
+    state = cut_lineage(state)
     steps = state.join(_restarts(state, ident), [ident, "line_no"], "left").withColumn(
         "_new", F.col("_new") + F.coalesce("_restart", F.lit(0))).drop("_restart")
     sums = steps.groupBy(ident, "_block").agg(F.sum("_new").alias("_n")).select(

@@ -6,13 +6,15 @@ is resolved once; the answer then goes back to the rows.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed as X
 from ..functions import text as T
+from ..session import cut_lineage
 from .ranking import join_lookup, keep_first
 
 
@@ -75,31 +77,76 @@ def tally(df: DataFrame, column: str) -> DataFrame:
 
 # ------------------------------------------------------------- companies
 
-def _prefixes(col: Column) -> Column:
-    """Every beginning of ``col`` with at least ``STEM_CHARS`` characters."""
-    return F.when(F.length(col) >= X.STEM_CHARS, F.transform(
-        F.sequence(F.lit(X.STEM_CHARS), F.length(col)), lambda n: F.substring(col, F.lit(1), n))
-    ).otherwise(F.array().cast("array<string>"))
+OPEN = "word string, stems array<string>, block int"
+
+
+def _nested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted stems and words of a block to words with the stems they begin with, and a last row with the stems still open.
+
+    A stem is open from itself to the last string that begins with it; open stems contain each other, so they are a stack. A word
+    that begins with no stem of its block has none here.
+    """
+    open_, block, last = [], None, ""
+    for batch in batches:
+        words, found = [], []
+        for text, is_word, number in zip(*(c.to_pylist() for c in batch.columns)):
+            while open_ and not text.startswith(open_[-1]):
+                open_.pop()
+            if is_word:
+                words.append(text)
+                found.append(list(open_))
+            else:
+                open_.append(text)
+            block, last = number, text
+        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(found, pa.list_(pa.string())), pa.array([block] * len(words), pa.int32())],
+                                         names=["word", "stems", "block"])
+    if block is not None:  # the last string stands in front of the stems still open
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([[last, *open_]], pa.list_(pa.string())), pa.array([block], pa.int32())],
+                                         names=["word", "stems", "block"])
+
+
+def beginnings(words: DataFrame, stems: DataFrame) -> DataFrame:
+    """Distinct ``word`` -> ``stems``, those of the distinct ``stem`` (both of one column) that it begins with, the shortest first.
+
+    Stems and words are sorted together over ranges, each of them one row; blocks take over the stems that are open at their beginning from one
+    row per block. Words that begin with no stem are left out.
+    """
+    spark = words.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stem, word = stems.columns[0], words.columns[0]
+    first = F.left(F.col("_s"), F.lit(X.STEM_CHARS))
+    listed = stems.select(F.col(stem).alias("_s"), F.lit(False).alias("_is_word")).where(F.length("_s") >= X.STEM_CHARS)
+    # only words that begin as some stem does are sorted
+    asked = words.select(F.col(word).alias("_s"), F.lit(True).alias("_is_word")).withColumn("_first", first).join(
+        listed.select(first.alias("_first")).distinct(), "_first", "left_semi").drop("_first")
+    both = listed.unionByName(asked).distinct()
+    dealt = both.repartitionByRange(partitions, "_s").sortWithinPartitions("_s", "_is_word").withColumn("_block", F.spark_partition_id())
+    nested = cut_lineage(dealt.mapInArrow(_nested, OPEN))
+    carried, now = [], []
+    for block, (last, *own) in sorted((r.block, r.stems) for r in nested.where("word is null").collect()):  # one row per partition
+        carried.append((block, now))
+        now = [s for s in now if last.startswith(s)] + own
+    before = spark.createDataFrame(carried, "block int, _before array<string>")
+    return (nested.where("word is not null").join(before, "block")
+            .select("word", F.concat(F.filter("_before", lambda s: F.startswith(F.col("word"), s)), F.col("stems")).alias("stems"))
+            .where(F.size("stems") > 0))
 
 
 def company_stems(companies: DataFrame, unions: DataFrame, company: str = "company",
                   union: str = "union_name") -> DataFrame:
     """(stem, id, name) of companies that are neither known counterparties nor unions."""
     distinct = companies.select(F.col(company).alias("_c")).where(T.not_blank(F.col("_c"))).distinct()
-    names = (
+    names = cut_lineage(
         T.with_values(distinct, _known=T.classify_counterparty(F.col("_c")), stem=T.company_stem(F.col("_c")))
         .where(F.col("_known").isNull() & (F.length("stem") >= X.STEM_CHARS)).drop("_known")
     )
-    union_stems = (
+    own = names.select("stem").distinct()
+    union_stems = cut_lineage(
         unions.select(T.company_stem(F.col(union)).alias("_u")).distinct().where(F.length("_u") >= X.STEM_CHARS))
     # one stem begins with the other, in either direction
-    begins = union_stems.select(F.explode(_prefixes(F.col("_u"))).alias("stem")).distinct()
-    clear = names.join(begins, "stem", "left_anti")
-    hit = (
-        clear.select("stem", F.explode(_prefixes(F.col("stem"))).alias("_u")).distinct()
-        .join(union_stems, "_u").select("stem").distinct()
-    )
-    named = T.with_values(clear.join(hit, "stem", "left_anti"), _who=T.counterparty_from_register(F.col("_c")))
+    begun = beginnings(union_stems, own).select(F.explode("stems").alias("stem"))
+    hit = begun.unionByName(beginnings(own, union_stems).select(F.col("word").alias("stem"))).distinct()
+    named = T.with_values(names.join(hit, "stem", "left_anti"), _who=T.counterparty_from_register(F.col("_c")))
     return (
         named.select("stem", F.col("_who.id").alias("company_id"), F.col("_who.name").alias("company_name"))
         .groupBy("stem").agg(F.min(F.struct("company_id", "company_name")).alias("_best"))
@@ -111,13 +158,13 @@ def find_company(texts: DataFrame, stems: DataFrame, text: str = "text") -> Data
     """Distinct texts -> the company with the longest stem that begins a word."""
     distinct = texts.select(text).where(T.not_blank(F.col(text))).distinct()
     words = F.split(F.trim(F.regexp_replace(T.ascii_fold(F.col(text)), "[^a-z0-9]+", " ")), " ")
-    begins = (
-        distinct.select(text, F.explode(F.array_distinct(words)).alias("_w"))
-        .select(text, F.explode(_prefixes(F.col("_w"))).alias("stem"))
-    )
+    told = distinct.select(text, F.explode(F.array_distinct(F.filter(words, lambda w: F.length(w) >= X.STEM_CHARS))).alias("word"))
+    stems = cut_lineage(stems)
+    innermost = beginnings(told.select("word").distinct(), stems.select("stem")).select(
+        "word", F.try_element_at("stems", F.lit(-1)).alias("stem")).join(stems, "stem")
     longest = F.max_by(F.struct("company_id", "company_name"),
                        F.struct(F.length("stem"), F.col("stem")))
-    return begins.join(stems, "stem").groupBy(text).agg(longest.alias("_found")).select(
+    return told.join(innermost, "word").groupBy(text).agg(longest.alias("_found")).select(
         text, "_found.company_id", "_found.company_name")
 
 

@@ -111,37 +111,47 @@ def describe_common(common: DataFrame, key: str = "union_key") -> DataFrame:
 # ------------------------------------------------------- contracts over a gap
 
 def _grams(col: Column) -> Column:
+    """All three-letter pieces, in their order."""
     size = F.greatest(F.length(col) - 2, F.lit(0))
     starts = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(col, i, F.lit(3))))
+    return F.transform(starts, lambda i: F.substring(col, i, F.lit(3)))
 
 
 def names_in_texts(names: DataFrame, texts: DataFrame, name: str, fields: Sequence[str]) -> DataFrame:
     """Pairs (name, text row) where a field contains the name; up to four
     characters it must stand as a whole word.
 
-    Both sides are first made distinct. Each name is looked up by the one of
-    its three-letter pieces that the fewest texts have, so no pair is formed
-    that does not at least share that piece.
+    Both sides are first made distinct, and the fields' values are looked up once. A positional index holds each value's
+    three-letter pieces with their places. A name is looked up by its two rarest pieces and their distance: values are asked only for
+    the distances that names with the same rarest piece have, and a pair is formed only where both pieces stand as they do in the name. So a
+    piece that a third of all values share meets distances, not names.
     """
     wanted = names.where(F.length(name) >= 3).select(name).distinct()
     whole = texts.select(*fields).distinct()
-    pieces = whole.withColumn("_gram", F.explode(F.array_distinct(F.flatten(
-        F.array(*[_grams(F.col(f)) for f in fields])))))
-    frequency = pieces.groupBy("_gram").agg(F.count(F.lit(1)).alias("_texts"))
-    rarest = (
-        wanted.withColumn("_gram", F.explode(_grams(F.col(name))))
-        .join(frequency, "_gram")
-        .groupBy(name).agg(F.min(F.struct("_texts", "_gram")).alias("_best"), F.count(F.lit(1)).alias("_known"))
-        .where(F.col("_known") == F.size(_grams(F.col(name))))
-        .select(name, F.col("_best._gram").alias("_gram"))
+    values = whole.select(F.explode(F.array(*[F.col(f) for f in fields])).alias("_value")).where(F.length("_value") >= 3).distinct()
+    index = values.select("_value", F.posexplode(_grams(F.col("_value"))).alias("_at", "_gram"))
+    frequency = index.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    spelled = (
+        wanted.select(name, F.posexplode(_grams(F.col(name))).alias("_place", "_gram")).join(frequency, "_gram")
+        .groupBy(name).agg(F.slice(F.array_sort(F.collect_list(F.struct("_n", "_gram", "_place"))), 1, 2).alias("_two"), F.count(F.lit(1)).alias("_known"))
+        # a piece that no value has: the name is nowhere
+        .where(F.col("_known") == F.length(name) - 2)
     )
+    first, second = F.col("_two")[0], F.element_at("_two", -1)
+    asked = spelled.select(name, first["_gram"].alias("_gram"), first["_place"].alias("_place"), second["_gram"].alias("_other"),
+                           (second["_place"] - first["_place"]).alias("_far"))
+    near = index.join(asked.select("_gram", "_far").distinct(), "_gram").where(F.col("_at") + F.col("_far") >= 0).withColumn(
+        "_other", F.substring(F.col("_value"), F.col("_at") + F.col("_far") + 1, F.lit(3)))
     word = F.concat(F.lit(r"(?U)(?<!\w)\Q"), F.col(name), F.lit(r"\E(?!\w)"))
-    hit = None
+    start = F.col("_at") - F.col("_place")
+    here = (start >= 0) & (F.substring(F.col("_value"), start + 1, F.length(name)) == F.col(name))
+    met = (near.join(asked, ["_gram", "_far", "_other"])
+           .where(here & ((F.length(name) > 4) | F.rlike(F.col("_value"), word))).select(name, "_value").distinct())
+    found = None
     for f in fields:
-        here = F.when(F.length(name) <= 4, F.rlike(F.col(f), word)).otherwise(F.contains(F.col(f), F.col(name)))
-        hit = here if hit is None else hit | here
-    return rarest.join(pieces, "_gram").where(hit).select(name, *fields)
+        some = whole.join(met, F.col(f) == F.col("_value")).select(name, *fields)
+        found = some if found is None else found.unionByName(some)
+    return found.distinct()
 
 
 def contracts_in_gap(gaps: DataFrame, contracts: DataFrame, k: int = 3, key: str = "union_key",

@@ -6,6 +6,7 @@ summaries, documents and checks all read.
 """
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -94,7 +95,8 @@ def merge(register: DataFrame, web: DataFrame, manual: DataFrame, companies: Dat
           contracts: DataFrame, manifests: DataFrame, extra_urls: DataFrame) -> DataFrame:
     """The three sources with union, counterparty, URL and provenance per row."""
     register = with_row_ids(register, "union_name", "document")
-    known = R.known_unions(register)
+    # the name a union is first written by is the first in order of date and name, not of a hash
+    known = R.known_unions(in_publication_order(register))
     web = with_row_ids(web, "document")
     resolved = R.resolve_union(web, known)
     stems = R.company_stems(companies, contracts.select("union_name"))
@@ -143,22 +145,75 @@ def described_unions(series: DataFrame, unions: DataFrame) -> DataFrame:
     return sinks.with_slugs(full.withColumn("_order", size * 1_000_000_000_000 + F.col("_seen")), "union_name", "_order").drop("_order", "_seen")
 
 
-def publish(built: Series, rates: DataFrame, index: DataFrame, prices: DataFrame, path: str, base_url: str) -> None:
-    """All outputs under ``path``: increases by year, a document per union, the union index, both indices, the manifest.
+#: Names that published rows, lines and unions carry, and the columns they come from.
+ROW_FIELDS = {"dagsetning": "valid_from", "a_vid": "basis", "prosenta": "pct", "kronur": "amount", "tegund": "type", "visitala": "index",
+              "visitala_samfella": "stretch_index", "innan_samfellu": "in_stretch", "i_kedju": "in_chain", "bil_manudir": "gap_months",
+              "visitala_athugasemd": "note", "heimildir": "sources", "olik_gildi": "distinct_pcts", "sameinad": "merged", "upprunar": "origins",
+              "erft_fra": "inherited_from", "ur_serssamningi": "filled_from", "skjal": "document", "slod": "url"}
+LINE_FIELDS = {"motadili_heiti": "counterparty_name", "tegund": "kind", "adalsamningur": "is_main", "erft_fra": "inherited_from",
+               "fjoldi_haekkana": "n_increases", "fyrsta": "first_date", "sidasta": "last_date", "samfelld_fra": "stretch_from",
+               "samfelld_ar": "stretch_years", "eldri_eydur": "older_gaps", "heilleiki": "grade"}
+UNION_FIELDS = {"audkenni": "slug", "felag": "union_name", "felag_id": "union_id", "markadur": "market", "heildarsamtok": "umbrella",
+                "fyrsta": "first_date", "sidasta": "last_date", "fjoldi_haekkana": "n_increases", "fjoldi_samninga": "n_lines", "heilleiki": "grade",
+                "samfelld_fra": "stretch_from", "samfelld_ar": "stretch_years", "eldri_eydur": "older_gaps", "mesta_bil_manudir": "longest_gap"}
 
-    ``rates``: (union_key, from_date, to_date, pct); ``index`` and ``prices``: (month, value).
+
+def _renamed(df: DataFrame, fields: dict[str, str], *keep: str) -> DataFrame:
+    """The columns ``fields`` names that ``df`` has, under the names they are published by; blank texts are null."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    told = {n: F.nullif(F.col(c), F.lit("")) if kinds.get(c) == "string" else F.array_join(c, ",") if kinds.get(c) == "array" else F.col(c)
+            for n, c in fields.items() if c in kinds}
+    return df.select(*keep, *[c.alias(n) for n, c in told.items()])
+
+
+def documents_by_union(built: Series, rates: DataFrame) -> DataFrame:
+    """``audkenni`` and the whole document of each union as JSON: its header, the main line's rows, all lines with theirs, measured rate changes.
+
+    Lines go main line first, then by size. Values that are lacking are told as null.
+    """
+    key = ["union_key", "counterparty"]
+    names = (built.series.groupBy(*key).agg(F.min_by("counterparty_name", "valid_from").alias("counterparty_name"))
+             if "counterparty_name" in built.series.columns else built.lines.select(*key, T.counterparty_name(F.col("counterparty")).alias("counterparty_name")))
+    lines = (built.lines.join(names, key).join(built.unions.select("union_key", "main_line"), "union_key")
+             .withColumn("is_main", F.col("counterparty") == F.col("main_line")).withColumn("kind", T.counterparty_kind(F.col("counterparty"))))
+    order = {"_other": ~F.col("is_main"), "_size": -F.col("n_increases")}
+    shaped = _renamed(lines.withColumns(order), LINE_FIELDS, "union_key", "counterparty", *order).withColumnRenamed("counterparty", "motadili")
+    rows = _renamed(built.series, ROW_FIELDS, "union_key", "counterparty").withColumnRenamed("counterparty", "motadili")
+    main = shaped.where("adalsamningur").select("union_key", F.struct("motadili", F.col("motadili_heiti").alias("heiti")).alias("_main"))
+    unions = _renamed(built.unions, UNION_FIELDS, "union_key", "main_line").join(main, "union_key", "left")
+    changes = rates.select("union_key", F.col("from_date").alias("fra_dags"), F.col("to_date").alias("til_dags"), F.col("pct").alias("prosenta"),
+                           *[c for c in rates.columns if c not in ("union_key", "from_date", "to_date", "pct")]).withColumnRenamed("til_dags", "to_date")
+    nested = sinks.union_documents(unions, shaped, rows, changes, [c for c in rows.columns if c not in ("union_key", "motadili")],
+                                   [n for n in LINE_FIELDS if n in shaped.columns], counterparty="motadili", order=list(order), date="dagsetning")
+    header = [n for n in UNION_FIELDS if n in unions.columns]
+    fields = [*header[:5], F.col("_main").alias("adalsamningur"), *header[5:], "haekkanir", "samningar",
+              F.transform(F.coalesce("taxtahaekkanir", F.array()), lambda t: t.withField("til_dags", t["to_date"]).dropFields("to_date")).alias("taxtahaekkanir")]
+    return nested.select("audkenni", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("body"))
+
+
+def publish(built: Series, rates: DataFrame, index: DataFrame, prices: DataFrame, path: str, base_url: str, version: str | None = None) -> str:
+    """All outputs as a new version under ``path``: a file per union by its slug, increases by year, the union index, both indices.
+
+    ``index.json`` holds the counts and names the version; it is replaced last and at once, so that a run that is stopped leaves the last publication
+    as it was. Returns the version's folder. ``rates``: (union_key, from_date, to_date, pct); ``index`` and ``prices``: (month, value).
     """
+    version = version or f"utgafa-{uuid.uuid4().hex}"
+    folder = f"{path}/{version}"
     columns = ["row_id", "union_key", "union_name", "counterparty", "valid_from", "pct", "amount", "basis", "type", "origin", "document", "url"]
-    sinks.write_by_year(built.increases, f"{path}/ar", "valid_from", [c for c in columns if c in built.increases.columns], "row_id")
-    documents = sinks.union_documents(built.unions, built.lines, built.series, rates,
-                                      ["valid_from", "pct", "amount", "basis", "index", "stretch_index", "in_stretch", "gap_months", "note"],
-                                      ["n_increases", "grade"])
-    documents.write.mode("overwrite").json(f"{path}/felog")
-    sinks.union_index(built.unions, base_url).write.mode("overwrite").json(f"{path}/felog_skra")
+    sinks.write_by_year(built.increases, f"{folder}/ar", "valid_from", [c for c in columns if c in built.increases.columns], "row_id")
+    documents = documents_by_union(built, rates)
+    sinks.write_documents(documents.select(F.concat("audkenni", F.lit(".json")).alias("name"), "body"), f"{folder}/felog")
+    sinks.union_index(built.unions, f"{base_url}/{version}").write.json(f"{folder}/felog_skra")
     both = index.select("month", "value", F.lit("launavisitala").alias("series")).unionByName(
         prices.select("month", "value", F.lit("visitala_neysluverds").alias("series")))
-    sinks.index_documents(both).write.mode("overwrite").json(f"{path}/visitolur")
-    sinks.manifest(built.unions, built.increases, built.series, built.lines, rates).write.mode("overwrite").json(f"{path}/index")
+    sinks.index_documents(both).write.json(f"{folder}/visitolur")
+    counts = sinks.manifest(built.unions, built.increases, built.series, built.lines, rates)
+    told = counts.select(F.to_json(F.struct(
+        F.lit(version).alias("utgafa"), F.lit(base_url).alias("grunnslod"), F.struct("felog", "haekkanir", "maelipunktar", "samningslinur", "taxtahaekkanir",
+                                                                                   F.when(F.col("fyrsta_ar").isNotNull(), F.array("fyrsta_ar", "sidasta_ar")).alias("ar")).alias("tolur")),
+        {"ignoreNullFields": "false"})).first()[0]
+    sinks.publish_folder(path, told)
+    return folder
 
 
 def check(built: Series, index: DataFrame, prices: DataFrame, cap: Column) -> DataFrame:

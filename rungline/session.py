@@ -6,6 +6,7 @@ for local runs and tests, ``shared_folder`` for jobs that cut lineage.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,9 +50,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so a lost executor costs no rerun."""
+    """``df`` as a Parquet table in the shared folder: a lost executor costs no rerun, and later readers take only the columns they need."""
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_cut(df: DataFrame) -> None:
+    """Deletes the files behind a table that ``cut_lineage`` gave, once nothing reads it any more."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)

@@ -1,6 +1,8 @@
 """The whole batch on a handful of records, the wage-table scanner, the intake stream."""
 import datetime as dt
+import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,15 +62,33 @@ def test_full_batch(spark, tmp_path):
     ids = [(r.row_id, r.valid_from, r.union_name) for r in increases.orderBy("row_id").collect()]
     assert [i for i, *_ in ids] == list(range(1, len(ids) + 1)) and ids == sorted(ids, key=lambda r: (r[1], r[2] or "", r[0]))
     rates = spark.createDataFrame([("nafn:efling", dt.date(2015, 1, 1), dt.date(2016, 1, 1), 2.5)], "union_key string, from_date date, to_date date, pct double")
-    out = str(tmp_path / "out")
-    B.publish(built, rates, months, months.limit(0), out, "https://d.example")
-    manifest = spark.read.json(f"{out}/index").first()
-    assert (manifest.haekkanir, manifest.felog, manifest.taxtahaekkanir) == (built.increases.count(), built.unions.count(), 1)
-    document = spark.read.json(f"{out}/felog").where("union_key = 'nafn:efling'").first()
-    assert [h.pct for h in document.haekkanir] == [3.5, 2.5, 3.0, 2.0, 2.75] and len(document.taxtahaekkanir) == 1
-    years = spark.read.json(f"{out}/ar/haekkanir")
-    assert years.count() == built.increases.count() and set(spark.read.json(f"{out}/ar/fjoldi").columns) == {"ar", "fjoldi"}
-    assert spark.read.json(f"{out}/felog_skra").where("slod = 'https://d.example/felog/efling.json'").count() == 1
+    out = tmp_path / "out"
+    folder = Path(B.publish(built, rates, months, months.limit(0), str(out), "https://d.example"))
+    told = json.loads((out / "index.json").read_text())
+    assert told["utgafa"] == folder.name
+    assert (told["tolur"]["haekkanir"], told["tolur"]["felog"], told["tolur"]["taxtahaekkanir"]) == (built.increases.count(), built.unions.count(), 1)
+    assert told["tolur"]["ar"] == [2015, 2019]
+    assert {f.stem for f in (folder / "felog").iterdir()} == {r.slug for r in built.unions.collect()}
+    document = json.loads((folder / "felog" / "efling.json").read_text())
+    assert [h["prosenta"] for h in document["haekkanir"]] == [3.5, 2.5, 3.0, 2.0, 2.75]
+    assert document["taxtahaekkanir"] == [{"fra_dags": "2015-01-01", "prosenta": 2.5, "til_dags": "2016-01-01"}]
+    assert {k: document[k] for k in ("audkenni", "felag", "fyrsta", "sidasta", "fjoldi_haekkana", "heilleiki")} == {
+        "audkenni": "efling", "felag": "Efling", "fyrsta": "2015-01-01", "sidasta": "2019-04-01", "fjoldi_haekkana": 5, "heilleiki": "samfelld"}
+    assert document["adalsamningur"]["motadili"] == "sa" and document["adalsamningur"]["heiti"]
+    assert len(document["samningar"]) == document["fjoldi_samninga"]
+    line = document["samningar"][0]
+    assert sorted(line) == sorted(["motadili", "motadili_heiti", "tegund", "adalsamningur", "erft_fra", "fjoldi_haekkana", "fyrsta", "sidasta", "samfelld_fra",
+                                   "samfelld_ar", "eldri_eydur", "heilleiki", "haekkanir"])
+    assert line["adalsamningur"] is True and line["erft_fra"] is None and line["haekkanir"] == document["haekkanir"]
+    assert sorted(line["haekkanir"][0]) == sorted(B.ROW_FIELDS)
+    years = spark.read.json(f"{folder}/ar/haekkanir")
+    assert years.count() == built.increases.count() and set(spark.read.json(f"{folder}/ar/fjoldi").columns) == {"ar", "fjoldi"}
+    assert spark.read.json(f"{folder}/felog_skra").where(f"slod = 'https://d.example/{folder.name}/felog/efling.json'").count() == 1
+    # a run that stops on its way leaves the publication as it was
+    with pytest.raises(Exception, match="lost"):
+        broken = rates.withColumn("pct", F.raise_error(F.lit("lost")).cast("double"))
+        B.publish(built, broken, months, months.limit(0), str(out), "https://d.example")
+    assert json.loads((out / "index.json").read_text()) == told and (folder / "felog" / "efling.json").exists()
     report = B.check(built, months, months.limit(0), F.lit(dt.date(2026, 7, 1)))
     failed = {r.check for r in report.collect() if not r.passed}
     assert failed == {"vísitala neysluverðs til"}
@@ -120,6 +140,37 @@ def test_slugs_are_given_in_order(spark, names, slugs):
     assert [got[i] for i in range(len(names))] == slugs
 
 
+def plain_slugs(slugs):
+    taken, out = set(), []
+    for base in slugs:
+        told, n = base, 2
+        while told in taken:
+            told, n = f"{base}-{n}", n + 1
+        taken.add(told)
+        out.append(told)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_slugs_are_those_of_one_pass(spark, seed):
+    """Runs of numbered names before, between and after the name itself, and names with two numbers."""
+    rng = random.Random(seed)
+    names = [rng.choice(["A"] * 6 + [f"A {i}" for i in range(2, 40)] + ["A 2 2", "A 2 3", "A 3 2", "A 1", "B 2", "B"]) for _ in range(rng.choice([60, 300]))]
+    names += [f"D {i}" for i in range(2, 60)] + ["D"] * 5 + [f"E {i}" for i in range(2, 9)] * 2 + ["E"] * 30
+    df = spark.createDataFrame(list(enumerate(names)), "i long, name string")
+    got = {r.i: r.slug for r in sinks.with_slugs(df, "name", "i", block=7).collect()}
+    assert [got[i] for i in range(len(names))] == plain_slugs([n.lower().replace(" ", "-") for n in names])
+
+
+def test_one_name_beside_a_large_number(spark):
+    """A name that is a large number of another is no reason to go through that one's rows."""
+    df = spark.range(200_000).select(F.col("id").alias("i"), F.when(F.col("id") == 5, "felag 90000").otherwise("felag").alias("name"))
+    got = sinks.with_slugs(df, "name", "i", block=1000)
+    assert got.select("slug").distinct().count() == 200_000
+    some = {r.i: r.slug for r in got.where("i in (0, 1, 5, 89999, 90000, 199999)").collect()}
+    assert some == {0: "felag", 1: "felag-2", 5: "felag-90000", 89999: "felag-89999", 90000: "felag-90001", 199999: "felag-200000"}
+
+
 def test_slugs_of_many_names_are_unique(spark):
     rng = random.Random(9)
     names = [rng.choice(["A", "A 2", "A 3", "A 2 2", "B", "", "C 7", "C"]) for _ in range(400)]
@@ -183,6 +234,21 @@ def test_intake_reads_each_document_once(spark, tmp_path):
     assert found() == [("u1", 3.5), ("u3", 2.5), ("u4", 4.5)]
 
 
+def test_intake_knows_by_its_state_what_it_has_read(spark, tmp_path):
+    """The manifest is not read while there is progress: without it known URLs and contents are skipped all the same."""
+    text = "2. gr. Launahækkanir. Laun hækka um {}% þann 1. apríl 2015."
+
+    def put(name, rows):
+        spark.createDataFrame([(u, text.format(p), dt.date(2015, 1, 1), None) for u, p in rows], intake.SCHEMA).write.parquet(str(tmp_path / "in" / name))
+        intake.read_new_documents(spark, str(tmp_path / "in" / "*"), str(tmp_path / "out")).awaitTermination()
+
+    put("x=1", [("u1", "3,5"), ("u2", "2,5"), ("u3", "2,5"), (None, "1,5")])
+    (tmp_path / "out" / "manifest").rename(tmp_path / "away")
+    put("x=2", [("u1", "4,5"), ("u4", "3,5"), ("", "5,5"), (None, "6,5"), ("u5", "7,5")])
+    got = sorted(r.pct for r in spark.read.parquet(str(tmp_path / "out" / "increases")).select("pct").collect())
+    assert got == [1.5, 2.5, 3.5, 5.5, 6.5, 7.5]
+
+
 def test_csv_with_mark_and_blank_rows(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_bytes("﻿felag,prosenta\nEfling,3.5\n,\n\"VR, \"\"x\"\"\",\n".encode())
