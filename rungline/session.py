@@ -55,11 +55,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/rows-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_cut(df: DataFrame) -> None:
-    """Deletes the files behind a table that ``cut_lineage`` gave, once nothing reads it any more."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
