@@ -25,9 +25,9 @@ DEPTH, LEAST = 3, 10
 #: A word is very frequent from this share of all words and this count on; so there are at most as many of them as the share's inverse.
 SHARE, FREQUENT = 4096, 1 << 16
 #: Words after which the suffixes read so far are combined; a piece is never split.
-HELD = 1 << 20
-#: Phrases of a batch handed on.
-ROWS = 1 << 14
+HELD = 1 << 19
+#: Phrases of a batch handed on, bytes of a batch taken in: a block is a large row.
+ROWS, BATCH = 1 << 14, 1 << 22
 #: Suffixes a task sorts, about; with more of them there are more tasks.
 SORTED = 4_000_000
 
@@ -255,6 +255,8 @@ def _counted(routed: DataFrame, hot: frozenset[tuple[str, bytes]], least: int) -
 def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """``lang, words, phrase, f`` of all phrases of at most three words with ``f >= least``, and ``lang, n`` (its words)."""
     spark = docs.sparkSession
+    # a bound of bytes, which only makes batches smaller, whatever else the session runs
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
     blocks = common.written(suffixes(docs), "suffixes")
     total = blocks.groupBy("lang").agg(F.sum("words").alias("n"))
     words, rows = blocks.agg(F.coalesce(F.sum("words"), F.lit(0)), F.coalesce(F.sum(F.length("counts") / 4), F.lit(0))).first()
