@@ -300,6 +300,7 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = LEAST, covered:
     kept = (scored.join(inner, (F.col("lang") == F.col("__il")) & (F.col("phrase") == F.col("__ip")), "left")
             .where(F.coalesce(F.col("__longer") * 100 < F.col("a") * covered, F.lit(True))))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("best.score"), F.desc("a"), "phrase"))
-    return (kept.withColumn("rank", place.cast("long")).where(F.col("rank") <= top)
+    # as a plain row number, so that each task passes on a language's first ones only
+    return (kept.withColumn("rank", place).where(F.col("rank") <= top)
             .join(total.select(F.col("lang").alias("__nl"), "n"), F.col("lang") == F.col("__nl"))
-            .select("lang", "rank", "phrase", "a", "best.l", "best.r", "n", F.col("best.score").cast("long").alias("score")))
+            .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "best.l", "best.r", "n", F.col("best.score").cast("long").alias("score")))
