@@ -31,6 +31,8 @@ ROWS, BATCH = 1 << 14, 1 << 22
 #: Suffixes a task sorts, about; with more of them there are more tasks.
 SORTED = 4_000_000
 
+#: Parts of a language that are ranked each by itself first.
+PARTS = 64
 #: Bytes of a text that are split into words at once.
 SLAB = 1 << 24
 
@@ -299,8 +301,10 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = LEAST, covered:
         .groupBy(F.col("lang").alias("__il"), F.col("phrase").alias("__ip")).agg(F.max("f").alias("__longer")))
     kept = (scored.join(inner, (F.col("lang") == F.col("__il")) & (F.col("phrase") == F.col("__ip")), "left")
             .where(F.coalesce(F.col("__longer") * 100 < F.col("a") * covered, F.lit(True))))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("best.score"), F.desc("a"), "phrase"))
-    # as a plain row number, so that each task passes on a language's first ones only
-    return (kept.withColumn("rank", place).where(F.col("rank") <= top)
+    # first within parts of a language, so that one task reads at most PARTS times as many phrases as are told
+    order = [F.desc("best.score"), F.desc("a"), F.col("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    some = kept.withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
+    return (some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
             .join(total.select(F.col("lang").alias("__nl"), "n"), F.col("lang") == F.col("__nl"))
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "best.l", "best.r", "n", F.col("best.score").cast("long").alias("score")))
