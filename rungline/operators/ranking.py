@@ -78,7 +78,8 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, alias: str,
     """Exact median per key where a key may hold any number of distinct values.
 
     A histogram per key finds the one or two bins that hold the middle ranks;
-    only the values in those bins are then ranked, after counting equal ones.
+    only the values in those bins are then ranked, after counting equal ones. Either side of
+    that join grows with the keys, so none is broadcast, however small Spark takes its source to be.
     """
     keys = list(keys)
     bins = F.floor(F.col(value) * steps_per_unit)
@@ -99,7 +100,7 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, alias: str,
     in_bin = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranked = (
-        values.join(middle, [*keys, "_bin"])
+        values.join(middle.hint("merge"), [*keys, "_bin"])
         .withColumn("_upto", F.col("_before") + F.sum("_n").over(in_bin))
         .withColumn("_from", F.col("_upto") - F.col("_n") + 1)
     )

@@ -192,7 +192,7 @@ def rate_changes(changes: DataFrame, document: str = "doc_id", minimum: int = 3,
         F.count(F.lit(1)).alias("measurements"), (F.max("change") - F.min("change")).alias("_spread"))
     return (
         spread.where(F.col("measurements") >= minimum)
-        .join(grouped_median(kept, keys, "change", "_median"), keys)
+        .join(grouped_median(kept, keys, "change", "_median").hint("merge"), keys)
         .select(*keys, T.round_places(F.col("_median")).alias("pct"),
                 T.round_places(F.col("_spread")).alias("spread"),
                 F.when(F.col("_spread") <= 0.5, 1).otherwise(0).alias("consistent"), "measurements")
