@@ -92,8 +92,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all shuffle partitions; the given tables are single small files, which one task reads."""
-    return df.repartition(key)
+    """Rows over all shuffle partitions; the given tables are single small files, which one task reads.
+
+    The number is named, or adaptive execution would join partitions by their bytes: a few megabytes of keys become texts that take minutes.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

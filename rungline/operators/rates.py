@@ -57,13 +57,13 @@ def _returns(rows: DataFrame, ident: str) -> DataFrame:
     after = blocks.select(*part, "_grade", "_block", F.lead("_first").over(
         Window.partitionBy(*part, "_grade").orderBy("_block")).alias("_after"))
     inside = Window.partitionBy(*part, "_grade", "_block").orderBy("line_no")
-    back = rated.join(after, [*part, "_grade", "_block"]).select(
+    back = rated.join(after.hint("merge"), [*part, "_grade", "_block"]).select(
         *part, "_block", "line_no", F.coalesce(F.lead("line_no").over(inside), "_after").alias("_back"))
     least = back.groupBy(*part, "_block").agg(F.min("_back").alias("_least"))
     below = Window.partitionBy(*part).orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
     later = least.select(*part, "_block", F.min("_least").over(below).alias("_later"))
     here = Window.partitionBy(*part, "_block").orderBy(F.desc("line_no")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (back.join(later, [*part, "_block"])
+    return (back.join(later.hint("merge"), [*part, "_block"])
             .select(*part, "line_no", F.least(F.min("_back").over(here), F.col("_later")).alias("_next")).where("_next is not null"))
 
 
@@ -78,12 +78,12 @@ def _restarts(rows: DataFrame, ident: str) -> DataFrame:
     jump = jump.drop("_headers")
     reached = first.select(ident, "line_no", F.lit(0).alias("_restart"))
     while True:
-        step = cut_lineage(reached.join(jump, [ident, "line_no"]).select(ident, F.col("_next").alias("line_no"), F.lit(1).alias("_restart")))
+        step = cut_lineage(reached.join(jump.hint("merge"), [ident, "line_no"]).select(ident, F.col("_next").alias("line_no"), F.lit(1).alias("_restart")))
         if step.isEmpty():
             return reached.where("_restart = 1")
         reached = reached.unionByName(step)
         further = jump.select(ident, F.col("line_no").alias("_next"), F.col("_next").alias("_further"))
-        jump = cut_lineage(jump.join(further, [ident, "_next"]).select(ident, "line_no", F.col("_further").alias("_next")))
+        jump = cut_lineage(jump.join(further.hint("merge"), [ident, "_next"]).select(ident, "line_no", F.col("_further").alias("_next")))
 
 
 def scan_wage_tables(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -92,9 +92,11 @@ def scan_wage_tables(docs: DataFrame, ident: str = "doc_id", text: str = "text")
     The effective date, unit and step headers are carried forward from the
     lines above; the table number rises with each new date, unit or header and
     when a grade comes back. Lines are handled in blocks: what a block takes over from those
-    before it comes from one row per block, so a long document is shared by several tasks.
+    before it comes from one row per block, so a long document is shared by several tasks. What
+    the lines say is kept, because it is read twice. All joins are by rows sorted on both sides: Spark's
+    size check takes the size of files, of which a few megabytes hold millions of short rows.
     """
-    lines = (table_lines(docs, ident, text).withColumn("_block", F.floor(F.col("line_no") / BLOCK))
+    lines = (cut_lineage(table_lines(docs, ident, text)).withColumn("_block", F.floor(F.col("line_no") / BLOCK))
              .withColumn("_is_header", F.col("_labels").isNotNull()).repartition(ident, "_block"))
     inside = Window.partitionBy(ident, "_block").orderBy("line_no")
     upto, above = (inside.rowsBetween(Window.unboundedPreceding, end) for end in (Window.currentRow, -1))
@@ -107,18 +109,18 @@ def scan_wage_tables(docs: DataFrame, ident: str = "doc_id", text: str = "text")
     value = lambda c, rows: F.coalesce(F.last(c, ignorenulls=True).over(rows), F.col(c + "_start"))
     changed = lambda c: F.when(F.col(c).isNotNull() & ~F.col(c).eqNullSafe(F.col(c + "_above")), 1).otherwise(0)
     state = (
-        lines.join(starts, [ident, "_block"])
+        lines.join(starts.hint("merge"), [ident, "_block"])
         .withColumns({c + "_now": value(c, upto) for c in carried} | {c + "_above": value(c, above) for c in carried[:2]}
                      | {"_headers": F.col("_headers_start") + F.count_if("_is_header").over(upto)})
         .withColumn("_new", changed("_date") + changed("_unit") + F.col("_is_header").cast("int"))
         .select(ident, "_block", "line_no", "_date_now", "_unit_now", "_labels_now", "_headers", "_grade", "_wages", "_new")
     )
     state = cut_lineage(state)
-    steps = state.join(_restarts(state, ident), [ident, "line_no"], "left").withColumn(
+    steps = state.join(_restarts(state, ident).hint("merge"), [ident, "line_no"], "left").withColumn(
         "_new", F.col("_new") + F.coalesce("_restart", F.lit(0))).drop("_restart")
     sums = steps.groupBy(ident, "_block").agg(F.sum("_new").alias("_n")).select(
         ident, "_block", F.coalesce(F.sum("_n").over(blocks), F.lit(0)).alias("_before"))
-    numbered = steps.join(sums, [ident, "_block"]).withColumn("_number", F.col("_before") + F.sum("_new").over(upto))
+    numbered = steps.join(sums.hint("merge"), [ident, "_block"]).withColumn("_number", F.col("_before") + F.sum("_new").over(upto))
     first = T.parse_wage(F.get(F.col("_wages"), F.lit(0)))
     unit = F.coalesce("_unit_now", F.when(first >= X.MONTHLY_FROM, X.UNIT_MONTHLY).otherwise(X.UNIT_HOURLY))
     number = F.col("_number")

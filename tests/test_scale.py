@@ -25,3 +25,18 @@ def test_rate_changes_broadcast_nothing(spark):
     changes = W.rate_changes(W.adjacent_change(rate_rows(spark)))
     assert "Broadcast" not in plan(changes)
     assert {(r.doc_id, r.pct, r.measurements) for r in changes.collect()} == {(0, 1.01, 20), (0, 1.0, 20), (1, 1.03, 20), (1, 1.02, 20)}
+
+
+TABLE = "Gildir frá 1. apríl 2020\nMánaðarlaun í dagvinnu\nLaunaflokkur 4   200.100  210.200\nlfl. 4  230.100  240.200\n"
+
+
+def test_wage_tables_broadcast_nothing(spark):
+    scan = W.scan_wage_tables(spark.range(30).select(F.col("id").alias("doc_id"), F.lit(TABLE).alias("text")))
+    assert "Broadcast" not in plan(scan)
+    assert scan.groupBy("table_no").count().orderBy("table_no").collect() == [(2, 60), (3, 60)]
+
+
+def test_texts_are_read_by_all_tasks(spark):
+    """Keys are few bytes; adaptive execution put the texts made of them into one task."""
+    rows = views.spread(spark.range(5000).toDF("k"), "k").withColumn("t", F.spark_partition_id())
+    assert rows.select("t").distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
