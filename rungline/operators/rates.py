@@ -148,7 +148,7 @@ def finish_tables(rows: DataFrame, contracts: DataFrame, ident: str = "doc_id")
     """Monthly wages only, each once per document; undated rows take the contract's start."""
     monthly = rows.where(F.col("unit") == X.UNIT_MONTHLY)
     once = keep_first(monthly, [ident, "table_no", "grade", "step_no", "wage"], [F.col("line_no")])
-    return (once.join(contracts.select(ident, F.col("valid_from").alias("_start")), ident, "left")
+    return (once.join(contracts.select(ident, F.col("valid_from").alias("_start")).hint("merge"), ident, "left")
             .withColumn("valid_from", F.coalesce("valid_from", "_start")).drop("_start"))
 
 

@@ -36,6 +36,16 @@ def test_wage_tables_broadcast_nothing(spark):
     assert scan.groupBy("table_no").count().orderBy("table_no").collect() == [(2, 60), (3, 60)]
 
 
+def test_contract_starts_are_not_broadcast(spark):
+    rows = spark.range(30).select(
+        F.col("id").alias("doc_id"), F.col("id").alias("line_no"), F.lit(None).cast("date").alias("valid_from"), F.lit(1).alias("table_no"),
+        F.lit(X.UNIT_MONTHLY).alias("unit"), F.lit("4").alias("grade"), F.lit(1).alias("step_no"), F.lit(200100.0).alias("wage"))
+    starts = spark.range(30).select(F.col("id").alias("doc_id"), F.lit("1999-01-01").cast("date").alias("valid_from"))
+    done = W.finish_tables(rows, starts)
+    assert "Broadcast" not in plan(done)
+    assert done.where("valid_from = '1999-01-01'").count() == 30
+
+
 def test_texts_are_read_by_all_tasks(spark):
     """Keys are few bytes; adaptive execution put the texts made of them into one task."""
     rows = views.spread(spark.range(5000).toDF("k"), "k").withColumn("t", F.spark_partition_id())
