@@ -4,6 +4,7 @@ All stay inside the JVM: no Python runs per row.
 """
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import reduce
 
@@ -14,19 +15,28 @@ from . import fixed as X
 
 
 # every character Unicode calls white space, as a plain character class
-SPACE = r"[ \t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# (letters, digits and signs are left out first, by two ranges instead of ten)
+_RARE = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = rf"[[^!-~\xa1-\u167f]&&[ {_RARE}]]"
+# the runs that are not a single blank already
+_TO_SQUEEZE = rf"[[^ -~\xa1-\u167f]&&[{_RARE}]]{SPACE}*+| {SPACE}++"
 
 
 def squeeze(col: Column) -> Column:
     """Runs of white space become one blank, the ends are trimmed."""
-    return F.trim(F.regexp_replace(col, SPACE + "+", " "))
+    return F.trim(F.regexp_replace(col, _TO_SQUEEZE, " "))
+
+
+# the letters and blanks an alternative begins with, without one that need not be there
+_BEGINNING = re.compile(r"(?:\\b)?([^\W\d_](?:[^\W\d_]| )*)(?![?*{])")
 
 
 def mentions(low: Column, pattern: str) -> Column:
     """Whether a lower-case text has a word of an alternation.
 
     Alternatives without any pattern syntax are searched as plain text, which
-    is several times faster than one large pattern.
+    is several times faster than one large pattern; patterns that begin with
+    plain text are tried only where that occurs.
     """
     body = pattern.removeprefix(X.LOWER)
     words, patterns, depth, start = [], [], 0, 0
@@ -38,8 +48,11 @@ def mentions(low: Column, pattern: str) -> Column:
     # one small loop over a literal list: spelled out, the generated code of a
     # stage grows past what the JVM compiles
     tests = [F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low, w))] if words else []
-    if patterns:
-        tests.append(low.rlike(X.LOWER + "|".join(patterns)))
+    begun = [(p, _BEGINNING.match(p)) for p in patterns]
+    tests += [F.contains(low, F.lit(m[1])) & low.rlike(X.LOWER + p) for p, m in begun if m]
+    others = [p for p, m in begun if not m]
+    if others:
+        tests.append(low.rlike(X.LOWER + "|".join(others)))
     return reduce(lambda a, b: a | b, tests)
 
 
@@ -294,7 +307,7 @@ def classify_basis(context: Column) -> Column:
     def first_pattern(low: Column) -> Column:
         chain = None
         for name, pattern in X.BASIS_PATTERNS:
-            hit = low.rlike(pattern)
+            hit = mentions(low, pattern)
             chain = F.when(hit, name) if chain is None else chain.when(hit, name)
         return chain.otherwise(X.BASIS_UNSPECIFIED)
 
