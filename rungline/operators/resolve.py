@@ -159,12 +159,12 @@ def find_company(texts: DataFrame, stems: DataFrame, text: str = "text") -> Data
     distinct = texts.select(text).where(T.not_blank(F.col(text))).distinct()
     words = F.split(F.trim(F.regexp_replace(T.ascii_fold(F.col(text)), "[^a-z0-9]+", " ")), " ")
     told = distinct.select(text, F.explode(F.array_distinct(F.filter(words, lambda w: F.length(w) >= X.STEM_CHARS))).alias("word"))
-    stems = cut_lineage(stems)
+    told, stems = cut_lineage(told), cut_lineage(stems)
     innermost = beginnings(told.select("word").distinct(), stems.select("stem")).select(
-        "word", F.try_element_at("stems", F.lit(-1)).alias("stem")).join(stems, "stem")
+        "word", F.try_element_at("stems", F.lit(-1)).alias("stem")).join(stems.hint("merge"), "stem")
     longest = F.max_by(F.struct("company_id", "company_name"),
                        F.struct(F.length("stem"), F.col("stem")))
-    return told.join(innermost, "word").groupBy(text).agg(longest.alias("_found")).select(
+    return told.join(innermost.hint("merge"), "word").groupBy(text).agg(longest.alias("_found")).select(
         text, "_found.company_id", "_found.company_name")
 
 
@@ -174,23 +174,28 @@ def counterparty_from_document(df: DataFrame, stems: DataFrame | None = None,
     """Adds ``counterparty`` and its name: rules on the parties and the file name,
     then companies by stem in the same order, then the site's owner, else unknown.
 
-    Decided once per distinct set of texts.
+    The rules are tried once per distinct text, the rest is decided once per distinct set of texts.
     """
     named = df.withColumn("_file", T.file_name(F.col(document)))
     for f in fields:
         named = named.withColumn(f, F.coalesce(f, F.lit("")))
     tried = [*fields, "_file"]
-    texts = named.select(*tried).distinct()
-    known = T.with_values(texts, _id=F.coalesce(*[T.classify_counterparty(F.col(c)) for c in tried]))
+    texts = cut_lineage(named.select(*tried).distinct())
+    ids = cut_lineage(T.with_values(texts.select(F.explode(F.array(*tried)).alias("_text")).distinct(),
+                                    _known=T.classify_counterparty(F.col("_text"))).where("_known is not null"))
+    known = texts
+    for c in tried:
+        known = known.join(ids.select(F.col("_text").alias(c), F.col("_known").alias(f"_known_{c}")).hint("merge"), c, "left")
+    known = cut_lineage(known.select(*tried, F.coalesce(*[f"_known_{c}" for c in tried]).alias("_id")))
     if stems is not None:
-        asked = known.where("_id is null").select(*tried, F.posexplode(F.array(*tried)).alias("_pos", "_text"))
-        found = asked.join(find_company(asked, stems, "_text"), "_text").groupBy(*tried).agg(
+        asked = known.where("_id is null").select(*tried, F.posexplode(F.array(*tried)).alias("_pos", "_text")).where(T.not_blank(F.col("_text")))
+        found = asked.join(find_company(asked, stems, "_text").hint("merge"), "_text").groupBy(*tried).agg(
             F.min(F.struct("_pos", "company_id", "company_name")).alias("_company"))
-        known = known.join(found, tried, "left").select(
+        known = known.join(found.hint("merge"), tried, "left").select(
             *tried, F.coalesce("_id", "_company.company_id").alias("_id"), F.col("_company.company_name").alias("_name"))
     else:
         known = known.withColumn("_name", F.lit(None).cast("string"))
-    answered = join_lookup(named, known, tried)
+    answered = join_lookup(named, known.hint("merge"), tried)
     owner = T.lookup(F.col(site), X.COUNTERPARTY_SITES)
     return (
         answered.withColumn("counterparty", F.coalesce("_id", owner, F.lit(X.UNKNOWN_COUNTERPARTY)))

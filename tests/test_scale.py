@@ -66,3 +66,16 @@ def test_squeeze_and_mentions_as_before(spark):
     df = spark.createDataFrame([(t,) for t in said], "t string")
     for p in patterns:
         assert df.where(T.mentions(F.col("t"), p) != F.col("t").rlike(p)).count() == 0, p
+
+
+def test_rules_are_tried_once_per_text(spark, monkeypatch):
+    """A text that many sets of texts share is classified in one place, whatever stands beside it."""
+    tried = []
+    classify = T.classify_counterparty
+    monkeypatch.setattr(T, "classify_counterparty", lambda c: tried.append(str(c)) or classify(c))
+    docs = spark.createDataFrame([(1, "Samtaka atvinnulífsins", None, "x/skjal.pdf", "vefur"), (2, None, "Samtaka atvinnulífsins", "x/skjal.pdf", "vefur"),
+                                  (3, "Félag 1", "Félag 2", "x/kalfur-rvk-loka.pdf", "sa"), (4, "", "Félag 2", None, "sa"), (5, None, None, None, None)],
+                                 "row_id int, party_1 string, party_2 string, document string, site string")
+    found = {r.row_id: r.counterparty for r in R.counterparty_from_document(docs).collect()}
+    assert found == {1: "sa", 2: "sa", 3: "reykjavikurborg", 4: "sa", 5: X.UNKNOWN_COUNTERPARTY}
+    assert len(tried) == 1
