@@ -56,7 +56,7 @@ def test_squeeze_and_mentions_as_before(spark):
     ranges = ((9, 13), (0x1c, 0x20), (0x85, 0x85), (0xa0, 0xa0), (0x1680, 0x1680), (0x2000, 0x200a), (0x2028, 0x2029), (0x202f, 0x202f), (0x205f, 0x205f), (0x3000, 0x3000))
     spaces = [chr(c) for low, high in ranges for c in range(low, high + 1)]
     old = F.trim(F.regexp_replace("t", r"[ \t-\r\x1c-\x1f\x85\xa0  -     　]+", " "))
-    texts = [a + s + u + b for s in spaces for u in ("", " ", "\t ", "\xa0") for a, b in (("", "á"), ("x!", "~b"), ("ð ", " \xa1"), ("\u1681", "\u200b")))]
+    texts = [a + s + u + b for s in spaces for u in ("", " ", "\t ", "\xa0") for a, b in (("", "á"), ("x!", "~b"), ("ð ", " \xa1"), ("\u1681", "\u200b"))]
     df = spark.createDataFrame([(t,) for t in [*texts, "", " ", "a b", "a  b"]], "t string")
     assert df.where(~T.squeeze(F.col("t")).eqNullSafe(old)).count() == 0
     patterns = [X.WAGE_WORD, X.CHANGE_WORD, X.EXCLUDED_PAYMENT, X.WAGE_LEVEL, X.FUND_FEE, X.ENTITLEMENT_SHARE, *[p for _, p in X.BASIS_PATTERNS]]
