@@ -191,7 +191,8 @@ def q_approved(spark, sf):
     decisions = orders.select(F.col("o_orderkey").alias("id"), F.expr(
         "CASE WHEN o_orderstatus = 'F' THEN 'samthykkt' ELSE 'hafnad' END").alias("decision"))
     done = orders.where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("id"))
-    increases, none = V.split_proposals(V.not_applied(V.approved(good, decisions), done))
+    # kept, as both parts read it: the forms are parsed once
+    increases, none = V.split_proposals(cut_lineage(V.not_applied(V.approved(good, decisions), done)))
     return increases.unionByName(none).select("id", "kind")
 
 

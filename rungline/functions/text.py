@@ -404,15 +404,19 @@ def extract_validity(text: Column, name: Column) -> Column:
 
 def parse_form(body: Column) -> Column:
     """Sections of a ``### Heading`` form as a map from field to value."""
-    def fields(sections: Column) -> Column:
-        entries = []
-        for heading, field in X.FORM_HEADINGS.items():
-            last = F.try_element_at(F.filter(sections, lambda s, i: (i > 0) & F.startswith(s, F.lit(heading))
-                                             & (F.trim(F.substring_index(s, "\n", 1)) == heading)), F.lit(-1))
-            value = F.regexp_replace(F.regexp_replace(last, r"^[^\n]*\n?", ""), r"(?U)^\s+|\s+$", "")
-            entries.append(F.when(last.isNotNull(), F.struct(
-                F.lit(field).alias("key"),
-                F.when(value == X.FORM_NO_RESPONSE, "").otherwise(value).alias("value"))))
-        return F.map_from_entries(F.array_compact(F.array(*entries)))
-
-    return once(F.split(F.concat(F.lit("\n"), F.coalesce(body, F.lit(""))), r"\n###\s+"), fields)
+    def value(section: Column) -> Column:
+        after = F.substr(section, F.length(F.substring_index(section, "\n", 1)) + 2)
+        return once(F.regexp_replace(after, r"(?U)^\s+|\s+$", ""), lambda v: F.when(v == X.FORM_NO_RESPONSE, "").otherwise(v))
+
+    def fields(known: Column) -> Column:
+        # of several sections with one heading the last counts
+        last = F.filter(known, lambda s, i: ~F.exists(F.slice(known, i + 2, F.size(known)), lambda later: later["key"] == s["key"]))
+        return F.map_from_entries(F.transform(last, lambda s: F.struct(s["key"].alias("key"), value(s["section"]).alias("value"))))
+
+    def headed(sections: Column) -> Column:
+        found = F.transform(F.slice(sections, 2, F.size(sections)), lambda s: F.struct(
+            lookup(F.rtrim(F.substring_index(s, "\n", 1)), X.FORM_HEADINGS).alias("key"), s.alias("section")))
+        return F.filter(found, lambda s: s["key"].isNotNull())
+
+    # each section's heading is read once, and only the values that are kept are worked out
+    return once(once(F.split(F.concat(F.lit("\n"), F.coalesce(body, F.lit(""))), r"\n###\s+"), headed), fields)

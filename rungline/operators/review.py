@@ -283,14 +283,12 @@ def validate_proposals(forms: DataFrame, basis_ok: Sequence[str] = tuple(X.BASIS
     days = F.regexp_extract_all(F.coalesce("eyda", F.lit("")), F.lit(r"(\d{4}-\d{2}-\d{2})"), F.lit(1))
     pct, amount = _values(currency=True)
     written = F.trim(F.coalesce("dagsetning", F.lit("")))
-    rows = (
-        forms.withColumn("gap_from", F.try_element_at(days, F.lit(1)))
-        .withColumn("gap_to", F.try_element_at(days, F.lit(2)))
-        .withColumn("pct", pct).withColumn("amount", amount).withColumn("basis", _basis())
-        .withColumn("kind", F.when(F.startswith(F.coalesce("tegund", F.lit("")), F.lit(X.FORM_NO_INCREASE)), X.PROPOSAL_NONE)
-                    .otherwise(X.PROPOSAL_INCREASE))
-        .withColumn("date", written)
-    )
+    # worked out once per row: copied into the checks, the patterns would be tried for each of them
+    dated = T.with_values(forms, _days=days)
+    rows = T.with_values(
+        dated, gap_from=F.try_element_at("_days", F.lit(1)), gap_to=F.try_element_at("_days", F.lit(2)), pct=pct, amount=amount, basis=_basis(),
+        kind=F.when(F.startswith(F.coalesce("tegund", F.lit("")), F.lit(X.FORM_NO_INCREASE)), X.PROPOSAL_NONE).otherwise(X.PROPOSAL_INCREASE),
+        date=written).drop("_days")
     shape = _first_error([
         (F.col("gap_to").isNull(), "eyða þarf tvær dagsetningar"),
         (~T.not_blank(F.coalesce("felag", F.lit(""))), "félag vantar"),
@@ -306,7 +304,7 @@ def validate_proposals(forms: DataFrame, basis_ok: Sequence[str] = tuple(X.BASIS
 
 def approved(proposals: DataFrame, decisions: DataFrame, ident: str = "id") -> DataFrame:
     yes = decisions.where(F.col("decision") == X.APPROVED).select(ident).distinct()
-    return proposals.join(yes, ident, "left_semi")
+    return proposals.join(yes.hint("merge"), ident, "left_semi")
 
 
 def split_proposals(accepted: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -316,7 +314,7 @@ def split_proposals(accepted: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def not_applied(proposals: DataFrame, applied: DataFrame, ident: str = "id") -> DataFrame:
-    return proposals.join(applied.select(ident).distinct(), ident, "left_anti")
+    return proposals.join(applied.select(ident).distinct().hint("merge"), ident, "left_anti")
 
 
 def attach_main(df: DataFrame, unions: DataFrame, key: str = "union_key",
