@@ -52,13 +52,14 @@ def q_common_text(spark, sf):
 
 def q_contracts(spark, sf):
     """Names as the register has them: the holder in two spellings."""
-    contracts = (
-        view(spark, sf, "v_contract")
-        .withColumn("_name", F.expr(NAME))
-        .select("contract_id", "counterparty", "fra", "til",
-                T.normalize_union(F.concat("_name", F.lit(" stéttarfélag"))).alias("holder_norm"),
-                F.lower(F.concat(F.lit("Stéttarfélagið "), "_name", F.lit(" ; "), "_name")).alias("holder_raw"))
-    )
+    rows = view(spark, sf, "v_contract")
+    # a union has many contracts: its name is written in both spellings once, by all tasks, and what the look-ups read several times is kept
+    unions = spread(rows.select("union_key").distinct(), "union_key").withColumn("_name", F.expr(NAME))
+    named = cut_lineage(unions.select(
+        "union_key", T.normalize_union(F.concat("_name", F.lit(" stéttarfélag"))).alias("holder_norm"),
+        F.lower(F.concat(F.lit("Stéttarfélagið "), "_name", F.lit(" ; "), "_name")).alias("holder_raw")))
+    contracts = cut_lineage(rows.join(named.hint("merge"), rows["union_key"].eqNullSafe(named["union_key"]), "left")
+                            .select("contract_id", "counterparty", "fra", "til", "holder_norm", "holder_raw"))
     main = main_rows(spark, sf)
     asked = cut_lineage(gaps(main).join(main.select("union_key", "main_counterparty").distinct(), "union_key")
                         .withColumn("union_norm", T.normalize_union(F.expr(NAME))))

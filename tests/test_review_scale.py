@@ -39,3 +39,17 @@ def test_parse_form_as_before(spark):
     got = {r.i: r.f for r in df.select("i", T.parse_form(F.col("body")).alias("f")).collect()}
     assert got == {0: {"felag": "B"}, 1: {"felag": "", "kronur": ""}, 2: {"tegund": "Engin\nhækkun"}, 3: {"eyda": "þá"}, 4: {}, 5: {}, 6: {}, 7: {},
                    8: {"samningur": "", "heimild": "_No response_ x"}}
+
+
+def test_union_names_are_written_once(spark, tmp_path, monkeypatch):
+    """The look-ups read the contracts several times; each time all contracts' names were written anew, by the few tasks that read the file."""
+    rows = [(k, 3 * (k % 5) + 1 - (k % 5) % 2, datetime.datetime(1992 + k % 3 * 3, 1 + k % 12, 5), "O", "1-URGENT") for k in range(1, 400)]
+    seen = []
+    real = V.contracts_in_gap
+    monkeypatch.setattr(V, "contracts_in_gap", lambda asked, contracts, **kw: seen.append(contracts) or real(asked, contracts, **kw))
+    Q.q_contracts(spark, orders(spark, tmp_path, rows + [(400, None, datetime.datetime(1995, 1, 1), "O", None)]))
+    assert "regexp_replace" not in plan(seen[0]) and "concat" not in plan(seen[0])
+    names = {(r.holder_norm, r.holder_raw) for r in seen[0].where("contract_id <> 400").collect()}
+    assert len(names) == 5 and all(raw.startswith("stéttarfélagið ") and raw.endswith(" ; " + norm) for norm, raw in names)
+    assert [(r.holder_norm, r.holder_raw) for r in seen[0].where("contract_id = 400").collect()] == [("", None)]
+    assert seen[0].count() == 400
