@@ -13,6 +13,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows by their keys over all shuffle partitions, for a window over the same keys.
+
+    The number is named, or adaptive execution would join partitions by their compressed bytes: short rows
+    that pack well would be sorted by the millions in one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """The first ``k`` rows per key. Spark keeps at most k per key and map task."""
     window = Window.partitionBy(*keys).orderBy(*order)

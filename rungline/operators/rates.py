@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed as X
 from ..functions import text as T
 from ..session import cut_lineage
-from .ranking import grouped_median, keep_first
+from .ranking import dealt, grouped_median, keep_first
 
 
 # ------------------------------------------------------------------ scanner
@@ -159,7 +159,7 @@ def check_steps(df: DataFrame, keys: Sequence[str] = ("doc_id", "table_no", "gra
     """Remark on a wage lower than an earlier step of the same grade."""
     earlier = (Window.partitionBy(*keys).orderBy(step)
                .rowsBetween(Window.unboundedPreceding, -1))
-    return df.withColumn("remark", F.when(F.col(wage) < F.max(wage).over(earlier), X.STEP_REMARK).otherwise(""))
+    return dealt(df, keys).withColumn("remark", F.when(F.col(wage) < F.max(wage).over(earlier), X.STEP_REMARK).otherwise(""))
 
 
 def valid_rates(df: DataFrame, date: str = "valid_from") -> DataFrame:
@@ -178,7 +178,7 @@ def adjacent_change(df: DataFrame, keys: Sequence[str] = ("doc_id", "grade", "st
     line = Window.partitionBy(*keys).orderBy(date)
     previous = F.lag(wage).over(line)
     return (
-        one.withColumn("from_date", F.lag(date).over(line)).withColumn("_before", previous)
+        dealt(one, keys).withColumn("from_date", F.lag(date).over(line)).withColumn("_before", previous)
         .where("_before > 0")
         .select(*keys, "from_date", F.col(date).alias("to_date"),
                 ((F.col(wage) / F.col("_before") - 1) * 100).alias("change"))

@@ -53,3 +53,14 @@ def test_union_names_are_written_once(spark, tmp_path, monkeypatch):
     assert len(names) == 5 and all(raw.startswith("stéttarfélagið ") and raw.endswith(" ; " + norm) for norm, raw in names)
     assert [(r.holder_norm, r.holder_raw) for r in seen[0].where("contract_id = 400").collect()] == [("", None)]
     assert seen[0].count() == 400
+
+
+def test_rates_are_dealt_to_all_tasks(spark):
+    """Short rows pack well; adaptive execution put those of many documents into a few tasks, where all were sorted."""
+    rates = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit(2020).alias("table_no"), (F.col("id") % 7).alias("grade"), F.explode(F.array(*map(F.lit, (1, 2)))).alias("step_no"),
+                                     F.lit("2020-01-01").cast("date").alias("valid_from"), F.lit(300000.0).alias("wage"), F.lit(1).alias("row_id"))
+    rates = rates.unionByName(rates.withColumn("valid_from", F.lit("2021-01-01").cast("date")).withColumn("wage", F.lit(303000.0)).withColumn("row_id", F.lit(2)))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for rows, count in ((W.check_steps(rates, ("doc_id", "table_no", "grade", "valid_from")), 16000), (W.adjacent_change(rates), 8000)):
+        tasks = [r.n for r in rows.withColumn("t", F.spark_partition_id()).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert len(tasks) == n and sum(tasks) == count
