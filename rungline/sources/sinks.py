@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import time
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -212,8 +213,20 @@ class _DocumentWriter(DataSourceWriter):
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         files, folder = _file_system(self.staged)
-        if files.get_file_info(folder).type != FileType.NotFound:
-            files.delete_dir(folder)
+        gone = 0
+        for _ in range(50):  # tasks that are just being ended may still write: until it stays away
+            try:
+                if files.get_file_info(folder).type == FileType.NotFound:
+                    gone += 1
+                else:
+                    gone = 0
+                    files.delete_dir(folder)
+            except OSError:
+                gone = 0
+            if gone == 3:
+                return
+            time.sleep(0.1)
+        raise OSError(f"still written to: {self.staged}")
 
 
 def _file_system(path: str) -> tuple[FileSystem, str]:
