@@ -25,8 +25,11 @@ def _power(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def anchors(text: bytes, window: int = 400, gram: int = 200) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``at, first, last, code``: each anchor, the first and last window start that picks it, and its hash."""
+def anchors(text: bytes | np.ndarray, window: int = 400, gram: int = 200) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``at, first, last, code``: each anchor, the first and last window start that picks it, and its hash.
+
+    A text may also be an array of unsigned 64-bit hashes, one per symbol (for instance per word); all lengths then count symbols.
+    """
     out = [_part(text, p, min(p + _PART, len(text) - window + 1), window, gram) for p in range(0, len(text) - window + 1, _PART)]
     if not out:
         return (*[np.zeros(0, dtype=np.int64)] * 3, np.zeros(0, dtype=np.uint64))
@@ -38,11 +41,14 @@ def anchors(text: bytes, window: int = 400, gram: int = 200) -> tuple[np.ndarray
     return at, first, last, code
 
 
-def _part(text: bytes, start: int, end: int, window: int, gram: int) -> tuple[np.ndarray, ...]:
-    raw = np.frombuffer(text, dtype=np.uint8)[start:end + window - 1]
-    n, width = len(raw), window - gram + 1
+def _part(text: bytes | np.ndarray, start: int, end: int, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    if isinstance(text, bytes):
+        letters = _LETTERS[np.frombuffer(text, dtype=np.uint8)[start:end + window - 1]]
+    else:
+        letters = text[start:end + window - 1]
+    n, width = len(letters), window - gram + 1
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_LETTERS[raw] * _power(_BASE, n), out=sums[1:])
+    np.cumsum(letters * _power(_BASE, n), out=sums[1:])
     grams = n - gram + 1
     code = (sums[gram:] - sums[:grams]) * _power(_INVERSE, grams)
     code ^= code >> np.uint64(31)

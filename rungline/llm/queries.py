@@ -59,7 +59,7 @@ def q_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.digests(common.documents(spark, sf_dir))
+    return suffixes.digests(common.documents(spark, sf_dir), suffixes.WORDS)
 
 
 def q_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,8 @@ WINDOW, GRAM = 400, 100
 #: Words of a passage that stays, at most, and the fewest bytes a longer one can have: 51 words of one byte and the blanks between.
 WORDS = 50
 PASSAGE, PASSAGE_GRAM = 2 * WORDS + 1, 40
+#: Words of the gram by which documents that share a passage of words meet.
+WORD_GRAM = 10
 #: Window starts a cell spans, level by level; a cell of one start has equal contexts by itself.
 CELLS = (25, 5, 1)
 #: Different contexts of a cell that are sorted in one array; a cell with more is cut finer.
@@ -153,8 +155,16 @@ SHARE, OFTEN = 4096, 4096
 TOLD = 16
 
 
-def _anchored(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """Anchors of every text: ``doc_id, t, place, h`` (its bytes) and ``c`` (its whole context)."""
+def _words(raw: bytes) -> np.ndarray:
+    """A hash of each word, the words being what ASCII white space parts."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, raw.split()), np.uint64)
+
+
+def _anchored(docs: DataFrame, window: int, gram: int, words: bool = False) -> DataFrame:
+    """Anchors of every text: ``doc_id, t, place, h`` (its bytes) and ``c`` (its whole context).
+
+    With ``words`` all lengths and places count words, and a document's equal contexts have one row, that of the first.
+    """
     schema = "doc_id long, t long, place long, h long, c long"
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,11 +173,16 @@ def _anchored(docs: DataFrame, window: int, gram: int) -> DataFrame:
             columns: list[list] = [[] for _ in range(5)]
             for doc_id, t, text in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = (text or "").encode()
-                at, first, last, h = anchors(raw, window, gram)
+                symbols = _words(raw) if words else raw
+                at, first, last, h = anchors(symbols, window, gram)
                 spans = zip(at.tolist(), first.tolist(), last.tolist())
-                c = np.array([code(raw[a:b + window], x - a) for x, a, b in spans], dtype=np.uint64).astype(np.int64)
-                place = at << 2 * _BITS | at - first << _BITS | at - last
-                for column, values in zip(columns, ([doc_id] * len(at), [t] * len(at), place, h.astype(np.int64), c)):
+                held, size = (symbols.tobytes(), symbols.itemsize) if words else (raw, 1)
+                c = np.array([code(held[size * a:size * (b + window)], x - a) for x, a, b in spans], dtype=np.uint64).astype(np.int64)
+                place, h = at << 2 * _BITS | at - first << _BITS | at - last, h.astype(np.int64)
+                if words:
+                    _, once = np.unique(c, return_index=True)
+                    place, h, c = place[once], h[once], c[once]
+                for column, values in zip(columns, ([doc_id] * len(c), [t] * len(c), place, h, c)):
                     column.append(pa.array(values, pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) if c else pa.array([], pa.int64()) for c in columns],
                                              names=[c.split()[0] for c in schema.split(", ")])
@@ -402,6 +417,60 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     return found
 
 
+def shared_passages(docs: DataFrame, words: int = WORDS, gram: int = WORD_GRAM) -> DataFrame:
+    """``doc_id, t`` of the documents with a passage of more than ``words`` words that another document has too, each once.
+
+    A passage is ``words + 1`` words one after the other, whatever white space parts them. ``t`` is the hash of the text; rows equal in id and text are
+    documents of their own. A passage that only one document repeats is not shared.
+    """
+    spark, window = docs.sparkSession, words + 1
+    if not 0 < gram <= window or window - gram > _FAR:
+        raise ValueError(f"a passage holds its anchor and is at most {_FAR} words longer")
+    common.text_batches(spark)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = common.written(_anchored(docs, window, gram, words=True), "words")
+    met = common.written(_met(found, partitions), "met")
+    common.dropped(found)
+    at, first, last = _window_starts(F.col("place"))
+    todo = (met.where("NOT again").select("doc_id", "t", first.alias("first"), last.alias("last")).distinct()
+            .groupBy("doc_id", "t").agg(F.collect_list(F.struct("first", "last")).alias("todo")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), packed("text").alias("z"))
+    named = _named(todo)
+    passages = common.written(_passages(texts.join(named, _same(texts, named)).select("doc_id", "t", "z", "todo"), window), "passages")
+    who = F.struct("doc_id", "t")
+    several = common.written(passages.groupBy("w").agg(F.min(who).alias("a"), F.max(who).alias("b"), F.count(F.lit(1)).alias("n"))
+                             .where("NOT a <=> b").select("w", "n"), "several")
+    # very frequent passages, few by their share, are told by their hash and need no join
+    least = max(OFTEN, -(-passages.count() // SHARE))
+    often = F.col("w").isin([r.w for r in several.where(F.col("n") >= least).select("w").collect()])
+    every = (met.where("again").select("doc_id", "t").unionByName(passages.where(often).select("doc_id", "t"))
+             .unionByName(passages.where(~often).join(several.where(F.col("n") < least), "w").select("doc_id", "t")))
+    shared = common.written(every.distinct(), "shared")
+    for table in (met, passages, several):
+        common.dropped(table)
+    return shared
+
+
+def _passages(rows: DataFrame, window: int) -> DataFrame:
+    """The hash ``w`` of every passage that starts in the spans listed, each once per row, of ``doc_id, t, z, todo array<struct<first, last>>``."""
+    schema = "w long, doc_id long, t long"
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, code = zstandard.ZstdDecompressor().decompress, xxhash.xxh3_64_intdigest
+        for batch in batches:
+            columns: list[list] = [[pa.array([], pa.int64())] for _ in range(3)]
+            for row in batch.to_pylist():
+                symbols = _words(unpack(row["z"]))
+                held, size = symbols.tobytes(), symbols.itemsize
+                found = {code(held[size * i:size * (i + window)]) for s in row["todo"] for i in range(s["first"], s["last"] + 1)}
+                w = np.fromiter(found, np.uint64, len(found)).astype(np.int64)
+                for column, values in zip(columns, (w, [row["doc_id"]] * len(w), [row["t"]] * len(w))):
+                    column.append(pa.array(values, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in columns], names=[c.split()[0] for c in schema.split(", ")])
+
+    return rows.mapInArrow(cut, schema)
+
+
 def removed_runs(spans: list | None, size: int, window: int = WINDOW) -> list[tuple[int, int]]:
     """Maximal runs of bytes that repeated windows cover."""
     runs: list[list[int]] = []
@@ -428,20 +497,31 @@ def _long(raw: bytes, a: int, b: int, words: int) -> bool:
     return len(raw[a:b].split()) - cut > words
 
 
-def with_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``row`` (all columns but the text), ``z`` (the text, packed) and ``spans`` (its repeated windows; null: none) of every row."""
+def with_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shared: DataFrame | None = None) -> DataFrame:
+    """``row`` (all columns but the text), ``z`` (the text, packed) and ``spans`` (its repeated windows; null: none) of every row.
+
+    ``shares`` is 1 in rows whose ``doc_id, t`` is in ``shared``, else 0.
+    """
     found = _named(repeated(docs.select("doc_id", "text"), window, gram))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), packed("text").alias("z"),
                        F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row"))
-    return rows.join(found, _same(rows, found), "left").select("row", "z", "spans")
+    joined, shares = rows.join(found, _same(rows, found), "left"), F.lit(0)
+    if shared is not None:
+        others = _named(shared).withColumn("__shares", F.lit(1))
+        joined, shares = joined.join(others, _same(rows, others), "left"), F.coalesce("__shares", F.lit(0))
+    return joined.select("row", "z", "spans", shares.alias("shares"))
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, words: int | None = None) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept`` of every row of ``docs (doc_id, text)``.
 
     Null texts are empty; texts shorter than 400 bytes stay whole; null ids and repeated rows are documents of their own. An empty table gives no rows.
+    With ``words`` one column more: ``shares_passage`` is 1 if another document has a passage of more than ``words`` words of the text too, however many
+    bytes that is, else 0. It only tells; no more is removed.
     """
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long"
+    docs = docs.select("doc_id", "text")
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long, shares_passage int"
+    kinds = [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.int32()]
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -451,12 +531,13 @@ def digests(docs: DataFrame) -> DataFrame:
                 raw = unpack(row["z"])
                 runs = removed_runs(row["spans"], len(raw))
                 kept = _kept(raw, runs)
-                rows.append((row["doc_id"], len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), len(kept)))
-            columns = list(zip(*rows)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.string()), pa.array(columns[5], pa.int64())],
-                                             names=[c.split()[0] for c in schema.split(", ")])
+                rows.append((row["doc_id"], len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), len(kept), row["shares"]))
+            columns = list(zip(*rows)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[c.split()[0] for c in schema.split(", ")])
 
-    return with_spans(docs.select("doc_id", "text")).select("row.doc_id", "z", "spans").mapInArrow(digest, schema)
+    rows = with_spans(docs, shared=None if words is None else shared_passages(docs, words)).select("row.doc_id", "z", "spans", "shares")
+    found = rows.mapInArrow(digest, schema)
+    return found if words is not None else found.drop("shares_passage")
 
 
 def _cut(window: int, words: int | None):

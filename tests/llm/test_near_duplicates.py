@@ -224,6 +224,40 @@ def test_cuts_keep_whole_characters(make_docs):
     assert sorted(r.text for r in got) == ["éü", "öä"] and all(r.n_chars == 2 for r in got)
 
 
+def sharing(texts, n):
+    """Whether another text has ``n`` words of this one, one after the other, straight from the definition."""
+    windows = [{tuple(w[i:i + n]) for i in range(len(w) - n + 1)} for w in ((x or "").encode().split() for x in texts)]
+    return [int(any(own & other for k, other in enumerate(windows) if k != j)) for j, own in enumerate(windows)]
+
+
+@pytest.mark.parametrize("often", [2, 4096])
+def test_documents_that_share_a_passage_of_words(make_docs, monkeypatch, often):
+    monkeypatch.setattr(suffixes, "OFTEN", often)
+    monkeypatch.setattr(suffixes, "SHARE", 10 ** 9 if often < 4 else suffixes.SHARE)
+    random.seed(31)
+    word = iter(f"w{i}" for i in range(10 ** 6))
+    fresh = lambda n: [next(word) for _ in range(n)]
+    common, longer, short, own = fresh(51), fresh(80), fresh(50), fresh(60)
+    texts = [" ".join(fresh(random.randint(0, 90)) + common + fresh(random.randint(0, 90))) for _ in range(12)]
+    texts += [" ".join(fresh(40) + longer[a:b] + fresh(40)) for a, b in [(0, 60), (9, 60), (10, 61), (29, 80), (0, 30)]]
+    texts += [" ".join(fresh(30) + short + fresh(30)) for _ in range(3)]
+    texts += [" ".join(own + fresh(30) + own), "\n".join(fresh(5) + common), " ".join(fresh(200)), "", None, " ".join(common[:50]), " ".join(common)]
+    texts += [" ".join(random.choice("ab") for _ in range(random.randint(40, 70))) for _ in range(10)]  # few kinds of words
+    texts += [" ".join(["same"] * k) for k in (49, 50, 51, 52, 200)]
+    twice = " ".join(fresh(70))
+    rows = [(i, x, "s") for i, x in enumerate(texts)] + [(None, twice, "s"), (None, twice, "s"), (900, " ".join(fresh(51)), "s")]
+    got = suffixes.digests(make_docs(rows), suffixes.WORDS).collect()
+    want = sharing([x for _, x, _ in rows], 51)
+    assert sorted((r.doc_id or -1, r.shares_passage) for r in got) == sorted((i or -1, k) for (i, _, _), k in zip(rows, want))
+    assert want[:12] == [1] * 12 and want[17:20] == [0] * 3 and all(r.n_removed == 0 for r in got if r.doc_id is not None and r.doc_id < 12)
+
+
+def test_passages_shared_in_the_corpus(corpus):
+    rows = corpus.select("doc_id", "text").collect()
+    want = {r.doc_id: k for r, k in zip(rows, sharing([r.text for r in rows], 51))}
+    assert {r.doc_id: r.shares_passage for r in suffixes.digests(corpus, suffixes.WORDS).collect()} == want and 0 < sum(want.values()) < len(want)
+
+
 def brute_vectors(rows, threshold=0.93):
     ok = {}
     for k, (i, v, label) in enumerate(rows):
