@@ -59,7 +59,8 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
         variants = F.array(half, *[half.bitwiseXOR(F.lit(1 << i)) for i in range(32)])
         near.append(distinct.select(F.col("fp").alias("a"), F.lit(side).alias("side"), F.explode(variants).alias("key")))
         home.append(distinct.select(F.col("fp").alias("b"), F.lit(side).alias("side"), half.alias("key")))
-    met = near[0].unionByName(near[1]).join(home[0].unionByName(home[1]), ["side", "key"]).where(
+    # Spark sizes the 33 variants like the one fingerprint they come from and would broadcast them
+    met = near[0].unionByName(near[1]).join(home[0].unionByName(home[1]).hint("merge"), ["side", "key"]).where(
         (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius))
     return met.select("a", "b")
 
@@ -83,7 +84,7 @@ def near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
     """
     common.text_batches(docs.sparkSession)
     prints = common.written(docs.select("doc_id", fingerprint("text").alias("fp")), "prints")
-    return prints.join(classes(prints, radius), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(classes(prints, radius).hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, radius: int = 3) -> DataFrame:

@@ -75,6 +75,15 @@ def test_links_find_every_pattern_of_three_bits(spark):
     assert got == want
 
 
+def broadcasts(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def test_variants_are_not_broadcast(spark, tmp_path):
+    spark.range(1000).select(F.xxhash64("id").alias("fp")).write.parquet(f"{tmp_path}/prints")
+    assert broadcasts(simhash.links(spark.read.parquet(f"{tmp_path}/prints"))) == 0
+
+
 def test_simhash_of_hard_rows(hard, nothing):
     got = simhash.near_duplicates(hard).collect()
     assert len(got) == hard.count()
