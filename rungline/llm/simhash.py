@@ -99,6 +99,6 @@ def keep_first(docs: DataFrame, radius: int = 3) -> DataFrame:
     first = common.written(classes(ids, radius), "classes")
     its_own = F.col("doc_id").eqNullSafe(F.col("component_id"))
     kept = rows.join(first, "fp").where(its_own)
-    if not ids.join(first, "fp").where(its_own).groupBy("root").count().where("count > 1").isEmpty():
+    if not ids.join(first.hint("merge"), "fp").where(its_own).groupBy("root").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["root"])
     return kept.select("row.*")

@@ -10,10 +10,10 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
-from rungline.llm import packing, queries, toxicity  # noqa: E402
+from rungline.llm import graph, packing, queries, toxicity  # noqa: E402
 
 from .test_mixing_chat import plain_targets  # noqa: E402
-from .test_near_duplicates import covered, plain_fingerprint, smallest  # noqa: E402
+from .test_near_duplicates import broadcasts, covered, plain_fingerprint, smallest  # noqa: E402
 from .test_tokens_packing_grammar import check_pieces  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -96,6 +96,14 @@ def test_passages_of_over_fifty_words_are_cut(spark, make_docs):
     assert not any(s in t for s in shared if len(s.split()) > 50 or len(s) >= 400 for t in want.values())
 
 
+def test_near_duplicates_broadcast_no_variants(spark, make_docs, monkeypatch):
+    seen, whole = [], graph.components
+    monkeypatch.setattr(graph, "components", lambda edges: seen.append(broadcasts(edges)) or whole(edges))
+    docs = make_docs([(i, f"text number {i} of a few", "s") for i in range(20)])
+    assert corpus_pipeline.drop_near_duplicates(spark, docs, "").count() <= 20
+    assert seen == [0]
+
+
 def test_run_gives_the_last_stage_s_rows(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == [c.split()[0] for c in packing.PIECE.split(", ")] + ["sequence_id", "offset"]
