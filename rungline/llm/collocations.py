@@ -28,8 +28,8 @@ SHARE, FREQUENT = 4096, 1 << 16
 HELD = 1 << 19
 #: Phrases of a batch handed on, bytes of a batch taken in: a block is a large row.
 ROWS, BATCH = 1 << 14, 1 << 22
-#: Suffixes a task sorts, about; with more of them there are more tasks.
-SORTED = 4_000_000
+#: Suffixes a task holds, about; with more of them there are more tasks. Of these so many are sorted at once, all that begin with some of its words.
+SORTED, SLICE = 2_000_000, 1 << 18
 
 #: Parts of a language that are ranked each by itself first.
 PARTS = 64
@@ -224,32 +224,57 @@ def _routed(blocks: DataFrame, hot: frozenset[tuple[str, bytes]], routes: int) -
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _joined(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Words, a row per depth, and counts of suffixes as one array each."""
+    return np.concatenate([words for words, _ in held], axis=1), np.concatenate([counts for _, counts in held])
+
+
+def _slices(held: list[tuple[np.ndarray, np.ndarray]], names: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The suffixes held, those of one leading word together, ``SLICE`` of them at once or those of a single word."""
+    sizes = np.zeros(names, np.int64)
+    for words, _ in held:
+        sizes += np.bincount(words[0], minlength=names)
+    ends = np.flatnonzero(np.diff((np.cumsum(sizes) - 1) // SLICE, append=-2)) + 1  # the last word of each slice, and one on
+    for low, high in zip(np.append(0, ends[:-1]).tolist(), ends.tolist()):
+        chosen = [(words[:, some], counts[some]) for words, counts in held if (some := (words[0] >= low) & (words[0] < high)).any()]
+        if chosen:
+            yield _joined(chosen)
+
+
 def _counted(routed: DataFrame, hot: frozenset[tuple[str, bytes]], least: int) -> DataFrame:
-    """Counts of phrases, from all suffixes of a task; those led by very frequent words only may be parts of a count."""
+    """Counts of phrases, from all suffixes of a task; those led by very frequent words only may be parts of a count.
+
+    All suffixes of a task are held as numbers, 16 bytes each; the quicksort, which needs several times as much, goes by slices of leading words.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers: dict[str, Numbers] = {}
-        held: dict[str, tuple[list[np.ndarray], list[np.ndarray]]] = {}
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        small: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        waiting: dict[str, int] = {}
         for batch in batches:
-            for lang, packed, codes, counts in zip(*(c.to_pylist() for c in batch.columns[1:])):
-                known, (parts, weights) = numbers.setdefault(lang, Numbers()), held.setdefault(lang, ([], []))
-                weights.append(np.frombuffer(counts, "<u4"))
-                names, words = _unpacked(packed, codes, len(weights[-1]))
-                parts.append(np.fromiter(map(known.__getitem__, names), np.int32, len(names))[words])
-        for lang in list(held):
-            parts, weights = held.pop(lang)
-            words, weight = np.concatenate(parts, axis=1), np.concatenate(weights).astype(np.int64)
-            del parts, weights
+            for k in range(batch.num_rows):
+                lang, packed, codes, counts = (c[k].as_py() for c in batch.columns[1:])
+                known, parts = numbers.setdefault(lang, Numbers()), small.setdefault(lang, [])
+                weight = np.frombuffer(counts, "<u4")
+                names, words = _unpacked(packed, codes, len(weight))
+                parts.append((np.fromiter(map(known.__getitem__, names), np.int32, len(names))[words], weight))
+                waiting[lang] = waiting.get(lang, 0) + len(weight)
+                if waiting[lang] >= SLICE // 4:  # many small arrays would take more than their numbers
+                    held.setdefault(lang, []).append(_joined(parts))
+                    small[lang], waiting[lang] = [], 0
+        for lang in list(small):
             names = numbers.pop(lang).names()
-            frequent = np.array([(lang, name) in hot for name in names])
-            lead = frequent[words[0]]
-            always = lead.astype(np.int8) + (lead & frequent[words[1]])
-            for d, found, counts in multikey(words, weight, least, always):
-                for a in range(0, len(found), ROWS):
-                    at = found[a:a + ROWS]
-                    phrases = [b" ".join([names[w] for w in path]) for path in zip(*(words[k, at].tolist() for k in range(d + 1)))]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(at)), pa.array(np.full(len(at), d + 1, np.int32)), pa.array(phrases, pa.binary()),
-                         pa.array(counts[a:a + ROWS])], names=_names(FOUND))
+            frequent = np.fromiter(((lang, name) in hot for name in names), bool, len(names))
+            for words, weight in _slices(held.pop(lang, []) + small.pop(lang), len(names)):
+                lead = frequent[words[0]]
+                always = lead.astype(np.int8) + (lead & frequent[words[1]])
+                for d, found, counts in multikey(words, weight.astype(np.int64), least, always):
+                    for a in range(0, len(found), ROWS):
+                        at = found[a:a + ROWS]
+                        phrases = [b" ".join([names[w] for w in path]) for path in zip(*(words[k, at].tolist() for k in range(d + 1)))]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([lang] * len(at)), pa.array(np.full(len(at), d + 1, np.int32)), pa.array(phrases, pa.binary()),
+                             pa.array(counts[a:a + ROWS])], names=_names(FOUND))
 
     return routed.mapInArrow(count, FOUND)
 

@@ -2,10 +2,12 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -105,6 +107,33 @@ def test_collocations_of_random_texts(spark, frequent, monkeypatch):
     assert found(collocations.collocations(df, top=3)) == plain_collocations(rows, 3)
 
 
+class Taken:
+    """Stands for a table: keeps the function that would run over its batches."""
+
+    def mapInArrow(self, function, schema):
+        return function
+
+
+def test_counting_holds_a_few_bytes_a_suffix():
+    rng, batches, plain = np.random.default_rng(5), [], collections.Counter()
+    names = b" ".join(b"w%d" % i for i in range(3000))
+    for _ in range(60):
+        words = rng.integers(1, 3001, (3, 20_000)).astype("<u2")
+        counts = rng.integers(1, 3, 20_000).astype("<u4")
+        np.add.at(total := np.zeros(3001, np.int64), words[0], counts)
+        plain.update({b"w%d" % (i - 1): int(n) for i, n in enumerate(total) if n})
+        batches.append(pa.RecordBatch.from_arrays(
+            [pa.array([0], pa.int32()), pa.array(["en"]), *(pa.array([b], pa.binary()) for b in (names, words.tobytes(), counts.tobytes()))],
+            names=["route", "lang", "names", "codes", "counts"]))
+    count = collocations._counted(Taken(), frozenset(), 500)
+    tracemalloc.start()
+    got = [dict(zip(b.column(2).to_pylist(), b.column(3).to_pylist())) for b in count(iter(batches))]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert collections.Counter({k: v for some in got for k, v in some.items()}) == {k: v for k, v in plain.items() if v >= 500}
+    assert most < 60 * 1_200_000  # 16 bytes a suffix are held, a slice takes its part beside them
+
+
 def test_collocations_of_hard_rows_and_nothing(spark, hard, nothing):
     rows = [(r.lang, r.text) for r in hard.collect()]
     assert found(collocations.collocations(hard)) == plain_collocations(rows)
