@@ -27,35 +27,101 @@ def squeeze(col: Column) -> Column:
     return F.trim(F.regexp_replace(col, _TO_SQUEEZE, " "))
 
 
-# the letters and blanks an alternative begins with, without one that need not be there
-_BEGINNING = re.compile(r"(?:\\b)?([^\W\d_](?:[^\W\d_]| )*)(?![?*{])")
+# no white space but blanks, as in most windows of a text: told several times faster than runs are found
+_ONLY_BLANKS = r"^[ -~\xa1-\u167f]*\z"
 
 
-def mentions(low: Column, pattern: str) -> Column:
-    """Whether a lower-case text has a word of an alternation.
+def squeeze_column(name: str) -> Column:
+    """``squeeze`` of a column at hand, which is used more than once."""
+    col = F.col(name)
+    return F.when(~F.contains(col, F.lit("  ")) & col.rlike(_ONLY_BLANKS), F.trim(col)).otherwise(squeeze(col))
 
-    Alternatives without any pattern syntax are searched as plain text, which
-    is several times faster than one large pattern; patterns that begin with
-    plain text are tried only where that occurs.
-    """
-    body = pattern.removeprefix(X.LOWER)
-    words, patterns, depth, start = [], [], 0, 0
-    for i, c in enumerate(body + "|"):
+
+def _alternatives(pattern: str) -> list[str]:
+    found, depth, start = [], 0, 0
+    for i, c in enumerate(pattern + "|"):
         depth += {"(": 1, "[": 1, ")": -1, "]": -1}.get(c, 0)
         if c == "|" and depth == 0:
-            word, start = body[start:i], i + 1
-            (patterns if set(word) & set("\\[](){}?*+.^$|") else words).append(word)
+            found.append(pattern[start:i])
+            start = i + 1
+    return found
+
+
+_SYNTAX = set("\\[](){}?*+.^$|")
+# letters and blanks in a row, without one that need not be there
+_PLAIN_RUN = re.compile(r"[^\W\d_](?:[^\W\d_]| )*(?![?*{])")
+_GROUP = re.compile(r"(?<!\\)\(\?:((?:[^()\[\]]|\[[^\]]*\]|\((?:[^()])*\))*)\)(?![?*{])")
+
+
+def needed(alternative: str) -> list[str]:
+    """Plain texts one of which any match of an alternative has; none if that can't be told."""
+    outer, depth = "", 0
+    for c in re.sub(r"\\.", "\0", alternative):
+        depth += c in "(["
+        outer += "\0" if depth else c
+        depth -= c in ")]"
+    longest = max(_PLAIN_RUN.findall(outer), key=len, default="")
+    choices = [[longest]] if longest else []
+    for group in _GROUP.findall(alternative):
+        each = [needed(a) for a in _alternatives(group)]
+        if all(each):
+            choices.append(sum(each, []))
+    return max(choices, key=lambda n: min(map(len, n)), default=[])
+
+
+def _grouped(words: list[str]) -> list[tuple[str, list[str]]]:
+    """Words with a piece that they share: one search rules all of them out."""
+    left = [w for w in dict.fromkeys(words) if not any(v != w and v in w for v in words)]
+    groups = []
+    while left:
+        pieces = sorted({w[i:j] for w in left for i in range(len(w)) for j in range(i + 4, len(w) + 1)})
+        best = max(pieces, key=lambda p: (sum(p in w for w in left), len(p)), default="")
+        some = [w for w in left if best in w]
+        if not best or len(some) < 2:
+            return groups + [(w, [w]) for w in left]
+        groups.append((best, some))
+        left = [w for w in left if w not in some]
+    return groups
+
+
+def _has_word(low: Column, words: list[str]) -> Column:
     # one small loop over a literal list: spelled out, the generated code of a
     # stage grows past what the JVM compiles
-    tests = [F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low, w))] if words else []
-    begun = [(p, _BEGINNING.match(p)) for p in patterns]
-    tests += [F.contains(low, F.lit(m[1])) & low.rlike(X.LOWER + p) for p, m in begun if m]
-    others = [p for p, m in begun if not m]
-    if others:
-        tests.append(low.rlike(X.LOWER + "|".join(others)))
+    groups = F.array(*[F.struct(F.lit(piece).alias("piece"), F.array(*map(F.lit, some)).alias("words")) for piece, some in _grouped(words)])
+    return F.exists(groups, lambda g: F.contains(low, g["piece"]) & F.exists(g["words"], lambda w: F.contains(low, w)))
+
+
+def _split(pattern: str) -> tuple[list[str], list[str]]:
+    """The alternatives without any pattern syntax, and the others."""
+    every = _alternatives(pattern.removeprefix(X.LOWER))
+    return [a for a in every if not set(a) & _SYNTAX], [a for a in every if set(a) & _SYNTAX]
+
+
+def mentions(low: Column, pattern: str) -> Column:
+    """Whether a lower-case text has a word of an alternation.
+
+    Alternatives without any pattern syntax are searched as plain text, which
+    is several times faster than one large pattern; the others are tried only
+    where plain text occurs that they need.
+    """
+    words, patterns = _split(pattern)
+    tests = [_has_word(low, words)] if words else []
+    for p in patterns:
+        test = low.rlike(X.LOWER + p)
+        if p.startswith(r"\b") and not set(p[2:]) & _SYNTAX and p[2:3].isalpha():
+            test = F.contains(low, F.lit(" " + p[2:])) | test
+        plain = needed(p)
+        tests.append(reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in plain]) & test if plain else test)
     return reduce(lambda a, b: a | b, tests)
 
 
+def may_mention(low: Column, pattern: str) -> Column:
+    """Whether a lower-case text has the plain text that any match needs, in a part of it or as a whole."""
+    words, patterns = _split(pattern)
+    plain = [needed(p) for p in patterns]
+    return _has_word(low, words + [w for some in plain for w in some]) if all(plain) else F.lit(True)
+
+
 def blank_to_null(col: Column) -> Column:
     return F.when(F.trim(col) != "", col)
 
@@ -303,7 +369,8 @@ def month_gap(earlier: Column, later: Column) -> Column:
 
 # ------------------------------------------------------- increase wording
 
-def classify_basis(context: Column) -> Column:
+def classify_basis(context: Column, low: Column | None = None) -> Column:
+    """The basis an increase is named for; ``low``: the context in lower case, where that is at hand."""
     def first_pattern(low: Column) -> Column:
         chain = None
         for name, pattern in X.BASIS_PATTERNS:
@@ -311,12 +378,12 @@ def classify_basis(context: Column) -> Column:
             chain = F.when(hit, name) if chain is None else chain.when(hit, name)
         return chain.otherwise(X.BASIS_UNSPECIFIED)
 
-    return once(F.lower(context), first_pattern)
+    return once(F.lower(context), first_pattern) if low is None else first_pattern(low)
 
 
-def increase_type(pct: Column, amount: Column, context: Column) -> Column:
+def increase_type(pct: Column, amount: Column, context: Column, low: Column | None = None) -> Column:
     both = pct.isNotNull() & amount.isNotNull()
-    low = F.lower(context)
+    low = F.lower(context) if low is None else low
     return (
         F.when(both & low.rlike(X.OR_WORD), X.TYPE_EITHER)
         .when(both & low.rlike(X.FLOOR_WORD), X.TYPE_FLOOR)

@@ -34,10 +34,11 @@ def resolve_year(day: Column, month: Column, year: Column,
     """struct(date, status); ``date`` is NULL when the increase must be dropped."""
     low, high = plausible_window(start, end)
     return once(F.struct(low.alias("low"), high.alias("high")),
-                lambda w: _resolve(day, month, year, w["low"], w["high"]))
+                lambda w: resolve_within(day, month, year, w["low"], w["high"]))
 
 
-def _resolve(day: Column, month: Column, year: Column, low: Column, high: Column) -> Column:
+def resolve_within(day: Column, month: Column, year: Column, low: Column, high: Column) -> Column:
+    """``resolve_year`` with the plausible window's ends at hand."""
     bounded = low.isNotNull() & high.isNotNull()
     written = make_date(year, month, day)
     in_window = written.isNotNull() & F.coalesce(written.between(low, high), ~bounded)

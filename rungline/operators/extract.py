@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed as X
 from ..functions import text as T
-from ..functions.years import resolve_year
+from ..functions.years import plausible_window, resolve_within
 from .ranking import keep_first
 
 REACH = 90       # where the value may stand, on either side of its date
@@ -24,6 +24,7 @@ BEFORE = 290     # reach plus the 200 characters of context before it
 AFTER = 210      # reach plus the 120 characters of context after it
 CHUNK = 64       # matches handled together; as many on either side are at hand for their surroundings
 NEAR = 320       # characters of a gap that can be anyone's surroundings, from either end
+MARK = "\uffff"  # no character, by Unicode's rules
 
 
 def matches(df: DataFrame, part: str, pattern: str) -> DataFrame:
@@ -34,7 +35,13 @@ def matches(df: DataFrame, part: str, pattern: str) -> DataFrame:
     A text is gone through once; each row costs the same, however many matches the text has.
     """
     others = [c for c in df.columns if c != part]
-    df = T.with_values(df, _all=F.regexp_extract_all(F.col(part), F.lit(pattern), F.lit(0)), _between=F.split(F.col(part), pattern, -1))
+    # the pattern runs once and marks its matches; a text that has the mark itself is gone through twice
+    marked = F.when(~F.contains(F.col(part), F.lit(MARK)), F.split(F.regexp_replace(F.col(part), pattern, f"{MARK}$0{MARK}"), MARK, -1))
+    df = T.with_values(df, _cut=marked)
+    df = T.with_values(
+        df.where("_cut is null or size(_cut) > 1"),
+        _all=F.when(F.col("_cut").isNull(), F.regexp_extract_all(F.col(part), F.lit(pattern), F.lit(0))).otherwise(F.filter("_cut", lambda _, i: i % 2 == 1)),
+        _between=F.when(F.col("_cut").isNull(), F.split(F.col(part), pattern, -1)).otherwise(F.filter("_cut", lambda _, i: i % 2 == 0)))
     short = F.transform("_between", lambda g: F.when(F.length(g) > 2 * NEAR, F.concat(F.left(g, F.lit(NEAR)), F.right(g, F.lit(NEAR)))).otherwise(g))
     df = T.with_values(df.where(F.size("_all") > 0).select(*others, "_all", short.alias("_s")), _short=F.col("_s"))
     count = F.size("_all")
@@ -77,12 +84,13 @@ def date_anchors(docs: DataFrame, keep: Sequence[str], text: str = "text") -> Da
 
 
 def _amount(window: Column) -> Column:
-    return F.nullif(F.regexp_replace(F.regexp_extract(F.lower(window), X.AMOUNT_IN_TEXT, 0), "[^0-9]", ""),
-                    F.lit("")).try_cast("bigint")
+    low = F.lower(window)
+    found = F.nullif(F.regexp_replace(F.regexp_extract(low, X.AMOUNT_IN_TEXT, 0), "[^0-9]", ""), F.lit("")).try_cast("bigint")
+    return F.when(F.contains(low, F.lit("kr")), found)
 
 
 def _percent(window: Column) -> Column:
-    return T.parse_percent(T.group_or_null(window, X.PERCENT_IN_TEXT, 1))
+    return F.when(F.contains(window, F.lit("%")), T.parse_percent(T.group_or_null(window, X.PERCENT_IN_TEXT, 1)))
 
 
 def extract_increases(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text",
@@ -95,46 +103,57 @@ def extract_increases(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text:
     keep = list(keep)
     carried = list(dict.fromkeys([*keep, start, end]))
     dated = date_anchors(docs, carried, text)
-    forward, backward = F.left("after", F.col("forward")), F.right("before", F.col("back"))
-    found = T.with_values(
-        dated, _condition=F.lower(T.squeeze(F.right("before", F.lit(60)))).rlike(X.CONDITION_BEFORE_DATE),
-        _pct=_percent(forward), _amount=_amount(forward))
+    dated = T.with_values(dated, _forward=F.left("after", F.col("forward")), _backward=F.right("before", F.col("back")),
+                          _last=F.right("before", F.lit(60)))
+    dated = T.with_values(dated, _last_low=F.lower(T.squeeze_column("_last")))
+    found = T.with_values(dated.where(~T.mentions(F.col("_last_low"), X.CONDITION_BEFORE_DATE)).drop("_last", "_last_low"),
+                          _pct=_percent(F.col("_forward")), _amount=_amount(F.col("_forward")))
     ahead = F.col("_pct").isNotNull() | F.col("_amount").isNotNull()
     valued = T.with_values(
-        found.where("not _condition").drop("_condition"),
-        pct=F.when(ahead, F.col("_pct")).otherwise(_percent(backward)),
-        amount=F.when(ahead, F.col("_amount")).otherwise(_amount(backward)),
+        found,
+        pct=F.when(ahead, F.col("_pct")).otherwise(_percent(F.col("_backward"))),
+        amount=F.when(ahead, F.col("_amount")).otherwise(_amount(F.col("_backward"))),
         # the span runs from the date over the forward reach, or from the
         # start of the backward reach to the end of the date
         _span_back=F.when(ahead, 0).otherwise(F.col("back")),
         _span_ahead=F.when(ahead, F.col("forward")).otherwise(0),
-    ).where("pct is not null or amount is not null")
+    ).where("pct is not null or amount is not null").drop("_forward", "_backward", "_pct", "_amount")
 
     def around(before: int, after: int) -> Column:
-        return T.squeeze(F.concat(F.right("before", F.col("_span_back") + before), F.col("date"),
-                                  F.left("after", F.col("_span_ahead") + after)))
+        return F.concat(F.right("before", F.col("_span_back") + before), F.col("date"), F.left("after", F.col("_span_ahead") + after))
 
     reach = F.least(F.length("before"), F.col("_span_back") + 150)
-    preceding = T.squeeze(F.left(F.right("before", reach), reach - F.col("_span_back")))
-    in_context = T.with_values(valued, _context=around(200, 120))
+    preceding = F.left(F.right("before", reach), reach - F.col("_span_back"))
+    in_context = T.with_values(valued, _raw=around(200, 120))
+    in_context = T.with_values(in_context, _context=T.squeeze_column("_raw")).drop("_raw")
     in_context = T.with_values(in_context, _low=F.lower("_context")).where(
         T.mentions(F.col("_low"), X.WAGE_WORD) & T.mentions(F.col("_low"), X.CHANGE_WORD)
         & ~T.mentions(F.col("_low"), X.EXCLUDED_PAYMENT))
-    judged = T.with_values(
-        in_context, _near=F.lower(around(0, 40)), _wide=F.lower(around(120, 40)), _preceding=F.lower(preceding)).where(
-        ~T.mentions(F.col("_near"), X.WAGE_LEVEL) & ~T.mentions(F.col("_near"), X.FUND_FEE)
-        & ~T.mentions(F.col("_wide"), X.ENTITLEMENT_SHARE) & ~T.mentions(F.col("_preceding"), X.PRECEDING_SURCHARGE))
+    # these lie within the context; two of them are worked out only where that has what can be found there
+    windows = T.with_values(
+        in_context, _near_raw=around(0, 40),
+        _wide_raw=F.when(T.may_mention(F.col("_low"), X.ENTITLEMENT_SHARE), around(120, 40)),
+        _preceding_raw=F.when(T.may_mention(F.col("_low"), X.PRECEDING_SURCHARGE), preceding))
+    names = ("_near", "_wide", "_preceding")
+    judged = T.with_values(windows, **{n: F.lower(T.squeeze_column(f"{n}_raw")) for n in names}).drop(*[f"{n}_raw" for n in names])
+
+    def has(name: str, pattern: str) -> Column:
+        return F.coalesce(T.mentions(F.col(name), pattern), F.lit(False))
+
+    judged = judged.where(~has("_near", X.WAGE_LEVEL) & ~has("_near", X.FUND_FEE) & ~has("_wide", X.ENTITLEMENT_SHARE)
+                          & ~has("_preceding", X.PRECEDING_SURCHARGE))
     return _finish(judged, keep, start, end)
 
 
 def _finish(judged: DataFrame, keep: list[str], start: str, end: str) -> DataFrame:
     part = [F.regexp_extract("date", X.DATE_IN_TEXT, g) for g in (1, 2, 3)]
     low, high = X.EXTRACT_PERCENT
+    earliest, latest = plausible_window(F.col(start), F.col(end))
     dated = T.with_values(judged, _day=part[0].cast("int"), _month=T.month_number(part[1]),
-                          _year=F.nullif(part[2], F.lit("")).cast("int"))
+                          _year=F.nullif(part[2], F.lit("")).cast("int"), _earliest=earliest, _latest=latest)
     rows = (
-        T.with_values(dated, _when=resolve_year(F.col("_day"), F.col("_month"), F.col("_year"),
-                                                F.col(start), F.col(end)))
+        T.with_values(dated, _when=resolve_within(F.col("_day"), F.col("_month"), F.col("_year"),
+                                                  F.col("_earliest"), F.col("_latest")))
         .where(F.col("_when.date").isNotNull())
         .withColumn("pct", F.when((F.col("pct") > low) & (F.col("pct") <= high), F.col("pct")))
         .withColumn("amount", F.when(F.col("amount").between(*X.EXTRACT_AMOUNT), F.col("amount")))
@@ -142,8 +161,8 @@ def _finish(judged: DataFrame, keep: list[str], start: str, end: str) -> DataFra
         .select(
             *keep, F.col("_when.date").alias("valid_from"), F.col("_when.status").alias("year_status"),
             "pct", "amount",
-            T.increase_type(F.col("pct"), F.col("amount"), F.col("_context")).alias("type"),
-            T.classify_basis(F.col("_context")).alias("basis"),
+            T.increase_type(F.col("pct"), F.col("amount"), F.col("_context"), F.col("_low")).alias("type"),
+            T.classify_basis(F.col("_context"), F.col("_low")).alias("basis"),
             F.left("_context", F.lit(400)).alias("quotation"),
             F.col("nr").alias("_place"))
     )

@@ -1,8 +1,10 @@
 """Extraction: regression snippets, windows, years, and texts cut into parts."""
+import collections
 import datetime as dt
 
 from pyspark.sql import functions as F
 
+from rungline.functions import fixed as X
 from rungline.functions import text as T
 from rungline.functions.years import resolve_year
 from rungline.operators import extract as E
@@ -81,6 +83,17 @@ def test_long_texts_are_read_whole(spark, monkeypatch):
         assert cut == whole
 
 
+def test_a_text_is_searched_for_dates_once(spark):
+    texts = [CASES[13][0], CASES[14][0], CASES[16][0], "1. maí 2020", "ekkert", "", None]
+    parts = spark.createDataFrame([(i, x) for i, t in enumerate(texts) for x in (t, t and t + E.MARK)], "i int, _part string")
+    got = collections.defaultdict(list)
+    for r in E.matches(parts, "_part", X.DATE_IN_TEXT).collect():
+        got[r.i].append((r._first, r._found, [g.rstrip(E.MARK) for g in r._gaps], r._local.rstrip(E.MARK), r._ends))
+    assert sorted(got) == [0, 1, 2, 3] and all(len(v) == 2 and v[0] == v[1] for v in got.values())
+    for i, ((_, found, gaps, local, _), _) in got.items():
+        assert "".join(g + m for g, m in zip(gaps, [*found, ""])) == local and local == texts[i]
+
+
 YEARS = [
     (1, 6, 2005, "2004-01-01", "2006-12-31", "2005-06-01", "úr texta"),
     (1, 6, 2005, None, None, "2005-06-01", "úr texta"),

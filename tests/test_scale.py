@@ -68,6 +68,23 @@ def test_squeeze_and_mentions_as_before(spark):
         assert df.where(T.mentions(F.col("t"), p) != F.col("t").rlike(p)).count() == 0, p
 
 
+def test_windows_are_squeezed_only_where_they_must_be(spark):
+    texts = [a + s + b for s in ("", " ", "  ", "\t", "\n", "\r", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2013", "\u3000", "\ufeff", "\U0001f600") for a in ("", "á", " ")
+             for b in ("", "b", " ", "\n")]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    assert df.where(~T.squeeze_column("t").eqNullSafe(T.squeeze(F.col("t")))).count() == 0
+
+
+def test_plain_text_that_a_pattern_needs():
+    assert T.needed(r"taka? hlutfallsh") == ["hlutfallsh"] and T.needed(r"(?<!ríkis)sjóð") == ["sjóð"] and T.needed(r"\d+\s*%") == []
+    assert T.needed(r"(?:skal\s+(?:hann|hún)|á\s+rétt|fá\s+þó)\d") == ["skal", "rétt", "fá"] and T.needed(r"(?:ab|\d)x?") == []
+    words, patterns = T._split(X.EXCLUDED_PAYMENT)
+    groups = T._grouped(words)
+    # a context without any of them is searched for half as many pieces as there are words
+    assert len(groups) * 2 <= len(words) and all(piece in w for piece, some in groups for w in some)
+    assert all(any(v in w for _, some in groups for v in some) for w in words)
+
+
 def test_rules_are_tried_once_per_text(spark, monkeypatch):
     """A text that many sets of texts share is classified in one place, whatever stands beside it."""
     tried = []
